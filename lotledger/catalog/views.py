@@ -158,8 +158,8 @@ SELECT o_orderkey AS id, o_orderpriority AS priority,
        CASE WHEN o_custkey % 97 = 0 THEN NULL ELSE 'C' || CAST(o_custkey % 500 AS VARCHAR) END AS cep,
        CAST(year(o_orderdate) AS INTEGER) AS ano, CAST(month(o_orderdate) AS INTEGER) AS mes,
        o_totalprice AS y_true,
-       o_totalprice * (0.8e0 + (o_custkey % 40) / 100.0e0) AS y_pred,
-       o_totalprice * (0.9e0 + (o_orderkey % 30) / 100.0e0) AS y_pred_b
+       o_totalprice * (0.8e0 + (o_custkey % 40) / 97.0e0) AS y_pred,
+       o_totalprice * (0.9e0 + (o_orderkey % 30) / 131.0e0) AS y_pred_b
 FROM orders
 """
 
@@ -171,6 +171,6 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
         F.when(cust % 97 == 0, F.lit(None)).otherwise(F.concat(F.lit("C"), (cust % 500).cast("string"))).alias("cep"),
         F.year("o_orderdate").alias("ano"), F.month("o_orderdate").alias("mes"),
         price.alias("y_true"),
-        (price * (F.lit(0.8) + (cust % 40) / F.lit(100.0))).alias("y_pred"),
-        (price * (F.lit(0.9) + (F.col("o_orderkey") % 30) / F.lit(100.0))).alias("y_pred_b"),
+        (price * (F.lit(0.8) + (cust % 40) / F.lit(97.0))).alias("y_pred"),
+        (price * (F.lit(0.9) + (F.col("o_orderkey") % 30) / F.lit(131.0))).alias("y_pred_b"),
     )
