@@ -1 +1,213 @@
-"""Placeholder."""
+"""Model jobs on the deals view."""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from ..models import serving, training
+from ..operators.splits import temporal_holdout
+from ..session import materialize, scratch_path
+from ..sources import registry
+from .registry import query, table
+from .views import DEALS_SQL, deals
+
+TARGET = training.TARGET
+_HOLDOUT_SQL = f"""
+WITH d AS ({DEALS_SQL}), n AS (SELECT count(*) AS n FROM d),
+h AS (SELECT d.*, row_number() OVER (ORDER BY ano, mes, id) <= n - greatest(1, CAST(floor(n * 0.2e0) AS BIGINT)) AS train FROM d, n)
+"""
+
+
+def _sides(spark, sf):
+    split = materialize(temporal_holdout(deals(spark, sf), "id"), "split")
+    return split.where("split = 'train'"), split.where("split = 'test'")
+
+
+@query("f1_unseen_categories", _HOLDOUT_SQL + """
+SELECT id, cep IN (SELECT cep FROM h WHERE train) AS known FROM h WHERE NOT train
+""")
+def _(spark, sf):
+    from pyspark.ml import Pipeline
+
+    train, test = _sides(spark, sf)
+    prepared = Pipeline(stages=training.feature_stages()).fit(train)
+    labels = len(prepared.stages[0].labelsArray[0])
+    return prepared.stages[0].transform(test).select("id", (F.col("cep_index") < labels).alias("known"))
+
+
+@query("f1_unseen_rate", _HOLDOUT_SQL + """
+SELECT round(avg(CASE WHEN cep IN (SELECT cep FROM h WHERE train) THEN 0 ELSE 1 END), 8) AS unseen_rate FROM h WHERE NOT train
+""")
+def _(spark, sf):
+    from pyspark.ml import Pipeline
+
+    train, test = _sides(spark, sf)
+    prepared = Pipeline(stages=training.feature_stages()).fit(train)
+    return training.unseen_rate(prepared, test).select(F.round("unseen_rate", 8).alias("unseen_rate"))
+
+
+@query("f2_mean_baseline", _HOLDOUT_SQL + f"""
+SELECT id, round((SELECT avg({TARGET}) FROM h WHERE train), 3) AS prediction FROM h WHERE NOT train
+""")
+def _(spark, sf):
+    train, test = _sides(spark, sf)
+    model = training.mean_model(train)
+    return training.predict(model, test).select("id", F.round("prediction", 3).alias("prediction"))
+
+
+def _one_feature(spark, sf):
+    rows = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
+    return VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(rows)
+
+
+def _line(spark, model):
+    return spark.createDataFrame(
+        [(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double"
+    ).select(F.round("slope", 3).alias("slope"), F.round("intercept", 2).alias("intercept"))
+
+
+@query("f3_least_squares", """
+SELECT round(regr_slope(l_extendedprice, l_quantity), 3) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 2) AS intercept
+FROM lineitem
+""")
+def _(spark, sf):
+    return _line(spark, training.fit_linear(_one_feature(spark, sf), "features", "l_extendedprice"))
+
+
+@query("f4_ridge", """
+WITH s AS (SELECT regr_sxy(l_extendedprice, l_quantity) / (regr_sxx(l_extendedprice, l_quantity) + 1000000) AS b,
+                  avg(l_extendedprice) AS my, avg(l_quantity) AS mx FROM lineitem)
+SELECT round(b, 3) AS slope, round(my - b * mx, 2) AS intercept FROM s
+""")
+def _(spark, sf):
+    rows = _one_feature(spark, sf)
+    penalty = training.ridge_reg_param(rows, "l_extendedprice", 1_000_000.0)
+    return _line(spark, training.fit_linear(rows, "features", "l_extendedprice", penalty))
+
+
+@query("f5_random_forest")
+def _(spark, sf):
+    from ..operators.metrics import regression_metrics
+
+    train, test = _sides(spark, sf)
+    model = training.forest_model(train, trees=5, depth=5)
+    return regression_metrics(training.predict(model, test), TARGET, "prediction")
+
+
+@query("f6_leaderboard")
+def _(spark, sf):
+    candidates = training.default_candidates(trees=5, depth=5)
+    return training.train_candidates(deals(spark, sf), "id", candidates).leaderboard
+
+
+@query("f6_mean_leaderboard", _HOLDOUT_SQL + f"""
+SELECT 'baseline_media' AS model_name, count(*) AS n, round(avg(abs({TARGET} - m)), 3) AS mae, round(avg(m - {TARGET}), 3) AS bias,
+       round(1 - sum(({TARGET} - m) ** 2) / (var_pop({TARGET}) * count(*)), 8) AS r2
+FROM h, (SELECT avg({TARGET}) AS m FROM h WHERE train) WHERE NOT train
+""")
+def _(spark, sf):
+    board = training.train_candidates(deals(spark, sf), "id", training.default_candidates()[:1]).leaderboard
+    return board.select("model_name", "n", F.round("mae", 3).alias("mae"), F.round("bias", 3).alias("bias"), F.round("r2", 8).alias("r2"))
+
+
+@query("f7_temporal_backtest", f"""
+WITH d AS (SELECT *, ano * 100 + mes AS p FROM ({DEALS_SQL})),
+f AS (SELECT p AS fold FROM (SELECT DISTINCT p FROM d ORDER BY p OFFSET 3) ORDER BY p DESC LIMIT 3),
+m AS (SELECT fold, avg({TARGET}) AS m FROM d JOIN f ON p < fold GROUP BY fold)
+SELECT CAST(fold // 100 AS VARCHAR) || '-' || lpad(CAST(fold % 100 AS VARCHAR), 2, '0') AS period, count(*) AS n,
+       round(avg(abs({TARGET} - m)), 3) AS mae, round(avg(m - {TARGET}), 3) AS bias
+FROM d JOIN m ON p = fold GROUP BY fold
+""")
+def _(spark, sf):
+    out = training.temporal_backtest(deals(spark, sf), training.default_candidates()[0])
+    return out.select("period", "n", F.round("mae", 3).alias("mae"), F.round("bias", 3).alias("bias"))
+
+
+@query("f8_run_log", _HOLDOUT_SQL + f"""
+SELECT 'baseline_media' AS model_name, 'v1' AS version, '{TARGET}' AS target, round(avg(abs({TARGET} - m)), 3) AS mae
+FROM h, (SELECT avg({TARGET}) AS m FROM h WHERE train) WHERE NOT train
+""")
+def _(spark, sf):
+    candidates = training.default_candidates()[:1]
+    trained = training.train_candidates(deals(spark, sf), "id", candidates)
+    path = scratch_path(spark, "runs")
+    training.log_runs(training.run_records(spark, trained, candidates, "v1", "d1"), path)
+    return spark.read.parquet(path).select(
+        "model_name", F.col("tags")["model_version"].alias("version"), F.col("params")["target"].alias("target"),
+        F.round(F.col("metrics")["mae"], 3).alias("mae"))
+
+
+@query("f9_validation_report", _HOLDOUT_SQL + f"""
+, t AS (SELECT h.*, m FROM h, (SELECT avg({TARGET}) AS m FROM h WHERE train) WHERE NOT train),
+seg AS (SELECT cep FROM t GROUP BY cep HAVING count(*) >= 5),
+per AS (SELECT ano, mes FROM t GROUP BY ano, mes HAVING count(*) >= 5)
+SELECT 'test' AS env, '2026.05.02.1934' AS version, count(*) AS n_holdout, round(avg(abs({TARGET} - m)), 3) AS mae,
+       strftime(make_date(min(ano * 100 + mes) // 100, min(ano * 100 + mes) % 100, 1), '%Y-%m') AS holdout_period_start,
+       strftime(make_date(max(ano * 100 + mes) // 100, max(ano * 100 + mes) % 100, 1), '%Y-%m') AS holdout_period_end,
+       round(max(m), 3) AS highest, CAST(4 AS INTEGER) AS bands, CAST((SELECT count(*) FROM per) AS INTEGER) AS periods,
+       CAST(least((SELECT count(*) FROM seg), 10) AS INTEGER) AS worst_ceps
+FROM t
+""")
+def _(spark, sf):
+    rows = materialize(deals(spark, sf), "deals")
+    train = temporal_holdout(rows, "id").where("split = 'train'")
+    path = registry.save_model(training.mean_model(train), scratch_path(spark, "model") + "/model_2026.05.02.1934")
+    report = training.validation_report(registry.load_model(path), rows, "id", "test", path, min_group_size=5)
+    return report.select(
+        "env", "version", "n_holdout", F.round("mae", 3).alias("mae"), "holdout_period_start", "holdout_period_end",
+        F.round("prediction_range.max", 3).alias("highest"), F.size("segment_metrics.by_target_band").alias("bands"),
+        F.size("segment_metrics.by_period").alias("periods"), F.size("segment_metrics.worst_ceps_by_mae").alias("worst_ceps"))
+
+
+@query("f10_score_requests", """
+WITH t AS (SELECT avg(o_totalprice) AS m FROM orders),
+r AS (SELECT o_orderkey AS id, o_orderkey % 9 AS k FROM orders)
+SELECT id, CASE k WHEN 0 THEN 'missing_fields' WHEN 1 THEN 'area_invalida' WHEN 2 THEN 'mes_invalido' WHEN 3 THEN 'ano_invalido'
+                WHEN 4 THEN 'cep_invalido' END AS error,
+       CASE WHEN k <= 4 THEN 'error' ELSE 'success' END AS status, CASE WHEN k = 0 THEN 'cep' ELSE '' END AS missing_fields,
+       CASE WHEN k > 4 THEN round(m, 3) END AS valor_estimado
+FROM r, t
+""")
+def _(spark, sf):
+    orders = table(spark, sf, "orders")
+    model = training.mean_model(orders, "o_totalprice")
+    k = F.col("o_orderkey") % 9
+    requests = orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.when(k == 0, F.lit(None)).when(k == 4, "--").when(k == 5, F.lit(None)).otherwise("01001-000").alias("cep"),
+        F.when(k == 5, "01001-000").alias("cep_prefixo"),
+        F.when(k == 1, "0").when(k != 6, "120,5").alias("area_do_terreno_m2"), F.when(k == 6, "80").alias("area"),
+        F.when(k == 3, 1899).when(k != 7, F.year("o_orderdate")).alias("ano"),
+        F.when(k == 2, 13).when(k != 7, F.month("o_orderdate")).alias("mes"), F.lit("202403").alias("ano_mes"),
+    )
+    return serving.score_requests(requests, model).select(
+        "id", "error", "status", F.array_join("missing_fields", ",").alias("missing_fields"),
+        F.round("valor_estimado", 3).alias("valor_estimado"))
+
+
+@query("f11_promotion", """
+WITH c AS (SELECT o_custkey AS model, CASE o_custkey % 3 WHEN 0 THEN 'dev' WHEN 1 THEN 'test' ELSE 'prod' END AS to_env,
+                  CASE WHEN o_custkey % 5 <> 0 THEN round(avg(o_totalprice), 2) END AS v, CASE WHEN o_custkey % 10 <> 0 THEN round(min(o_totalprice), 2) END AS t
+           FROM orders GROUP BY o_custkey),
+a AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'test' ELSE 'prod' END AS env, round(avg(o_totalprice), 2) AS mae FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
+j AS (SELECT model, to_env, coalesce(v, t) AS mae, a.env, a.mae AS active FROM c LEFT JOIN a ON a.env = to_env)
+SELECT model, to_env, mae AS candidate_mae,
+       CASE WHEN mae IS NULL THEN 'candidate_without_metric' WHEN mae > 300000 THEN 'above_max_mae' WHEN env IS NULL THEN 'no_active_model'
+            WHEN mae > active * (1 - 5 / 100e0) THEN 'not_enough_improvement' ELSE 'improved' END AS reason,
+       mae IS NOT NULL AND mae <= 300000 AND (env IS NULL OR mae <= active * (1 - 5 / 100e0)) AS approved
+FROM j
+""")
+def _(spark, sf):
+    orders, cust = table(spark, sf, "orders"), F.col("o_custkey")
+    candidates = orders.groupBy(cust.alias("model")).agg(
+        F.round(F.avg("o_totalprice"), 2).alias("v"), F.round(F.min("o_totalprice"), 2).alias("t")
+    ).select(
+        "model", F.when(F.col("model") % 3 == 0, "dev").when(F.col("model") % 3 == 1, "test").otherwise("prod").alias("to_env"),
+        F.when(F.col("model") % 5 != 0, F.col("v")).alias("validation_mae"),
+        F.when(F.col("model") % 10 != 0, F.col("t")).alias("train_mae"))
+    active = orders.where("o_orderstatus <> 'P'").groupBy(
+        F.when(F.col("o_orderstatus") == "F", "test").otherwise("prod").alias("env")
+    ).agg(F.round(F.avg("o_totalprice"), 2).alias("validation_mae"), F.lit(None).cast("double").alias("train_mae"))
+    return serving.promotion_decisions(candidates, active, max_mae=300_000, improvement_pct=5.0).select(
+        "model", "to_env", "candidate_mae", "reason", "approved")
