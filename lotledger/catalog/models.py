@@ -188,9 +188,9 @@ def _(spark, sf):
 
 @query("f11_promotion", """
 WITH c AS (SELECT o_custkey AS model, CASE o_custkey % 3 WHEN 0 THEN 'dev' WHEN 1 THEN 'test' ELSE 'prod' END AS to_env,
-                  CASE WHEN o_custkey % 5 <> 0 THEN round(avg(o_totalprice), 2) END AS v, CASE WHEN o_custkey % 10 <> 0 THEN round(min(o_totalprice), 2) END AS t
+                  CASE WHEN o_custkey % 5 <> 0 THEN min(o_totalprice) * 2 END AS v, CASE WHEN o_custkey % 10 <> 0 THEN max(o_totalprice) END AS t
            FROM orders GROUP BY o_custkey),
-a AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'test' ELSE 'prod' END AS env, round(avg(o_totalprice), 2) AS mae FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
+a AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'test' ELSE 'prod' END AS env, avg(o_totalprice) AS mae FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1),
 j AS (SELECT model, to_env, coalesce(v, t) AS mae, a.env, a.mae AS active FROM c LEFT JOIN a ON a.env = to_env)
 SELECT model, to_env, mae AS candidate_mae,
        CASE WHEN mae IS NULL THEN 'candidate_without_metric' WHEN mae > 300000 THEN 'above_max_mae' WHEN env IS NULL THEN 'no_active_model'
@@ -201,13 +201,13 @@ FROM j
 def _(spark, sf):
     orders, cust = table(spark, sf, "orders"), F.col("o_custkey")
     candidates = orders.groupBy(cust.alias("model")).agg(
-        F.round(F.avg("o_totalprice"), 2).alias("v"), F.round(F.min("o_totalprice"), 2).alias("t")
+        (F.min("o_totalprice") * 2).alias("v"), F.max("o_totalprice").alias("t")
     ).select(
         "model", F.when(F.col("model") % 3 == 0, "dev").when(F.col("model") % 3 == 1, "test").otherwise("prod").alias("to_env"),
         F.when(F.col("model") % 5 != 0, F.col("v")).alias("validation_mae"),
         F.when(F.col("model") % 10 != 0, F.col("t")).alias("train_mae"))
     active = orders.where("o_orderstatus <> 'P'").groupBy(
         F.when(F.col("o_orderstatus") == "F", "test").otherwise("prod").alias("env")
-    ).agg(F.round(F.avg("o_totalprice"), 2).alias("validation_mae"), F.lit(None).cast("double").alias("train_mae"))
+    ).agg(F.avg("o_totalprice").alias("validation_mae"), F.lit(None).cast("double").alias("train_mae"))
     return serving.promotion_decisions(candidates, active, max_mae=300_000, improvement_pct=5.0).select(
         "model", "to_env", "candidate_mae", "reason", "approved")

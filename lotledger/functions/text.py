@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import re
 import sys
 import unicodedata
@@ -15,13 +16,13 @@ MOJIBAKE_MARKERS = "[ÃÂ]"
 # Fixed value: control characters removed from user text.
 CONTROL_CHARS = r"[\x00-\x08\x0b\x0c\x0e-\x1f]"
 
-# Python's str.strip() removes all Unicode white space plus 0x1c..0x1f.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z"
+# Every white-space character, the information separators 0x1c..0x1f included.
+_SPACES = "".join(chr(p) for p in range(0x3001) if chr(p).isspace())
 
 
 def strip(col: Column) -> Column:
     """Remove leading and trailing white space of any kind."""
-    return F.regexp_replace(col, _EDGE_SPACE, "")
+    return F.btrim(col, F.lit(_SPACES))
 
 
 def repair_mojibake(col: Column) -> Column:
@@ -76,23 +77,35 @@ def _ascii_tables() -> tuple[str, str, dict[str, str]]:
 
 
 def to_ascii(col: Column) -> Column:
-    """Drop accents and every character without an ASCII equivalent."""
+    """Drop accents and every character without an ASCII equivalent.
+
+    ASCII text is returned as it is and Latin-1 text takes one ``translate``
+    (characters without a counterpart are deleted by it); only text with
+    further characters pays for the full tables.
+    """
     source, target, multi = _ascii_tables()
-    expansions = F.create_map(*[F.lit(x) for pair in multi.items() for x in pair])
-    ranges = _char_class(multi)
+    pairs = [(a, b) for a, b in zip(source, target) if a <= "\xff"]
+    short = {a: b for a, b in multi.items() if a <= "\xff"}
+    mapped = {a for a, _ in pairs} | set(short)
+    deleted = "".join(chr(p) for p in range(0x80, 0x100) if chr(p) not in mapped)
+    latin = col
+    for char, plain in short.items():
+        latin = F.replace(latin, F.lit(char), F.lit(plain))
+    latin = F.translate(latin, "".join(a for a, _ in pairs) + deleted, "".join(b for _, b in pairs))
+
+    expansions = F.from_json(F.lit(json.dumps(multi)), "map<string,string>")
     expanded = F.when(
-        col.rlike(ranges),
+        col.rlike(_char_class(multi)),
         F.array_join(
-            F.transform(
-                F.split(col, ""),
-                lambda ch: F.coalesce(F.try_element_at(expansions, ch), ch),
-            ),
-            "",
+            F.transform(F.split(col, ""), lambda ch: F.coalesce(F.try_element_at(expansions, ch), ch)), ""
         ),
     ).otherwise(col)
-    has_other = col.rlike(r"[^\x00-\x7f]")
-    plain = F.regexp_replace(F.translate(expanded, source, target), r"[^\x00-\x7f]", "")
-    return F.when(has_other, plain).otherwise(col)
+    wide = F.regexp_replace(F.translate(expanded, source, target), r"[^\x00-\x7f]", "")
+    return (
+        F.when(~col.rlike(r"[^\x00-\x7f]"), col)
+        .when(~col.rlike(r"[^\x{00}-\x{ff}]"), latin)
+        .otherwise(wide)
+    )
 
 
 def _char_class(chars) -> str:

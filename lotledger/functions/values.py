@@ -27,18 +27,33 @@ def parse_br_number(col: Column, mode: str = "br") -> Column:
     return F.nullif(F.regexp_extract(stripped, _NUMBER, 1), F.lit("")).try_cast("double")
 
 
-# Formats tried in turn; the last one is the other day/month order, used when
-# the preferred order does not give a real date.
-_DATE_FORMATS = {
-    "dayfirst": ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "d/M/yyyy", "M/d/yyyy"),
-    "monthfirst": ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy", "d/M/yyyy"),
-    "iso": ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"),
-}
+# Shapes of a date cell. Matching the shape first means the parser is only
+# asked for formats that fit, instead of failing its way through a list.
+_ISO_TIME = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+_ISO = r"^\d{4}-\d{2}-\d{2}$"
+_SLASHED = r"^\d{1,2}/\d{1,2}/\d{4}$"
 
 
 def parse_date(col: Column, order: str = "dayfirst") -> Column:
-    """Text to timestamp; NULL when no format fits."""
-    return F.coalesce(*[F.try_to_timestamp(col, F.lit(f)) for f in _DATE_FORMATS[order]])
+    """Text to timestamp; NULL when the cell is not a date.
+
+    ``dayfirst`` and ``monthfirst`` set how ``03/04/2024`` is read; the other
+    order applies when the preferred one gives a month above 12. ``iso``
+    accepts year-month-day only.
+    """
+    if order not in ("dayfirst", "monthfirst", "iso"):
+        raise ValueError(f"unknown order {order!r}")
+    out = F.when(col.rlike(_ISO), F.try_to_timestamp(col, F.lit("yyyy-MM-dd"))).when(
+        col.rlike(_ISO_TIME), F.try_to_timestamp(col, F.lit("yyyy-MM-dd HH:mm:ss"))
+    )
+    if order == "iso":
+        return out
+    formats = ("d/M/yyyy", "M/d/yyyy") if order == "dayfirst" else ("M/d/yyyy", "d/M/yyyy")
+    month_part = F.split_part(col, F.lit("/"), F.lit(2 if order == "dayfirst" else 1))
+    slashed = F.when(month_part.try_cast("int") <= 12, F.try_to_timestamp(col, F.lit(formats[0]))).otherwise(
+        F.try_to_timestamp(col, F.lit(formats[1]))
+    )
+    return out.when(col.rlike(_SLASHED), slashed)
 
 
 def digits_only(col: Column) -> Column:

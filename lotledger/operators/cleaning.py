@@ -48,13 +48,17 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 def is_header_row(columns: Sequence[str]) -> Column:
     """True for a header line repeated among the data."""
+    def says(column: str, test) -> Column:
+        cell = F.col(column).cast("string")
+        # Data cells are digits and punctuation; only wordy cells are normalized.
+        wordy = cell.rlike(r"[A-Za-z]|[^\x00-\x7f]")
+        return F.coalesce(F.when(wordy, test(normalize_text(cell))), F.lit(False))
+
     found = F.lit(False)
     if "n_do_cadastro" in columns:
-        found = found | F.coalesce(normalize_text(F.col("n_do_cadastro")).contains("N DO CADASTRO"), F.lit(False))
+        found = found | says("n_do_cadastro", lambda t: t.contains("N DO CADASTRO"))
     if DATE_COLUMN in columns:
-        found = found | F.coalesce(
-            normalize_text(F.col(DATE_COLUMN).cast("string")) == "DATA DE TRANSACAO", F.lit(False)
-        )
+        found = found | says(DATE_COLUMN, lambda t: t == "DATA DE TRANSACAO")
     return found
 
 
