@@ -24,3 +24,13 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give CPU-heavy queries every core when the file has fewer splits.
+
+    The given tables are single small files; a table of many splits is
+    returned as it is.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, *keys) if df.rdd.getNumPartitions() < wanted else df

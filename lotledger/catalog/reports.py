@@ -165,7 +165,7 @@ SELECT id, region_a, region_b, metric,
        CASE WHEN a.bairro IS NULL OR b.bairro IS NULL THEN 'regions_not_found' ELSE 'success' END AS status,
        concat_ws(',', CASE WHEN a.bairro IS NULL THEN region_a END, CASE WHEN b.bairro IS NULL THEN region_b END) AS missing_regions,
        CASE WHEN b.bairro IS NOT NULL THEN round(CASE WHEN metric = 'valor_m2_referencia' THEN a.am ELSE a.av END, 3) END AS mean_a,
-       CASE WHEN a.bairro IS NOT NULL THEN round(CASE WHEN metric = 'valor_m2_referencia' THEN b.dm ELSE b.dv END, 4) END AS median_b,
+       CASE WHEN a.bairro IS NOT NULL THEN CASE WHEN metric = 'valor_m2_referencia' THEN b.dm ELSE b.dv END END AS median_b,
        CASE WHEN b.bairro IS NOT NULL THEN CASE WHEN metric = 'valor_m2_referencia' THEN a.nm ELSE a.nv END END AS n_a,
        CASE WHEN a.bairro IS NOT NULL AND b.bairro IS NOT NULL THEN
          CASE WHEN CASE WHEN metric = 'valor_m2_referencia' THEN a.am - b.am ELSE a.av - b.av END >= 0 THEN region_a ELSE region_b END END AS higher_region,
@@ -184,22 +184,21 @@ def _(spark, sf):
     out = regions.compare_regions(pairs, priced, ["valor_m2_referencia", "valor_venal_de_referencia"])
     return out.select(
         "id", "region_a", "region_b", "metric", "status", F.array_join("missing_regions", ",").alias("missing_regions"),
-        F.round("stats_a.media", 3).alias("mean_a"), F.round("stats_b.mediana", 4).alias("median_b"),
+        F.round("stats_a.media", 3).alias("mean_a"), F.col("stats_b.mediana").alias("median_b"),
         F.col("stats_a.amostra").alias("n_a"), "higher_region", F.round("absolute_difference", 3).alias("absolute_difference"),
     )
 
 
 @query("d10_region_cards", f"""
-SELECT bairro, count(*) AS count, round(avg(valor_m2_estimado), 4) AS avg_price_m2, round(quantile_cont(valor_m2_estimado, 0.5), 6) AS median_price_m2,
-       round(avg(valor_venal_de_referencia), 3) AS avg_price, round(quantile_cont(valor_venal_de_referencia, 0.5), 4) AS median_price,
+SELECT bairro, count(*) AS count, round(avg(valor_m2_estimado), 4) AS avg_price_m2, quantile_cont(valor_m2_estimado, 0.5) AS median_price_m2,
+       round(avg(valor_venal_de_referencia), 3) AS avg_price, quantile_cont(valor_venal_de_referencia, 0.5) AS median_price,
        min(valor_venal_de_referencia) AS min_price, max(valor_venal_de_referencia) AS max_price
 FROM ({SALES_SQL}) GROUP BY bairro
 """)
 def _(spark, sf):
     cards = regions.region_cards(_valued(spark, sf))
     return cards.withColumns({
-        "avg_price_m2": F.round("avg_price_m2", 4), "median_price_m2": F.round("median_price_m2", 6),
-        "avg_price": F.round("avg_price", 3), "median_price": F.round("median_price", 4)})
+        "avg_price_m2": F.round("avg_price_m2", 4), "avg_price": F.round("avg_price", 3)})
 
 
 _TRIAGE_SQL = f"""

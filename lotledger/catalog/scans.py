@@ -176,6 +176,18 @@ def _(spark, sf):
                         raw.year_from_file_name(F.col("arquivo")).alias("numero"))
 
 
+@query("a8_text_documents", """
+SELECT CAST(item_id AS VARCHAR) AS item, text || E'\\n' AS content FROM benchmark
+""")
+def _(spark, sf):
+    # One file per benchmark item, as documents land.
+    path = scratch_path(spark, "documents")
+    items = table(spark, sf, "benchmark").select("item_id", "text")
+    items.write.partitionBy("item_id").text(path)
+    docs = raw.read_text_documents(spark, path)
+    return docs.select(F.regexp_extract("source", "item_id=([0-9]+)", 1).alias("item"), "content")
+
+
 @query("a9_golden_set", """
 SELECT 'q' || lpad(CAST(item_id AS VARCHAR), 6, '0') AS id, text AS question, 'rag_search' AS expected_tool,
        'Resposta: ' || text AS reference_answer, 'rag' AS category

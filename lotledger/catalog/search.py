@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from ..operators import retrieval
 from ..session import scratch_path
-from .registry import query, table
+from .registry import query, spread, table
 
 _WORD = "[\\p{L}\\p{N}_]{2,}"
 
 
 def _documents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "source", F.col("text").alias("content"))
+    return spread(table(spark, sf, "documents"), "doc_id").select("doc_id", "source", F.col("text").alias("content"))
 
 
 def _as_index(spark, sf):

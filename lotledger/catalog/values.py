@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import payload, text, values
-from .registry import query, table
+from .registry import query, spread, table
 from .views import RAW_SQL, SALES_SQL, raw_sales, sales
 
 
@@ -22,7 +22,7 @@ def _(spark, sf):
 @query("b2_repair_mojibake", "SELECT doc_id, text AS repaired FROM documents")
 def _(spark, sf):
     broken = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return table(spark, sf, "documents").select("doc_id", text.repair_mojibake(broken).alias("repaired"))
+    return spread(table(spark, sf, "documents"), "doc_id").select("doc_id", text.repair_mojibake(broken).alias("repaired"))
 
 
 @query("b3_repair_all", "SELECT conv_id, role, text FROM conversations")
@@ -35,7 +35,7 @@ def _(spark, sf):
 SELECT doc_id, trim(upper(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g')), E' \\t\\n\\r') AS label FROM documents
 """)
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("label"))
+    return spread(table(spark, sf, "documents"), "doc_id").select("doc_id", text.normalize_text(F.col("text")).alias("label"))
 
 
 _NUMBER_SQL = f"""
@@ -185,7 +185,7 @@ def _(spark, sf):
         F.lit("Quanto vale um terreno com CEP "), F.substring(supp, 1, 5), F.lit("-"), F.substring(supp, 6, 3),
         F.lit(", Area "), F.replace(F.col("l_quantity").cast("string"), F.lit("."), F.lit(",")), F.lit(" e "), period, F.lit("?"),
     )
-    return table(spark, sf, "lineitem").select(
+    return spread(table(spark, sf, "lineitem"), "l_orderkey").select(
         "l_orderkey", "l_linenumber", payload.property_from_text(sentence).alias("p")
     ).select("l_orderkey", "l_linenumber", "p.*")
 

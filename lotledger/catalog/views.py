@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .registry import table
+from .registry import spread, table
 
 USE = "CASE l_returnflag WHEN 'A' THEN 'TERRENO' WHEN 'N' THEN 'RESIDENCIA' ELSE 'COMERCIO' END"
 
@@ -74,7 +74,7 @@ FROM lineitem
 
 
 def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
-    li = table(spark, sf, "lineitem")
+    li = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber")
     line, qty, part, ship = (F.col(c) for c in ("l_linenumber", "l_quantity", "l_partkey", "l_shipdate"))
     supp = F.col("l_suppkey").cast("string")
     padded = F.lpad(supp, 8, "0")

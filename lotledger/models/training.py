@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -43,6 +43,30 @@ def feature_stages(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[s
     return [index, onehot, VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
+def tree_feature_stages(target: str, categorical: Sequence[str] = CATEGORICAL,
+                        numeric: Sequence[str] = NUMERIC) -> list:
+    """Categories as their mean target, plus numerics as they are.
+
+    A regression tree splits a category after ordering its values by mean
+    target, so this keeps the splits that matter while the work per node does
+    not grow with the number of postal codes. An unseen category is the
+    overall mean.
+    """
+    index = StringIndexer(
+        inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep"
+    )
+    encode = TargetEncoder(
+        inputCols=[f"{c}_index" for c in categorical], outputCols=[f"{c}_mean" for c in categorical],
+        labelCol=target, targetType="continuous", handleInvalid="keep",
+    )
+    # The encoded column still carries the category's nominal metadata, which
+    # would make the tree treat it as a category; an expression drops it.
+    as_number = ", ".join(f"{c}_mean + 0.0D AS {c}_level" for c in categorical)
+    number = SQLTransformer(statement=f"SELECT *, {as_number} FROM __THIS__")
+    inputs = [f"{c}_level" for c in categorical] + list(numeric)
+    return [index, encode, number, VectorAssembler(inputCols=inputs, outputCol="features")]
+
+
 def unseen_rate(model: PipelineModel, df: DataFrame, column: str = "cep") -> DataFrame:
     """Share of rows whose category the model never saw."""
     indexer = model.stages[0]
@@ -96,7 +120,7 @@ def forest_model(train: DataFrame, target: str = TARGET, trees: int = 200, depth
         featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed,
         featureSubsetStrategy="all", subsamplingRate=1.0,
     )
-    return Pipeline(stages=[*feature_stages(), forest]).fit(train)
+    return Pipeline(stages=[*tree_feature_stages(target), forest]).fit(train)
 
 
 @dataclass(frozen=True)
@@ -137,9 +161,10 @@ def train_candidates(df: DataFrame, key: str, candidates: Sequence[Candidate], t
                      test_size: float = 0.2) -> Training:
     """Fit every candidate on the temporal train side, rank by MAE on the test side.
 
-    The labelled split is written once; each fit and evaluation reads it.
+    Features and labelled split are written once; each fit reads the split.
     """
-    split = materialize(temporal_holdout(df, key, test_size), "split")
+    rows = materialize(df.select(key, *FEATURES, target), "features")
+    split = materialize(temporal_holdout(rows, key, test_size), "split")
     train, test = split.where("split = 'train'"), split.where("split = 'test'")
     models, rows = {}, None
     for candidate in candidates:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import normalize_text, repair_all, snake_columns
 from ..functions.values import parse_br_number, parse_date
+from .scale import row_hashes
 
 TARGET = "valor_venal_de_referencia"
 AREA = "area_do_terreno_m2"
@@ -88,19 +89,22 @@ def clean(df: DataFrame) -> DataFrame:
 def removal_counters(df: DataFrame) -> DataFrame:
     """One row: how many rows each cleaning step removes.
 
-    ``duplicate_rows`` compares the rows that remain after the header filter
-    with their distinct count; one aggregation by full row (map-side combined)
-    serves both.
+    Copies of a row are grouped by two row hashes, so rows themselves are not
+    shuffled; header and target flags are the same for all copies.
     """
     renamed = repair_all(snake_columns(df))
-    named = renamed.withColumn("_header", is_header_row(renamed.columns))
-    grouped = named.groupBy(*named.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    target = parse_br_number(F.col(TARGET)) if TARGET in named.columns else F.lit(None).cast("double")
+    target = parse_br_number(F.col(TARGET)) if TARGET in renamed.columns else F.lit(None).cast("double")
+    first, second = row_hashes(renamed)
+    grouped = renamed.groupBy(first.alias("_a"), second.alias("_b")).agg(
+        F.count(F.lit(1)).alias("_copies"),
+        F.bool_or(is_header_row(renamed.columns)).alias("_header"),
+        F.bool_or(F.coalesce(target <= 0, F.lit(False))).alias("_low"),
+    )
     kept = ~F.col("_header")
     return grouped.agg(
         F.coalesce(F.sum(F.when(F.col("_header"), F.col("_copies"))), F.lit(0)).alias("header_rows"),
         F.coalesce(F.sum(F.when(kept, F.col("_copies") - 1)), F.lit(0)).alias("duplicate_rows"),
-        F.count_if(kept & F.coalesce(target <= 0, F.lit(False))).alias("non_positive_target_rows"),
+        F.count_if(kept & F.col("_low")).alias("non_positive_target_rows"),
     )
 
 

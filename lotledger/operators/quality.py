@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .cleaning import AREA, DATE_COLUMN, TARGET
-from .scale import HOT_GROUP_ROWS, group_stats
+from .scale import HOT_GROUP_ROWS, group_stats, row_hashes
 
 # Columns the clean table must have, and the thresholds.
 REQUIRED_COLUMNS = (
@@ -47,32 +47,33 @@ def quality_profile(df: DataFrame, header_rows: int = 0, duplicate_rows: int = 0
                     non_positive_rows: int = 0, category: str = "TERRENO") -> DataFrame:
     """One row describing the clean table.
 
-    Grouping by the whole row gives the duplicate count, and every other
-    figure is a weighted sum over the same groups, so the table is read and
-    shuffled once.
+    The counts are one aggregation that combines map-side. Duplicates are
+    found by grouping two row hashes, so 16 bytes per row are shuffled and
+    not the rows.
     """
     present = [c for c in REQUIRED_COLUMNS if c in df.columns]
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    copies = F.col("_copies")
-
-    def tally(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, copies)), F.lit(0))
-
-    nulls = {c: tally(F.col(f"`{c}`").isNull()) for c in df.columns}
-    rows = F.coalesce(F.sum(copies), F.lit(0))
     has = set(df.columns)
-    facts = groups.agg(
+    nulls = {c: F.count_if(F.col(f"`{c}`").isNull()) for c in df.columns}
+    rows = F.count(F.lit(1))
+    nothing = F.lit(None).cast("date")
+    counted = df.agg(
         rows.alias("rows"),
-        F.coalesce(F.sum(copies - 1), F.lit(0)).alias("duplicated_rows"),
         F.create_map(*[x for c, n in nulls.items() for x in (F.lit(c), n)]).alias("nulls"),
         F.create_map(*[x for c in present for x in (F.lit(c), F.round(F.try_divide(nulls[c], rows), 4))])
         .cast("map<string,double>").alias("critical_null_rate"),
-        (F.min(DATE_COLUMN).cast("date") if DATE_COLUMN in has else F.lit(None).cast("date")).alias("date_min"),
-        (F.max(DATE_COLUMN).cast("date") if DATE_COLUMN in has else F.lit(None).cast("date")).alias("date_max"),
-        (tally(F.col("descricao_do_uso_iptu") == category) if "descricao_do_uso_iptu" in has else F.lit(0))
+        (F.min(DATE_COLUMN).cast("date") if DATE_COLUMN in has else nothing).alias("date_min"),
+        (F.max(DATE_COLUMN).cast("date") if DATE_COLUMN in has else nothing).alias("date_max"),
+        (F.count_if(F.col("descricao_do_uso_iptu") == category) if "descricao_do_uso_iptu" in has else F.lit(0))
         .cast("long").alias("terrain_rows"),
-        (tally(F.col(TARGET) <= 0) if TARGET in has else F.lit(0)).cast("long").alias("non_positive_target_rows"),
+        (F.count_if(F.col(TARGET) <= 0) if TARGET in has else F.lit(0)).cast("long").alias("non_positive_target_rows"),
+        F.lit(1).alias("_one"),
+    )
+    first, second = row_hashes(df)
+    copies = df.groupBy(first.alias("_a"), second.alias("_b")).agg(F.count(F.lit(1)).alias("_copies"))
+    repeated = copies.agg(
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicated_rows"), F.lit(1).alias("_one")
     )
+    facts = counted.join(repeated, "_one").drop("_one")  # one row each
     return facts.withColumns({
         "columns": _names(df.columns),
         "dtypes": F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair]),

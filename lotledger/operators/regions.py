@@ -8,7 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .cleaning import AREA, TARGET
-from .scale import HOT_GROUP_ROWS, group_stats, linear_edges, right_closed_bin, scalar_stats, sized_join
+from .scale import (
+    HOT_GROUP_ROWS, group_stats, largest_group, linear_edges, right_closed_bin, scalar_stats, sized_join,
+)
 
 # Fixed values of the frequency tables.
 TRIM_FROM_ROWS = 100
@@ -188,9 +190,10 @@ def deviation_triage(sales: DataFrame, declared: str, region: str = "bairro", ar
     scored = with_residual_ratio(
         sized_join(sales, means, [region]).withColumn("estimativa", F.col("_mean_m2") * F.col(area)), declared
     ).drop("_mean_m2")
-    centre = group_stats(scored, [region], [], {"_median": ("desvio", 0.5)}, hot_rows)
+    largest = largest_group(sales, [region])
+    centre = group_stats(scored, [region], [], {"_median": ("desvio", 0.5)}, hot_rows, largest)
     centred = sized_join(scored, centre, [region]).withColumn("_off", F.abs(F.col("desvio") - F.col("_median")))
-    spread = group_stats(centred, [region], [], {"_mad": ("_off", 0.5)}, hot_rows)
+    spread = group_stats(centred, [region], [], {"_mad": ("_off", 0.5)}, hot_rows, largest)
     z = F.try_divide(F.lit(0.6745) * (F.col("desvio") - F.col("_median")), F.col("_mad"))
     judged = sized_join(centred, spread, [region]).withColumn("z_robusto", z)
     far = (F.abs("desvio") > ratio_limit) & (F.abs("z_robusto") > z_limit)

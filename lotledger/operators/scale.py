@@ -47,6 +47,16 @@ def sized_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     return sliced.join(repeated, match, how).drop("_slice", "_r_slice", *[f"_r_{k}" for k in keys])
 
 
+def row_hashes(df: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
+    """Two 64-bit hashes that together identify a full row.
+
+    Hashing skips NULLs, so the positions of NULLs are hashed as well.
+    """
+    cols = [F.col(f"`{c}`") for c in (columns or df.columns)]
+    nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+    return [F.xxhash64(*cols, nulls), F.xxhash64(F.lit("second"), nulls, *cols)]
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
     """Rows of the largest group (one row reaches the driver)."""
     if not keys:
@@ -130,16 +140,19 @@ def _ranked_percentiles(df: DataFrame, keys: list[str], column: str,
 
 def group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column] = (),
                 percentiles: Mapping[str, tuple[str, float]] | None = None,
-                hot_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                hot_rows: int = HOT_GROUP_ROWS, largest: int | None = None) -> DataFrame:
     """Aggregates plus exact linear percentiles per group.
 
     ``percentiles`` maps an output name to (numeric column, probability). One
     aggregation does everything unless a group exceeds ``hot_rows``; the
-    percentiles of such groups are then found by rank.
+    percentiles of such groups are then found by rank. ``largest`` passes the
+    largest group's size where the caller knows it, saving the counting pass.
     """
     keys, percentiles = list(keys), dict(percentiles or {})
     exact = [F.percentile(F.col(c).cast("double"), F.lit(float(p))).alias(a) for a, (c, p) in percentiles.items()]
-    if not percentiles or largest_group(df, keys) <= hot_rows:
+    if percentiles and largest is None:
+        largest = largest_group(df, keys)
+    if not percentiles or largest <= hot_rows:
         return df.groupBy(*keys).agg(*aggs, *exact)
 
     by_column: dict[str, dict[str, float]] = {}

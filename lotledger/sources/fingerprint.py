@@ -19,7 +19,9 @@ def table_fingerprint(df: DataFrame, columns: Sequence[Column] | None = None, ha
         text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("\\N")) for c in cols])
         row_hash = F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(38,0)")
     else:
-        row_hash = F.xxhash64(*cols).cast("decimal(38,0)")
+        # Hashing skips NULLs, so their positions are hashed as well.
+        nulls = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+        row_hash = F.xxhash64(*cols, nulls).cast("decimal(38,0)")
     total = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(row_hash), F.lit(0).cast("decimal(38,0)")).cast("string").alias("_sum"),

@@ -140,7 +140,7 @@ def year_from_file_name(name: Column) -> Column:
 
 def read_text_documents(spark: SparkSession, root: str) -> DataFrame:
     """Every ``.md`` and ``.txt`` file below ``root`` as (source, content)."""
-    scan = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.{md,txt}", wholetext="true").text(root)
+    scan = spark.read.options(recursiveFileLookup="true", pathGlobFilter="*.{md,txt}").text(root, wholetext=True)
     return scan.select(F.col("_metadata.file_path").alias("source"), F.col("value").alias("content"))
 
 
