@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -45,26 +45,21 @@ def feature_stages(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[s
 
 def tree_feature_stages(target: str, categorical: Sequence[str] = CATEGORICAL,
                         numeric: Sequence[str] = NUMERIC) -> list:
-    """Categories as their mean target, plus numerics as they are.
+    """Categories as their level of the target, plus numerics as they are.
 
     A regression tree splits a category after ordering its values by mean
     target, so this keeps the splits that matter while the work per node does
-    not grow with the number of postal codes. An unseen category is the
-    overall mean.
+    not grow with the number of postal codes. The level is a linear fit on
+    the one-hot vector, i.e. the category's mean; looking it up is one sparse
+    product. An unseen category gets the intercept.
     """
-    index = StringIndexer(
-        inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep"
-    )
-    encode = TargetEncoder(
-        inputCols=[f"{c}_index" for c in categorical], outputCols=[f"{c}_mean" for c in categorical],
-        labelCol=target, targetType="continuous", handleInvalid="keep",
+    index, onehot, _ = feature_stages(categorical, numeric)
+    slots = VectorAssembler(inputCols=[f"{c}_onehot" for c in categorical], outputCol="slots")
+    level = LinearRegression(
+        featuresCol="slots", labelCol=target, predictionCol="level", regParam=1e-6, elasticNetParam=0.0,
+        standardization=False, solver="l-bfgs", maxIter=50,
     )
-    # The encoded column still carries the category's nominal metadata, which
-    # would make the tree treat it as a category; an expression drops it.
-    as_number = ", ".join(f"{c}_mean + 0.0D AS {c}_level" for c in categorical)
-    number = SQLTransformer(statement=f"SELECT *, {as_number} FROM __THIS__")
-    inputs = [f"{c}_level" for c in categorical] + list(numeric)
-    return [index, encode, number, VectorAssembler(inputCols=inputs, outputCol="features")]
+    return [index, onehot, slots, level, VectorAssembler(inputCols=["level", *numeric], outputCol="features")]
 
 
 def unseen_rate(model: PipelineModel, df: DataFrame, column: str = "cep") -> DataFrame:

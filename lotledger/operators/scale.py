@@ -42,7 +42,7 @@ def sized_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     if small.count() <= broadcast_rows:
         return large.join(F.broadcast(renamed), match, how).drop(*[f"_r_{k}" for k in keys])
     sliced = large.withColumn("_slice", F.pmod(F.xxhash64(*large.columns), F.lit(slices)))
-    repeated = renamed.withColumn("_r_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).cast("long"))
+    repeated = renamed.withColumn("_r_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
     match.append(F.col("_slice") == F.col("_r_slice"))
     return sliced.join(repeated, match, how).drop("_slice", "_r_slice", *[f"_r_{k}" for k in keys])
 
