@@ -85,9 +85,10 @@ def tally(rows: pd.Series) -> pd.DataFrame:
 def matrix(vectors: pd.Series) -> np.ndarray:
     """Rows as a dense matrix; sparse rows hold bucket counts."""
     if len(vectors) and isinstance(vectors.iloc[0], dict):
+        buckets = [np.asarray(v["buckets"], dtype=np.int64) for v in vectors]
+        counts = [np.asarray(v["counts"], dtype=np.float64) for v in vectors]
         out = np.zeros((len(vectors), BUCKETS))
-        for i, v in enumerate(vectors):
-            out[i, v["buckets"]] = v["counts"]
+        out[np.repeat(np.arange(len(vectors)), [len(b) for b in buckets]), np.concatenate(buckets)] = np.concatenate(counts)
         return out
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 0))
 

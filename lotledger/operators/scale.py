@@ -76,6 +76,8 @@ def cumulative_sums(counts: DataFrame, keys: Sequence[str], order: str, sums: Se
     rows per group) supplies the offset. The cut points affect balance only.
     """
     keys = list(keys)
+    # Read three times below; what produces the counts runs once.
+    counts = materialize(counts, "counts")
     points = [i / ranges for i in range(1, ranges)]
     cuts = F.percentile_approx(order, points, 4 * ranges).alias("_cuts")
     if keys:
@@ -101,10 +103,8 @@ def cumulative_sums(counts: DataFrame, keys: Sequence[str], order: str, sums: Se
         F.lead("_first").over(by_range).alias("_next_first"),
         *[F.coalesce(F.sum(f"_sum_{c}").over(before), F.lit(0)).alias(f"_before_{c}") for c in sums],
         *[F.sum(f"_sum_{c}").over(whole).alias(f"total_{c}") for c in sums],
-    ).withColumnsRenamed({k: f"_t_{k}" for k in [*keys, "_range"]})
-    match = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
-    match.append(F.col("_range") == F.col("_t__range"))
-    joined = ranged.join(totals, match)
+    )
+    joined = sized_join(ranged, totals, [*keys, "_range"])
 
     inside = Window.partitionBy(*keys, "_range").orderBy(order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -86,12 +86,14 @@ def read_delimited(spark: SparkSession, path: str, names: Sequence[str] | None =
     return df
 
 
-def read_monthly_parts(spark: SparkSession, root: str, extra_columns: int = 4, sep: str = ";") -> DataFrame:
+def read_monthly_parts(spark: SparkSession, root: str, extra_columns: int = 4, sep: str = ";",
+                       check_width: bool = True) -> DataFrame:
     """All monthly parts landed as ``<root>/<arquivo>/<aba>.csv`` without header.
 
     One scan covers every file: the schema is as wide as the widest part and
     shorter rows are padded. Parts whose name is not a month are left out, and
-    a part narrower than the minimum is an error.
+    a part narrower than the minimum is an error. That check reads the files
+    once more; ``check_width=False`` skips it for parts checked before.
     """
     width = len(MONTHLY_COLUMNS) + extra_columns
     names = positional_names(width)
@@ -103,14 +105,15 @@ def read_monthly_parts(spark: SparkSession, root: str, extra_columns: int = 4, s
         arquivo = F.url_decode(F.regexp_extract(file_path, r"([^/]+)/[^/]+$", 1))
         return df.withColumns({"arquivo": arquivo, "aba": aba}).where(is_month_sheet(F.col("aba")))
 
-    lines = lineage(spark.read.options(**scan).text(root))
-    cells = F.size(F.split("value", f"\\Q{sep}\\E"))
-    narrow = lines.groupBy("arquivo", "aba").agg(F.max(cells).alias("w")).where(
-        (F.col("w") < MIN_COLUMNS) | (F.col("w") > width)
-    )
-    bad = narrow.limit(5).collect()
-    if bad:
-        raise ValueError(f"parts with an unexpected number of columns: {bad}")
+    if check_width:
+        lines = lineage(spark.read.options(**scan).text(root))
+        cells = F.size(F.split("value", f"\\Q{sep}\\E"))
+        narrow = lines.groupBy("arquivo", "aba").agg(F.max(cells).alias("w")).where(
+            (F.col("w") < MIN_COLUMNS) | (F.col("w") > width)
+        )
+        bad = narrow.limit(5).collect()
+        if bad:
+            raise ValueError(f"parts with an unexpected number of columns: {bad}")
     parts = lineage(spark.read.options(**scan).option("sep", sep).schema(string_schema(names)).csv(root))
     out = parts.na.drop("all", subset=names)
     if out.isEmpty():
