@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import cleaning, quality, regions, reviews
+from ..session import materialize
 from .registry import query, table
 from .views import CLEAN_SQL, SALES_SQL, raw_sales, sales
 
@@ -21,7 +22,8 @@ FROM c
 
 
 def _clean(spark, sf):
-    return cleaning.clean(raw_sales(spark, sf))
+    # The stage table: reports read what the cleaning stage wrote.
+    return materialize(cleaning.clean(raw_sales(spark, sf)), "clean")
 
 
 @query("d1_quality_profile", _PROFILE_SQL)

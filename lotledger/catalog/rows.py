@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.text import snake_columns
 from ..operators import cleaning
 from ..operators.features import build_features
+from ..session import materialize
 from .registry import query, table
 from .views import CLEAN_SQL, RAW_SQL, SALES_SQL, raw_sales, sales
 
@@ -117,6 +118,6 @@ WHERE descricao_do_uso_iptu = 'TERRENO' AND area_do_terreno_m2 BETWEEN 1 AND 500
   AND data_de_transacao IS NOT NULL
 """)
 def _(spark, sf):
-    return build_features(cleaning.clean(raw_sales(spark, sf)))
+    return build_features(materialize(cleaning.clean(raw_sales(spark, sf)), "clean"))
 
 

@@ -28,12 +28,12 @@ JOIN_SLICES = 16
 
 def sized_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
                broadcast_rows: int = BROADCAST_ROWS, slices: int = JOIN_SLICES) -> DataFrame:
-    """Join a fact side to a per-key side, hot keys included.
+    """Join a fact side to a smaller side, hot keys included.
 
     ``small`` is written once so its size is known before the plan is fixed:
     up to ``broadcast_rows`` it is broadcast; beyond that every key of the
     large side is cut into slices by a hash of the row, and the small side is
-    repeated per slice. ``small`` must hold one row per key; NULL keys match.
+    repeated per slice. Rows of ``small`` multiply as in any join; NULL keys match.
     """
     small = materialize(small, "side")
     keys = list(on)
