@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import cleaning, quality, regions, reviews
 from ..session import materialize
 from .registry import query, table
-from .views import CLEAN_SQL, SALES_SQL, raw_sales, sales
+from .views import CLEAN_SQL, SALES_SQL, landed_sales, sales
 
 _PROFILE_SQL = f"""
 WITH c AS ({CLEAN_SQL})
@@ -23,7 +23,7 @@ FROM c
 
 def _clean(spark, sf):
     # The stage table: reports read what the cleaning stage wrote.
-    return materialize(cleaning.clean(raw_sales(spark, sf)), "clean")
+    return materialize(cleaning.clean(landed_sales(spark, sf)), "clean")
 
 
 @query("d1_quality_profile", _PROFILE_SQL)

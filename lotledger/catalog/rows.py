@@ -9,7 +9,7 @@ from ..operators import cleaning
 from ..operators.features import build_features
 from ..session import materialize
 from .registry import query, table
-from .views import CLEAN_SQL, RAW_SQL, SALES_SQL, raw_sales, sales
+from .views import CLEAN_SQL, RAW_SQL, SALES_SQL, landed_sales, sales
 
 
 @query("c1_drop_header_rows", f"""
@@ -17,7 +17,7 @@ SELECT * FROM ({RAW_SQL})
 WHERE NOT contains(n_do_cadastro, '° do Cadastro') AND data_de_transacao <> 'Data de Transação'
 """)
 def _(spark, sf):
-    return cleaning.drop_header_rows(raw_sales(spark, sf))
+    return cleaning.drop_header_rows(landed_sales(spark, sf))
 
 
 @query("c1_c2_c3_removal_counters", f"""
@@ -30,7 +30,7 @@ SELECT (SELECT count(*) FROM raw) - (SELECT count(*) FROM kept) AS header_rows,
        (SELECT count(*) FROM uniq WHERE valor_venal_de_referencia IN ('0,00', '-10')) AS non_positive_target_rows
 """)
 def _(spark, sf):
-    return cleaning.removal_counters(raw_sales(spark, sf))
+    return cleaning.removal_counters(landed_sales(spark, sf))
 
 
 @query("c2_full_row_dedup", """
@@ -106,7 +106,7 @@ SELECT n_do_cadastro, bairro, cep, strftime(data_de_transacao, '%Y-%m-%d') AS da
        valor_venal_de_referencia, area_do_terreno_m2, descricao_do_uso_iptu FROM ({CLEAN_SQL})
 """)
 def _(spark, sf):
-    return cleaning.clean(raw_sales(spark, sf)).withColumn(
+    return cleaning.clean(landed_sales(spark, sf)).withColumn(
         "data_de_transacao", F.date_format("data_de_transacao", "yyyy-MM-dd"))
 
 
@@ -118,6 +118,6 @@ WHERE descricao_do_uso_iptu = 'TERRENO' AND area_do_terreno_m2 BETWEEN 1 AND 500
   AND data_de_transacao IS NOT NULL
 """)
 def _(spark, sf):
-    return build_features(materialize(cleaning.clean(raw_sales(spark, sf)), "clean"))
+    return build_features(materialize(cleaning.clean(landed_sales(spark, sf)), "clean"))
 
 

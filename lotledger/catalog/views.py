@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import materialize
 from .registry import spread, table
 
 USE = "CASE l_returnflag WHEN 'A' THEN 'TERRENO' WHEN 'N' THEN 'RESIDENCIA' ELSE 'COMERCIO' END"
@@ -103,6 +104,11 @@ def raw_sales(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def landed_sales(spark: SparkSession, sf: str) -> DataFrame:
+    """``raw_sales`` as a stored table, which is what a cleaning stage reads."""
+    return materialize(raw_sales(spark, sf), "landed")
+
+
 # The cleaning stage in SQL, over RAW_SQL.
 CLEAN_SQL = f"""
 WITH raw AS ({RAW_SQL}),

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import normalize_text, repair_all, snake_columns
+from ..functions.text import normalize_text, repair_all, repair_mojibake, snake_columns
 from ..functions.values import parse_br_number, parse_date
 from .scale import row_hashes
 
@@ -79,8 +79,12 @@ def drop_non_positive_target(df: DataFrame, target: str = TARGET) -> DataFrame:
 def clean(df: DataFrame) -> DataFrame:
     """The cleaning stage: names, mojibake, headers, duplicates, types, labels, target."""
     out = drop_header_rows(repair_all(snake_columns(df))).dropDuplicates()
+    labels = [c for c in LABEL_COLUMNS if c in out.columns]
+    # Labels are repaired once more in a projection of their own: the next one
+    # refers to each several times, and Catalyst then evaluates them once.
+    out = out.withColumns({c: repair_mojibake(F.col(c)) for c in labels})
     typed = {c: parse_br_number(F.col(c)) for c in NUMERIC_COLUMNS if c in out.columns}
-    typed |= {c: normalize_text(F.col(c)) for c in LABEL_COLUMNS if c in out.columns}
+    typed |= {c: normalize_text(F.col(c), repair=False) for c in labels}
     if DATE_COLUMN in out.columns:
         typed[DATE_COLUMN] = parse_date(F.col(DATE_COLUMN))
     return drop_non_positive_target(out.withColumns(typed))
