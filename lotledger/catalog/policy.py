@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import policy
-from .registry import query, table
+from .registry import query, spread, table
 
 # Conversation turns with ordinary phrases added, chosen by key, so each rule fires.
 _PHRASES = (
@@ -69,7 +69,7 @@ SELECT types, count(*) AS n FROM (SELECT {_PII_SQL} AS types FROM (SELECT text A
 """)
 def _(spark, sf):
     types = F.array_join(policy.pii_types(F.col("text")), ",")
-    return table(spark, sf, "documents").groupBy(types.alias("types")).agg(F.count(F.lit(1)).alias("n"))
+    return spread(table(spark, sf, "documents"), "doc_id").groupBy(types.alias("types")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("i2_prompt_injection", f"SELECT conv_id, turn, {_INJECTION_SQL} AS injection FROM ({_MESSAGES_SQL})")
@@ -81,7 +81,7 @@ def _(spark, sf):
 SELECT doc_id, {_SECRET_SQL} AS off_domain FROM (SELECT doc_id, text AS message FROM documents)
 """)
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", policy.is_off_domain(F.col("text")).alias("off_domain"))
+    return spread(table(spark, sf, "documents"), "doc_id").select("doc_id", policy.is_off_domain(F.col("text")).alias("off_domain"))
 
 
 @query("i4_input_verdict", f"SELECT conv_id, turn, reason IS NULL AS allowed, reason FROM ({_INPUT_SQL})")

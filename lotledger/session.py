@@ -30,11 +30,13 @@ def configure(builder, **overrides: str):
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made only where the cluster names none, as in
-    tests on one machine.
+    In local mode a temporary folder is made where none is named; on a cluster
+    a machine's own folder would be lost with it, so there it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="lotledger-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
