@@ -31,3 +31,17 @@ def op6(spark, sf):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op8_license_diagonals")
+def op8(spark, sf):
+    from .licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf, "documents"))
+
+
+@query("op9_url_logistic")
+def op9(spark, sf):
+    from .urls import judge
+
+    return judge(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
