@@ -45,3 +45,33 @@ def op9(spark, sf):
     from .urls import judge
 
     return judge(table(spark, sf, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+OP5_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws
+  FROM benchmark),
+wins AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS n, ws[i : i + least(len(ws), 10) - 1] AS win
+  FROM (SELECT item, ws, unnest(generate_series(1, greatest(len(ws) - 9, 1))) AS i FROM items WHERE len(ws) > 0)),
+grams AS (
+  SELECT doc_id, i, n, ws[i : i + n - 1] AS win
+  FROM (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i FROM w, (SELECT DISTINCT n FROM wins) WHERE len(ws) >= n)),
+occ AS (SELECT doc_id, i, n, item FROM grams JOIN wins USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM occ) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS s FROM occ GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@query("op5_prefix_windows", OP5_SQL)
+def op5(spark, sf):
+    from .decontaminate import scan
+
+    return scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
