@@ -75,3 +75,10 @@ def op5(spark, sf):
     from .decontaminate import scan
 
     return scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op2_segment_tree_bpe")
+def op2(spark, sf):
+    from .bpe import digest
+
+    return digest(table(spark, sf, "documents"))
