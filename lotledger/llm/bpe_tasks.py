@@ -7,18 +7,18 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import regex
 
 # Entries that a worker remembers before it starts anew; affects speed only.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 # Characters of a text that are split at a time.
 BLOCK = 1 << 20
 # Bytes of a piece up to which pieces are merged together.
 LOCKSTEP = 65
-NONE = 1 << 62
-_SPACE_BESIDE_SPACE = re.compile(r"\s | \s")
+NONE = (1 << 31) - 1
 _CUT = re.compile(r"\S(?= \S)")
 
 
@@ -95,7 +95,7 @@ def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
                 keys.append(left << 32 | right)
                 values.append(rank)
     order = np.argsort(np.array(keys, np.int64), kind="stable")
-    return np.array(keys, np.int64)[order], np.array(values, np.int64)[order]
+    return np.array(keys, np.int64)[order], np.array(values, np.int32)[order]
 
 
 class Merger:
@@ -104,12 +104,12 @@ class Merger:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.keys, self.values = pair_table(ranks)
-        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        wanted = left << 32 | right
+        wanted = left.astype(np.int64) << 32 | right
         at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return np.where(self.keys[at] == wanted, self.values[at], NONE)
+        return np.where(self.keys[at] == wanted, self.values[at], np.int32(NONE))
 
     def merge_all(self, pieces: list[bytes]) -> list[bytes]:
         """Little-endian ids of each piece."""
@@ -134,10 +134,10 @@ class Merger:
         lengths = np.array([len(p) for p in pieces], np.int64)
         padded = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), np.uint8).reshape(count, width)
         ids = np.ascontiguousarray(self.byte_ids[padded].T)  # of the token that starts at a byte
-        starts = np.arange(width + 1)[:, None]
+        starts = np.arange(width + 1, dtype=np.int32)[:, None]
         after = np.repeat(starts + 1, count, 1)  # start of the next token
         before = np.repeat(starts - 1, count, 1)
-        tree = np.full((2 * size, count), NONE, np.int64)
+        tree = np.full((2 * size, count), NONE, np.int32)
         tree[size:] = np.where(starts[:size] + 1 < lengths, self.pair_ranks(ids[:-1], ids[1:]), NONE)
         for i in range(size - 1, 0, -1):
             np.minimum(tree[2 * i], tree[2 * i + 1], out=tree[i])
@@ -204,33 +204,42 @@ class Coder:
         """
         if len(self.chunks) > REMEMBERED or len(self.pieces) > REMEMBERED:
             self.chunks, self.pieces = {}, {}
-        split, new, plain = [], set(), {}
-        for i, block in enumerate(blocks):
-            if _SPACE_BESIDE_SPACE.search(block):
-                plain[i] = self.findall(block)
-                split.append(None)
-                continue
+        split, new = [], set()
+        for block in blocks:
             parts = block.split(" ")
-            plain[i] = self.findall(parts[0])  # no space before it
-            split.append(parts)
-            new.update(set(parts[1:]).difference(self.chunks))
-        found = {part: self.findall(" " + part) for part in new}
-        wanted = {p for pieces in found.values() for p in pieces}
-        for pieces in plain.values():
-            wanted.update(pieces)
+            head = parts.pop(0)
+            new.update(parts)
+            split.append((head, parts))
+        new.difference_update(self.chunks)
+        chunks, findall, known = self.chunks, self.findall, self.pieces
+        found, wanted = {}, set()
+        for part in new:
+            if not part or part[0].isspace() or part[-1].isspace():
+                chunks[part] = None  # a space beside it is not of that kind
+            else:
+                found[part] = pieces = findall(" " + part)
+                wanted.update(pieces)
+        heads = [findall(head) for head, _ in split]
+        wanted.update(*heads)
         self._learn(wanted)
-        known, chunks = self.pieces, self.chunks
         for part, pieces in found.items():
             chunks[part] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
         out = []
-        for i, parts in enumerate(split):
-            head = b"".join([known[p] for p in plain[i]])
-            out.append(head + b"".join([chunks[p] for p in parts[1:]]) if parts else head)
+        for block, (head, parts), pieces in zip(blocks, split, heads, strict=True):
+            own = [known[p] for p in pieces]
+            rest = itemgetter(*parts)(chunks) if len(parts) > 1 else tuple(chunks[p] for p in parts)
+            if parts and (head[-1:].isspace() or None in rest):
+                pieces = findall(block)
+                self._learn(set(pieces))
+                out.append(b"".join([known[p] for p in pieces]))
+            else:
+                out.append(b"".join([*own, *rest]))
         return out
 
     def decode(self, ids: bytes) -> bytes:
-        vocabulary = self.vocabulary
-        return b"".join([vocabulary[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        if len(ids) < 8:
+            return self.vocabulary[int.from_bytes(ids, "little")] if ids else b""
+        return b"".join(itemgetter(*np.frombuffer(ids, "<u4").tolist())(self.vocabulary))
 
     def each(self, texts: Iterable[str]) -> Iterator[Iterator[bytes]]:
         """For every text the ids of its consecutive blocks; short texts are encoded together."""
