@@ -82,3 +82,18 @@ def op2(spark, sf):
     from .bpe import digest
 
     return digest(table(spark, sf, "documents"))
+
+
+def remainder(divisor: int):
+    """crc32 of doc_id as text, modulo ``divisor``."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(divisor))
+
+
+@query("op7_bidirectional_gru")
+def op7(spark, sf):
+    from .language import fit, identify
+
+    docs = table(spark, sf, "documents")
+    network = fit(docs.where(remainder(3) != 1))
+    return identify(docs, network).select(
+        "doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
