@@ -97,3 +97,28 @@ def op7(spark, sf):
     network = fit(docs.where(remainder(3) != 1))
     return identify(docs, network).select(
         "doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, ws[i : i + least(len(ws), 4) - 1] AS g
+  FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 3, 1))) AS i FROM w WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+coded AS (SELECT doc_id, hash(g) AS h FROM sets),
+pair AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM coded a JOIN coded b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pair JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_of AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM w LEFT JOIN sizes USING (doc_id) JOIN least_of ON least_of.doc_id = w.doc_id
+"""
+
+
+@query("op4_parity_sketch_join", OP4_SQL)
+def op4(spark, sf):
+    from .ngram_join import near_duplicates
+
+    return near_duplicates(table(spark, sf, "documents"), size=4, percent=85)
