@@ -122,3 +122,26 @@ def op4(spark, sf):
     from .ngram_join import near_duplicates
 
     return near_duplicates(table(spark, sf, "documents"), size=4, percent=85)
+
+
+OP10_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+least_of AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e LEFT JOIN counted USING (vec_id) JOIN least_of USING (vec_id)
+"""
+
+
+@query("op10_small_world_graphs", OP10_SQL)
+def op10(spark, sf):
+    from .embeddings import link_vectors
+
+    return link_vectors(table(spark, sf, "embeddings"))
