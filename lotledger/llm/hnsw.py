@@ -7,7 +7,7 @@ import numpy as np
 # Links per node: upper levels, and level 0.
 LINKS, GROUND = 12, 24
 # Beam while building, first beam of a search, and the widest before exact products take over.
-BUILD_BEAM, FIRST_BEAM, WIDEST_BEAM = 48, 48, 768
+BUILD_BEAM, FIRST_BEAM, WIDEST_BEAM = 48, 48, 192
 # Queries that walk the graph together, and nodes that each expands per step.
 TOGETHER, EXPAND = 256, 4
 # Audit: sampled queries per search, and the share of their true links that must be found.
