@@ -145,3 +145,13 @@ def op10(spark, sf):
     from .embeddings import link_vectors
 
     return link_vectors(table(spark, sf, "embeddings"))
+
+
+@query("op1_latent_neighbours")
+def op1(spark, sf):
+    from .quality import fit, score
+
+    docs = table(spark, sf, "documents")
+    voters = fit(docs, table(spark, sf, "labels"), remainder(5) != 0)
+    held = docs.withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False)))
+    return score(held, voters, ["doc_id", "held_out"])
