@@ -155,3 +155,10 @@ def op1(spark, sf):
     voters = fit(docs, table(spark, sf, "labels"), remainder(5) != 0)
     held = docs.withColumn("held_out", F.coalesce(remainder(5) == 0, F.lit(False)))
     return score(held, voters, ["doc_id", "held_out"])
+
+
+@query("op3_boosted_spans")
+def op3(spark, sf):
+    from .pii import detect
+
+    return detect(table(spark, sf, "documents"))
