@@ -107,3 +107,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: Sequence[str] = ("doc_id",
     return out.select(
         *keep, "n_words", n_hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def remove_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id") -> DataFrame:
+    """The same columns, without rows that hold any window of the benchmark (see :func:`scan`).
+
+    Hits depend on the text alone, so rows are matched by the text's hash.
+    """
+    hashed = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    found = scan(docs.select(hashed.alias("text_md5"), F.col(text).alias("text")), benchmark, ["text_md5"], "text", item)
+    hit = materialize(found.where("contaminated").select(F.col("text_md5").alias("_hit")).distinct(), "contaminated")
+    return docs.join(broadcast_small(hit, hit.count()), hashed == F.col("_hit"), "left_anti")

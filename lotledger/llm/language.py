@@ -75,3 +75,25 @@ def identify(docs: DataFrame, network, keep: Sequence[str] = ("doc_id",), text:
                 names=[*batch.schema.names[:count], "lang_pred", "score"])
 
     return docs.select(*keep, letters.alias("_in")).mapInArrow(run, schema)
+
+
+def keep_identified(docs: DataFrame, network, least: float, text: str = "text") -> DataFrame:
+    """The same columns, without rows whose language cannot be told.
+
+    Those are texts that :func:`identify` calls ``und`` and those whose best
+    language has a pooled probability below ``least``. Without a network only
+    texts without a letter (and NULL) go.
+    """
+    lettered = docs.where(has_letter(F.col(text)))
+    if network is None:
+        return lettered
+    at = docs.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            _, scores = network.predict(batch.column(at).to_pylist(), UNDETERMINED)
+            yield batch.filter(pa.array([s >= least for s in scores], pa.bool_()))
+
+    return lettered.mapInArrow(run, docs.schema)

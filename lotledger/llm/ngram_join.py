@@ -212,3 +212,34 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = rows.withColumn("_comp", F.when(F.col("n_shingles") > 0, F.col("_comp")))
     return rows.join(least, "_comp", "left").select(
         doc_id, *keep, "n_shingles", F.coalesce("_least", F.col(doc_id)).alias("component_id"))
+
+
+def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """The same columns, with one row of every component of linked texts: that of the smallest id.
+
+    Ties go to the least text hash; of repeated rows with one id and text one
+    stays; a row with a NULL id stays only where the component has no other.
+    Texts without words all stay.
+    """
+    rows, links = join(docs, [doc_id], text, size, percent)
+    found = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_comp"))
+    own = rows.where("n_shingles > 0").groupBy(doc_id, "_node").agg(F.count(F.lit(1)).alias("_rows"))
+    own = own.join(found, "_node", "left").withColumn("_comp", F.coalesce("_comp", "_node"))
+    own = own.withColumn("_rank", F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("_node").alias("node")))
+    own = materialize(own, "owners")
+    first = own.groupBy("_comp").agg(F.min("_rank").alias("_first"))
+    judged = own.join(first, "_comp").select(F.col(doc_id).alias("_id"), F.col("_node").alias("_n"), "_rows", (F.col("_rank") == F.col("_first")).alias("_stays"))
+    judged = materialize(judged.where("not _stays or _rows > 1"), "judged")
+    counts = {r["_stays"]: r["count"] for r in judged.groupBy("_stays").count().collect()}
+    keyed = docs.withColumn("_n", F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+    def against(frame, stays: bool, how: str):
+        side = judged.where(F.col("_stays") == stays).select("_id", F.col("_n").alias("_m"))
+        side = F.broadcast(side) if counts.get(stays, 0) <= BROADCAST_NODES else side
+        return frame.join(side, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_m")), how)
+
+    left = against(keyed, False, "left_anti")
+    if counts.get(True):
+        # repeated rows among those that stay
+        left = against(left, True, "left_anti").unionByName(against(left, True, "left_semi").dropDuplicates([doc_id, "_n"]))
+    return left.drop("_n")
