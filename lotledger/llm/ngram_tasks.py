@@ -183,7 +183,7 @@ class Plan:
         out = []
         if size <= self.first:
             whole = np.bitwise_xor.reduce(tokens) if size else np.uint64(0)
-            if size < self.first and self.differ(size) == 1:
+            if 0 < size < self.first:  # equal sets, and those with one shingle more
                 out.append(_key(size, 0, np.array([whole], np.uint64)))
             if size > 1 and self.differ(size - 1) == 1:
                 out.append(_key(size - 1, 0, whole ^ tokens))
