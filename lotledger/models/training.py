@@ -23,8 +23,8 @@ NUMERIC = ("area_do_terreno_m2", "ano", "mes")
 FEATURES = ("cep", "area_do_terreno_m2", "ano", "mes")
 TARGET = "valor_venal_de_referencia"
 METRICS = ("mae", "median_absolute_error", "p95_absolute_error", "bias", "r2")
-# The closed-form solver works up to this many features.
-NORMAL_SOLVER_LIMIT = 4096
+# Steps in which a linear fit must converge.
+MAX_STEPS = 2000
 
 
 def feature_stages(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC) -> list:
@@ -43,23 +43,16 @@ def feature_stages(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[s
     return [index, onehot, VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
-def tree_feature_stages(target: str, categorical: Sequence[str] = CATEGORICAL,
+def tree_feature_stages(categorical: Sequence[str] = CATEGORICAL,
                         numeric: Sequence[str] = NUMERIC) -> list:
-    """Categories as their level of the target, plus numerics as they are.
+    """Categories as their index (marked as categories), plus numerics as they are.
 
-    A regression tree splits a category after ordering its values by mean
-    target, so this keeps the splits that matter while the work per node does
-    not grow with the number of postal codes. The level is a linear fit on
-    the one-hot vector, i.e. the category's mean; looking it up is one sparse
-    product. An unseen category gets the intercept.
+    A regression tree orders a category's values by the mean target of the
+    node's own training rows; no statistic of the target becomes a feature. An
+    unseen category has an index of its own.
     """
-    index, onehot, _ = feature_stages(categorical, numeric)
-    slots = VectorAssembler(inputCols=[f"{c}_onehot" for c in categorical], outputCol="slots")
-    level = LinearRegression(
-        featuresCol="slots", labelCol=target, predictionCol="level", regParam=1e-6, elasticNetParam=0.0,
-        standardization=False, solver="l-bfgs", maxIter=50,
-    )
-    return [index, onehot, slots, level, VectorAssembler(inputCols=["level", *numeric], outputCol="features")]
+    index = feature_stages(categorical, numeric)[0]
+    return [index, VectorAssembler(inputCols=[*[f"{c}_index" for c in categorical], *numeric], outputCol="features")]
 
 
 def unseen_rate(model: PipelineModel, df: DataFrame, column: str = "cep") -> DataFrame:
@@ -79,18 +72,25 @@ def mean_model(train: DataFrame, target: str = TARGET) -> PipelineModel:
 def _linear(train: DataFrame, target: str, reg_param: float) -> PipelineModel:
     prepared = Pipeline(stages=feature_stages()).fit(train)
     vectors = prepared.transform(train)
-    width = vectors.schema["features"].metadata["ml_attr"]["num_attrs"]
-    fitted = fit_linear(vectors, "features", target, reg_param, width)
+    fitted = fit_linear(vectors, "features", target, reg_param)
     return PipelineModel([*prepared.stages, fitted])
 
 
-def fit_linear(df: DataFrame, features: str, target: str, reg_param: float = 0.0, width: int = 1):
-    """Least squares with an L2 penalty on unscaled coefficients."""
-    solver = "normal" if width <= NORMAL_SOLVER_LIMIT else "l-bfgs"
-    return LinearRegression(
+def fit_linear(df: DataFrame, features: str, target: str, reg_param: float = 0.0):
+    """Least squares with an L2 penalty on unscaled coefficients, by one solver at every width.
+
+    One-hot columns add up to the intercept. The iteration starts at zero and
+    never leaves the span of the centred features, so of all least-squares
+    solutions it finds the one of least norm (of standardized coefficients);
+    an unseen category is then priced near the mean of the seen ones.
+    """
+    model = LinearRegression(
         featuresCol=features, labelCol=target, regParam=reg_param, elasticNetParam=0.0, standardization=False,
-        solver=solver, maxIter=200, tol=1e-8,
+        solver="l-bfgs", maxIter=MAX_STEPS, tol=1e-12,
     ).fit(df)
+    if model.summary.totalIterations >= MAX_STEPS:
+        raise ValueError(f"linear fit did not converge in {MAX_STEPS} steps")
+    return model
 
 
 def ridge_reg_param(df: DataFrame, target: str, alpha: float) -> float:
@@ -98,7 +98,7 @@ def ridge_reg_param(df: DataFrame, target: str, alpha: float) -> float:
 
     Spark divides the loss by n and scales the label by its deviation.
     """
-    row = df.agg(F.stddev_pop(target).alias("s"), F.count(F.lit(1)).alias("n")).first()
+    row = df.agg(F.stddev_samp(target).alias("s"), F.count(F.lit(1)).alias("n")).first()
     return alpha * row["s"] / row["n"]
 
 
@@ -111,11 +111,15 @@ def ridge_model(train: DataFrame, target: str = TARGET, alpha: float = 1.0) -> P
 
 
 def forest_model(train: DataFrame, target: str = TARGET, trees: int = 200, depth: int = 30, seed: int = 42) -> PipelineModel:
+    prepared = Pipeline(stages=tree_feature_stages()).fit(train)
+    vectors = prepared.transform(train)
+    values = max(len(labels) for labels in prepared.stages[0].labelsArray) + 1
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed,
-        featureSubsetStrategy="all", subsamplingRate=1.0,
+        # every category has a bin of its own; numerics get as many cut points
+        maxBins=max(256, values), maxMemoryInMB=1024, featureSubsetStrategy="all", subsamplingRate=1.0,
     )
-    return Pipeline(stages=[*tree_feature_stages(target), forest]).fit(train)
+    return PipelineModel([*prepared.stages, forest.fit(vectors)])
 
 
 @dataclass(frozen=True)

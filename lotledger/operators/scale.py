@@ -18,20 +18,22 @@ from ..session import materialize
 
 # Largest group handed to `percentile` or to one ordered window.
 HOT_GROUP_ROWS = 2_000_000
-# Value ranges per large group; a range is what one task sorts.
-RANGES = 256
-# Rows up to which a side is broadcast.
-BROADCAST_ROWS = 200_000
+# Rows of a value range, which is what one task sorts, and ranges per group at least.
+RANGE_ROWS, RANGES = 1_000_000, 16
+# Cut points per step of the search for one key.
+PROBES = 256
+# Bytes (as JSON text) up to which a side is broadcast.
+BROADCAST_BYTES = 32 << 20
 # Copies of the small side (and slices of each key of the large side) beyond that.
 JOIN_SLICES = 16
 
 
 def sized_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner",
-               broadcast_rows: int = BROADCAST_ROWS, slices: int = JOIN_SLICES) -> DataFrame:
+               broadcast_bytes: int = BROADCAST_BYTES, slices: int = JOIN_SLICES) -> DataFrame:
     """Join a fact side to a smaller side, hot keys included.
 
     ``small`` is written once so its size is known before the plan is fixed:
-    up to ``broadcast_rows`` it is broadcast; beyond that every key of the
+    up to ``broadcast_bytes`` it is broadcast; beyond that every key of the
     large side is cut into slices by a hash of the row, and the small side is
     repeated per slice. Rows of ``small`` multiply as in any join; NULL keys match.
     """
@@ -39,7 +41,8 @@ def sized_join(large: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     keys = list(on)
     renamed = small.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     match = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
-    if small.count() <= broadcast_rows:
+    held = small.agg(F.coalesce(F.sum(F.length(F.to_json(F.struct(*small.columns)))), F.lit(0))).first()[0]
+    if held <= broadcast_bytes:
         return large.join(F.broadcast(renamed), match, how).drop(*[f"_r_{k}" for k in keys])
     sliced = large.withColumn("_slice", F.pmod(F.xxhash64(*large.columns), F.lit(slices)))
     repeated = renamed.withColumn("_r_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
@@ -66,18 +69,22 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def cumulative_sums(counts: DataFrame, keys: Sequence[str], order: str, sums: Sequence[str],
-                    ranges: int = RANGES) -> DataFrame:
+                    ranges: int | None = None) -> DataFrame:
     """Running totals per group in ``order``, plus the next larger value.
 
     ``counts`` holds one row per (keys, order). Adds ``cum_<c>`` (inclusive)
     and ``total_<c>`` for every column in ``sums``, and ``next_<order>``.
-    Each group is cut into ``ranges`` value ranges at approximate quantiles:
-    tasks sort one range, and the table of range totals (at most ``ranges``
-    rows per group) supplies the offset. The cut points affect balance only.
+    Each group is cut into ``ranges`` value ranges at approximate quantiles (by
+    default as many as keep a range of the largest possible group at
+    ``RANGE_ROWS``): tasks sort one range, and the table of range totals (at
+    most ``ranges`` rows per group) supplies the offset. The cut points affect
+    balance only.
     """
     keys = list(keys)
     # Read three times below; what produces the counts runs once.
     counts = materialize(counts, "counts")
+    if ranges is None:
+        ranges = max(RANGES, -(-counts.count() // RANGE_ROWS))
     points = [i / ranges for i in range(1, ranges)]
     cuts = F.percentile_approx(order, points, 4 * ranges).alias("_cuts")
     if keys:
@@ -149,15 +156,21 @@ def group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column] = (),
     largest group's size where the caller knows it, saving the counting pass.
     """
     keys, percentiles = list(keys), dict(percentiles or {})
-    exact = [F.percentile(F.col(c).cast("double"), F.lit(float(p))).alias(a) for a, (c, p) in percentiles.items()]
+    by_column: dict[str, dict[str, float]] = {}
+    for alias, (column, p) in percentiles.items():
+        by_column.setdefault(column, {})[alias] = p
+    # one map of values per column, however many percentiles it gives
+    exact = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(float(p)) for p in wanted.values()])).alias(f"_p{i}")
+             for i, (c, wanted) in enumerate(by_column.items())]
+    place = {a: F.get(f"_p{i}", F.lit(j)).alias(a) for i, wanted in enumerate(by_column.values()) for j, a in enumerate(wanted)}
+    picked = [place[a] for a in percentiles]
     if percentiles and largest is None:
         largest = largest_group(df, keys)
     if not percentiles or largest <= hot_rows:
-        return df.groupBy(*keys).agg(*aggs, *exact)
+        found = df.groupBy(*keys).agg(*aggs, *exact)
+        hidden = {f"_p{i}" for i in range(len(by_column))}
+        return found.select(*[c for c in found.columns if c not in hidden], *picked) if percentiles else found
 
-    by_column: dict[str, dict[str, float]] = {}
-    for alias, (column, p) in percentiles.items():
-        by_column.setdefault(column, {})[alias] = p
     base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
     if not keys:
         out = base.drop("_rows")
@@ -169,11 +182,10 @@ def group_stats(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column] = (),
     base = materialize(base, "groups")
     hot = base.where(F.col("_rows") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
     marked = sized_join(df, hot, keys, "left")
-    cold_side = marked.where(F.col("_hot").isNull()).groupBy(*keys).agg(*exact)
-    hot_side = None
+    cold_side = marked.where(F.col("_hot").isNull()).groupBy(*keys).agg(*exact).select(*keys, *picked)
+    hot_side = hot.select(*keys)  # a group without values of a column keeps its other percentiles
     for column, wanted in by_column.items():
-        part = _ranked_percentiles(marked.where(F.col("_hot")), keys, column, wanted)
-        hot_side = part if hot_side is None else _null_safe_join(hot_side, part, keys)
+        hot_side = _null_safe_join(hot_side, _ranked_percentiles(marked.where(F.col("_hot")), keys, column, wanted), keys)
     found = cold_side.unionByName(hot_side.select(*cold_side.columns))
     names = [c for c in base.columns if c != "_rows"]
     return _null_safe_join(base, found, keys).select(*names, *percentiles)
@@ -203,10 +215,10 @@ def kth_key(df: DataFrame, key: str, k: int, hot_rows: int = HOT_GROUP_ROWS) ->
     if not 1 <= k <= size:
         raise ValueError(f"k={k} outside 1..{size}")
     while size > hot_rows:
-        points = [i / RANGES for i in range(1, RANGES)]
-        cuts = sorted(set(rest.agg(F.percentile_approx(key, points, 4 * RANGES)).first()[0]))
+        points = [i / PROBES for i in range(1, PROBES)]
+        cuts = sorted(set(rest.agg(F.percentile_approx(key, points, 4 * PROBES)).first()[0]))
         where = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col(key)))
-        tally = dict(rest.groupBy(where.alias("r")).count().collect())  # at most RANGES rows
+        tally = dict(rest.groupBy(where.alias("r")).count().collect())  # at most PROBES rows
         chosen = 0
         for chosen in sorted(tally):
             if remaining <= tally[chosen]:

@@ -17,7 +17,10 @@ def temporal_holdout(df: DataFrame, key: str, test_size: float = 0.2,
     k-th smallest ``key`` (unique, numeric), so labelling rows needs no sort.
     """
     period = period_key(F.col("ano"), F.col("mes"))
-    sizes = sorted((r[0], r[1]) for r in df.groupBy(period.alias("p")).count().collect())
+    counted = df.groupBy(period.alias("p")).count().collect()
+    if any(r[0] is None for r in counted):
+        raise ValueError("temporal split needs a year and a month in every row")
+    sizes = sorted((r[0], r[1]) for r in counted)
     total = sum(n for _, n in sizes)
     train_rows = total - whole_rows(total, test_size) if total else 0
     if train_rows <= 0:
@@ -46,7 +49,7 @@ def period_range(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 def backtest_periods(df: DataFrame, windows: int = 3, min_train_periods: int = 3) -> list[int]:
     """The ``yyyymm`` periods that serve as test folds (periods are few)."""
     period = period_key(F.col("ano"), F.col("mes")).alias("p")
-    periods = sorted(r[0] for r in df.select(period).distinct().collect())
+    periods = sorted(r[0] for r in df.select(period).distinct().where("p is not null").collect())
     return periods[min_train_periods:][-windows:]
 
 

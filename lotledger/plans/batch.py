@@ -1,13 +1,14 @@
 """The batch stages end to end: clean, features, exploration, training, validation.
 
-A published table is a folder of versions and a one-row pointer to the current
-one. A stage writes a new version, judges what it wrote, and moves the pointer
-only when the gate passes: nothing is copied, and a failed gate leaves readers
-on the version they had.
+A published table is a folder of versions and a table of pointers, of which the
+newest counts. A stage writes a new version, judges what it wrote, and appends a
+pointer only when the gate passes: nothing is copied or overwritten, and a
+failed gate or a crash leaves readers on the version they had.
 """
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -21,6 +22,10 @@ from ..session import materialize
 from ..sources import fingerprint, registry, sinks
 
 
+# Column that tells rows of the feature table apart.
+ROW_ID = "id"
+
+
 def _write_version(df: DataFrame, path: str) -> tuple[str, DataFrame]:
     version = f"{path}/version-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(version)
@@ -28,12 +33,13 @@ def _write_version(df: DataFrame, path: str) -> tuple[str, DataFrame]:
 
 
 def _point_to(spark: SparkSession, path: str, version: str) -> None:
-    spark.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+    row = spark.createDataFrame([(time.time_ns(), version)], "at long, version string")
+    row.coalesce(1).write.mode("append").parquet(f"{path}/pointers")
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
     """The current version of a published table."""
-    return spark.read.parquet(spark.read.parquet(f"{path}/current").first()["version"])
+    return spark.read.parquet(spark.read.parquet(f"{path}/pointers").agg(F.max_by("version", "at")).first()[0])
 
 
 def publish_clean(raw: DataFrame, path: str, report_path: str | None = None, **limits) -> DataFrame:
@@ -52,8 +58,13 @@ def publish_clean(raw: DataFrame, path: str, report_path: str | None = None, **l
 
 
 def publish_features(clean: DataFrame, path: str, report_path: str | None = None, **limits) -> DataFrame:
-    """Build the feature table, gate its contract, publish it as Parquet."""
-    version, staged = _write_version(features.build_features(clean), path)
+    """Build the feature table, gate its contract, publish it as Parquet.
+
+    Every row gets its ``id`` here, once, and is stored with it: training and
+    validation cut the table by that column, so both see one holdout.
+    """
+    built = features.build_features(clean).withColumn(ROW_ID, F.monotonically_increasing_id())
+    version, staged = _write_version(built, path)
     cleaning.assert_domain(staged, features.FEATURE_COLUMNS)
     contract = materialize(quality.feature_contract(staged, **limits), "contract")
     if report_path:
@@ -94,13 +105,12 @@ def train(feature_table: DataFrame, root: str, version: str,
           candidates: Sequence[training.Candidate] | None = None) -> StoredModel:
     """Fit the candidates, store the best as ``<root>/dev/model_<version>`` and log every run.
 
-    Rows get an id once, in table order, and are written with it, so that
-    the holdout cut inside a month is the same whenever it is computed.
+    The holdout is cut by the stored ``id``.
     """
     candidates = list(candidates or training.default_candidates())
-    rows = materialize(feature_table.withColumn("id", F.monotonically_increasing_id()), "rows")
-    data_version = fingerprint.table_fingerprint(rows.drop("id")).first()["digest"]
-    trained = training.train_candidates(rows, "id", candidates)
+    rows = cleaning.require_columns(feature_table, (ROW_ID,))
+    data_version = fingerprint.table_fingerprint(rows.drop(ROW_ID)).first()["digest"]
+    trained = training.train_candidates(rows, ROW_ID, candidates)
     best = next(c for c in candidates if c.name == trained.best)
     summary = materialize(training.train_summary(rows, trained, best, version, data_version), "train-summary")
     path = registry.save_model(trained.models[trained.best], f"{root}/dev/model_{version}")
@@ -113,8 +123,8 @@ def train(feature_table: DataFrame, root: str, version: str,
 
 def validate(feature_table: DataFrame, model_path: str, env: str, report_path: str) -> DataFrame:
     """Validation report of a stored model on the holdout of ``feature_table``."""
-    rows = materialize(feature_table.withColumn("id", F.monotonically_increasing_id()), "rows")
-    report = training.validation_report(registry.load_model(model_path), rows, "id", env, model_path)
+    rows = cleaning.require_columns(feature_table, (ROW_ID,))
+    report = training.validation_report(registry.load_model(model_path), rows, ROW_ID, env, model_path)
     report = materialize(report, "validation")
     sinks.write_json_report(report, report_path)
     return report

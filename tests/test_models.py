@@ -44,7 +44,7 @@ def test_ridge_matches_closed_form(spark):
     y = x @ [2.0, -1.0] + rng.normal(size=200) + 5
     df = spark.createDataFrame([(float(a), float(b), float(c)) for (a, b), c in zip(x, y)], "a double, b double, y double")
     vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
-    model = training.fit_linear(vectors, "features", "y", training.ridge_reg_param(vectors, "y", 50.0), 2)
+    model = training.fit_linear(vectors, "features", "y", training.ridge_reg_param(vectors, "y", 50.0))
     centred = x - x.mean(0)
     exact = np.linalg.solve(centred.T @ centred + 50.0 * np.eye(2), centred.T @ (y - y.mean()))
     assert model.coefficients.toArray() == pytest.approx(exact, rel=1e-6)

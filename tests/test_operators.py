@@ -58,7 +58,7 @@ def test_kth_key(spark):
 def test_sized_join_slices_when_not_broadcast(spark, skewed):
     df, _ = skewed
     side = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
-    small, large = sized_join(df, side, ["k"]), sized_join(df, side, ["k"], broadcast_rows=1, slices=4)
+    small, large = sized_join(df, side, ["k"]), sized_join(df, side, ["k"], broadcast_bytes=1, slices=4)
     assert small.count() == large.count() == 3000
     assert small.select(*large.columns).exceptAll(large).isEmpty()
 
@@ -204,3 +204,17 @@ def test_clean_end_to_end(spark):
     assert got == {"1": ("2024-04-03", 1000.5, "SAO JOAO"), "3": ("None", None, "C")}
     counters = cleaning.removal_counters(snake_columns(df)).first()
     assert tuple(counters) == (1, 1, 1)
+
+
+def test_hot_group_with_an_empty_column_keeps_the_others(spark):
+    df = spark.range(400).selectExpr("if(id < 300, 'hot', 'cold') k", "cast(null as double) a", "cast(id as double) b", "cast(id % 7 as double) c")
+    wanted = {"ma": ("a", 0.5), "mb": ("b", 0.5), "pb": ("b", 0.9), "mc": ("c", 0.25)}
+    plain = {r.k: r for r in group_stats(df, ["k"], [], wanted).collect()}
+    split = {r.k: r for r in group_stats(df, ["k"], [], wanted, hot_rows=50).collect()}
+    assert plain == split and plain["hot"].mb == 149.5 and plain["hot"].ma is None
+
+
+def test_temporal_holdout_refuses_null_periods(spark):
+    df = spark.range(10).selectExpr("id", "if(id = 3, null, 2024) ano", "cast(1 + id % 5 as int) mes")
+    with pytest.raises(ValueError, match="year and a month"):
+        splits.temporal_holdout(df, "id")

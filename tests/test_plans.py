@@ -30,3 +30,24 @@ def test_stages_end_to_end(spark, raw, tmp_path):
     report = batch.validate(table, stored.path, "test", f"{root}/validation").first()
     assert (report["version"], report["n_holdout"]) == ("2026.01.02.0304", 96)
     assert report["mae"] == pytest.approx(stored.summary.first()["candidates"][0]["mae"])
+
+
+def test_holdout_does_not_depend_on_file_splits(spark, tmp_path):
+    from lotledger.operators.splits import temporal_holdout
+
+    clean = spark.range(20_000).selectExpr(
+        "'TERRENO' descricao_do_uso_iptu", "lpad(cast(id % 30 as string), 8, '0') cep", "cast(50 + id % 40 as double) area_do_terreno_m2",
+        "cast(1000 + id % 70 as double) valor_venal_de_referencia", "make_date(cast(2020 + id % 3 as int), 1, 1) data_de_transacao").repartition(3)
+    batch.publish_features(clean, str(tmp_path), min_periods=1)
+    sets = []
+    try:
+        for size in ("16k", "128m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            table = batch.read_published(spark, str(tmp_path))
+            test = temporal_holdout(table, batch.ROW_ID).where("split = 'test'")
+            sets.append({r["id"] for r in test.collect()})
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sets[0] == sets[1] and len(sets[0]) == 4000
+    with pytest.raises(ValueError, match="missing required"):
+        batch.train(table.drop("id"), str(tmp_path), "v")
