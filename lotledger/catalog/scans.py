@@ -233,16 +233,31 @@ def _(spark, sf):
 
 
 @query("a13_run_export", """
-SELECT CAST(conv_id AS VARCHAR) AS id, CAST(count(*) AS VARCHAR) AS turns,
-       string_agg(role, '|' ORDER BY turn) AS tools_used
-FROM conversations GROUP BY conv_id
+WITH c AS (SELECT conv_id, count(*) AS n, string_agg(role, '|' ORDER BY turn) AS roles, arg_min(text, turn) AS q,
+                  arg_max(text, turn) AS a, sum(length(text)) AS size FROM conversations GROUP BY conv_id)
+SELECT 'top_k_' || CAST(conv_id % 3 AS VARCHAR) AS config_name, CAST(conv_id % 3 AS VARCHAR) AS rag_top_k, CAST(conv_id AS VARCHAR) AS id,
+       'rag' AS category, 'rag_search' AS expected_tool, roles AS tools_used, CAST(n AS VARCHAR) AS chunks_retrieved,
+       CAST(size AS VARCHAR) AS latency_ms, CAST(length(a) AS VARCHAR) AS response_length,
+       CASE WHEN conv_id % 5 = 0 THEN 'false' ELSE 'true' END AS success, CASE WHEN conv_id % 5 = 0 THEN 'timeout; "late"' END AS error,
+       roles AS sources, q AS question, a || chr(10) || '"' || q || '", fim' AS answer
+FROM c
 """)
 def _(spark, sf):
-    runs = table(spark, sf, "conversations").groupBy(F.col("conv_id").cast("string").alias("id")).agg(
-        F.count(F.lit(1)).cast("string").alias("turns"),
-        F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]).alias("tools_used"),
-    )
-    return _through_csv(spark, sinks.flatten_lists(runs), "runs")
+    turns = F.array_sort(F.collect_list(F.struct("turn", "role")))
+    talks = table(spark, sf, "conversations").groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("n"), F.transform(turns, lambda x: x["role"]).alias("roles"), F.min_by("text", "turn").alias("q"),
+        F.max_by("text", "turn").alias("a"), F.sum(F.length("text")).alias("size"))
+    late = F.col("conv_id") % 5 == 0
+    runs = talks.select(
+        F.concat(F.lit("top_k_"), F.col("conv_id") % 3).alias("config_name"), (F.col("conv_id") % 3).alias("rag_top_k"),
+        F.col("conv_id").alias("id"), F.lit("rag").alias("category"), F.lit("rag_search").alias("expected_tool"),
+        F.col("roles").alias("tools_used"), F.col("n").alias("chunks_retrieved"), F.col("size").alias("latency_ms"),
+        F.length("a").alias("response_length"), (~late).alias("success"), F.when(late, 'timeout; "late"').alias("error"),
+        F.col("roles").alias("sources"), F.col("q").alias("question"),
+        F.concat("a", F.lit('\n"'), "q", F.lit('", fim')).alias("answer"))
+    path = scratch_path(spark, "runs")
+    sinks.write_runs(runs, f"{path}/json", f"{path}/csv")
+    return raw.read_delimited(spark, f"{path}/csv", sinks.RUN_COLUMNS, sep=",")
 
 
 @query("a14_table_fingerprint", """
@@ -263,17 +278,6 @@ def _(spark, sf):
     return fingerprint.table_fingerprint(table(spark, sf, "orders"), columns, hasher="md5", stem="orders")
 
 
-@query("a14_file_digests")
-def _(spark, sf):
-    return fingerprint.file_digests(spark, sf, "*.parquet").select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), "length", "sha256")
-
-
-@query("a15_corpus_signature")
-def _(spark, sf):
-    return fingerprint.corpus_signature(spark, sf, "*.parquet")
-
-
 @query("a16_newest_model", """
 WITH r AS (
   SELECT CASE o_orderstatus WHEN 'F' THEN 'prod' WHEN 'O' THEN 'dev' ELSE 'test' END AS env,

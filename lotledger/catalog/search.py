@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import retrieval
 from ..session import scratch_path
+from ..sources import fingerprint
 from .registry import query, spread, table
 
 _WORD = "[\\p{L}\\p{N}_]{2,}"
@@ -81,12 +82,15 @@ def _(spark, sf):
 @query("h3_h4_stored_index", "SELECT count(*) AS indexed, FALSE AS fresh_before, TRUE AS fresh_after, FALSE AS fresh_if_changed FROM documents")
 def _(spark, sf):
     path = scratch_path(spark, "index")
+    docs = table(spark, sf, "documents")
     rows = _documents(spark, sf).withColumnRenamed("doc_id", "chunk_index")
-    before = retrieval.index_is_fresh(spark, path, "s1")
-    index = retrieval.ensure_index(spark, path, "s1", rows)
+    # the signature of what is indexed, and of the table with one row less
+    now, changed = (fingerprint.table_fingerprint(t).first()["digest"] for t in (docs, docs.where("doc_id <> 0")))
+    before = retrieval.index_is_fresh(spark, path, now)
+    index = retrieval.ensure_index(spark, path, now, rows)
     return index.agg(F.count(F.lit(1)).alias("indexed")).withColumns({
-        "fresh_before": F.lit(before), "fresh_after": F.lit(retrieval.index_is_fresh(spark, path, "s1")),
-        "fresh_if_changed": F.lit(retrieval.index_is_fresh(spark, path, "s2"))})
+        "fresh_before": F.lit(before), "fresh_after": F.lit(retrieval.index_is_fresh(spark, path, now)),
+        "fresh_if_changed": F.lit(retrieval.index_is_fresh(spark, path, changed))})
 
 
 @query("h5_dense_cosine", """

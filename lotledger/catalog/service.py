@@ -71,9 +71,10 @@ def _(spark, sf):
     return _rated(service.rate(_events(spark, sf), ["event_type"]))
 
 
-@query("j3_stream_rate", _RATE_SQL)
+@query("j3_stream_rate", _RATE_SQL + " HAVING w + INTERVAL '300 seconds' <= (SELECT max(ts) FROM events) - INTERVAL '1 minute'")
 def _(spark, sf):
-    return _rated(service.run_available(service.rate(_stream(spark, sf), ["event_type"]), "complete", "rate"))
+    # A stream emits the windows its watermark has passed.
+    return _rated(service.run_available(service.rate(_stream(spark, sf), ["event_type"], panes=True), "append", "rate"))
 
 
 @query("j3_error_rate", _RATE_SQL.replace("FROM events,", "FROM (SELECT ts, CASE event_type WHEN 'error' THEN '500' WHEN 'view' THEN '404' END AS event_type FROM events WHERE event_type IN ('error', 'view')),"))

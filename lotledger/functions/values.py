@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .text import strip
+
 # Fixed value: the first number in a cell, after separators are rewritten.
 _NUMBER = r"([-+]?[0-9]*\.?[0-9]+)"
 
@@ -92,7 +94,7 @@ def region_key(df: DataFrame, region: str = "bairro", fallback: str = "cep") ->
     name = region if region in df.columns else fallback
     if name not in df.columns:
         raise ValueError(f"neither {region!r} nor {fallback!r} is present")
-    return F.upper(F.trim(F.col(name).cast("string")))
+    return F.upper(strip(F.col(name).cast("string")))
 
 
 def lenient_double(col: Column) -> Column:

@@ -33,6 +33,16 @@ def _sample_counts(df: DataFrame, columns: Sequence[str], kind: str, sample: str
     )
 
 
+def _size(column: str) -> Column:
+    return F.coalesce(column, F.lit(0).cast("long")).alias(column)
+
+
+def _drifted(score: str, threshold: float) -> Column:
+    """At or above the threshold; a column without values in either sample has drifted as well."""
+    empty = (F.coalesce("n_ref", F.lit(0)) == 0) | (F.coalesce("n_cur", F.lit(0)) == 0)
+    return empty | F.coalesce(F.col(score) >= threshold, F.lit(True))
+
+
 def numeric_drift(df: DataFrame, columns: Sequence[str], sample: str = "sample",
                   threshold: float = DRIFT_THRESHOLD) -> DataFrame:
     """Kolmogorov-Smirnov and normalized Wasserstein distance per numeric column.
@@ -54,10 +64,10 @@ def numeric_drift(df: DataFrame, columns: Sequence[str], sample: str = "sample",
     spread = spreads.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.greatest(F.col(c), F.lit(0.001)).alias("_std")) for c in columns
     ])).alias("_s")).select("_s.*")
-    out = distances.join(spread, "column").withColumn("wasserstein", F.try_divide("_w", "_std"))
+    out = spread.join(distances, "column", "left").withColumn("wasserstein", F.try_divide("_w", "_std"))
     return out.select(
-        "column", F.lit("numeric").alias("kind"), "n_ref", "n_cur", "ks", "wasserstein",
-        F.col("wasserstein").alias("score"), (F.col("wasserstein") >= threshold).alias("drifted"),
+        "column", F.lit("numeric").alias("kind"), _size("n_ref"), _size("n_cur"), "ks", "wasserstein",
+        F.col("wasserstein").alias("score"), _drifted("wasserstein", threshold).alias("drifted"),
     )
 
 
@@ -76,14 +86,15 @@ def categorical_drift(df: DataFrame, columns: Sequence[str], sample: str = "samp
         return F.when(x > 0, x * F.log(x / middle)).otherwise(F.lit(0.0))
 
     p_floor, q_floor = F.greatest(p, F.lit(EMPTY_SHARE)), F.greatest(q, F.lit(EMPTY_SHARE))
-    out = shares.groupBy("column").agg(
+    found = shares.groupBy("column").agg(
         F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"),
         F.sqrt(F.greatest((F.sum(part(p)) + F.sum(part(q))) / 2, F.lit(0.0))).alias("jensen_shannon"),
         F.sum((q_floor - p_floor) * F.log(q_floor / p_floor)).alias("psi"),
     )
-    return out.select(
-        "column", F.lit("categorical").alias("kind"), "n_ref", "n_cur", "jensen_shannon", "psi",
-        F.col("jensen_shannon").alias("score"), (F.col("jensen_shannon") >= threshold).alias("drifted"),
+    asked = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    return asked.join(found, "column", "left").select(
+        "column", F.lit("categorical").alias("kind"), _size("n_ref"), _size("n_cur"), "jensen_shannon", "psi",
+        F.col("jensen_shannon").alias("score"), _drifted("jensen_shannon", threshold).alias("drifted"),
     )
 
 
@@ -106,7 +117,7 @@ def dataset_drift(report: DataFrame, drift_share: float = DRIFT_SHARE) -> DataFr
     share = F.avg(F.col("drifted").cast("int"))
     return report.agg(
         F.count(F.lit(1)).alias("columns"), F.count_if("drifted").alias("drifted_columns"), share.alias("drift_share"),
-        (share >= drift_share).alias("dataset_drift"),
+        F.coalesce(share >= drift_share, F.lit(True)).alias("dataset_drift"),  # nothing compared is an alert
     )
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.text import strip
 from .cleaning import AREA, TARGET
 from .scale import (
     HOT_GROUP_ROWS, group_stats, largest_group, linear_edges, right_closed_bin, scalar_stats, sized_join,
@@ -151,8 +152,8 @@ def compare_regions(pairs: DataFrame, sales: DataFrame, metrics: Sequence[str],
         return stats.select(F.col(region).alias(f"region_{letter}"), F.create_map(*entries).alias(f"_{letter}"))
 
     asked = pairs.withColumns({
-        "region_a": F.upper(F.trim("region_a")),
-        "region_b": F.upper(F.trim("region_b")),
+        "region_a": F.upper(strip(F.col("region_a"))),
+        "region_b": F.upper(strip(F.col("region_b"))),
         "metric": resolve_metric(F.coalesce(F.col("metric"), F.lit(TARGET)), wanted),
     })
     found = sized_join(sized_join(asked, side("a"), ["region_a"], "left"), side("b"), ["region_b"], "left")

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.text import strip
 from ..operators.cleaning import drop_incomplete, require_columns
 
 # The positional column names of a monthly sheet.
@@ -53,7 +54,7 @@ def positional_names(width: int) -> list[str]:
 
 
 def is_month_sheet(sheet: Column) -> Column:
-    return F.upper(F.trim(sheet)).rlike(MONTH_SHEET)
+    return F.upper(strip(sheet)).rlike(MONTH_SHEET)
 
 
 def name_part(df: DataFrame, arquivo: Column, aba: Column) -> DataFrame:
@@ -76,49 +77,54 @@ def string_schema(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
+def _delimited(spark: SparkSession, sep: str):
+    """A reader for what :func:`sinks.write_delimited` writes: quotes are doubled, cells may hold line breaks."""
+    return spark.read.options(sep=sep, quote='"', escape='"', multiLine="true")
+
+
 def read_delimited(spark: SparkSession, path: str, names: Sequence[str] | None = None, header: bool = True,
                    sep: str = ";") -> DataFrame:
     """Delimited files with every column a string; fails when there is no row."""
-    reader = spark.read.option("sep", sep).option("header", header)
+    reader = _delimited(spark, sep).option("header", header)
     df = (reader.schema(string_schema(names)) if names else reader).csv(path)
     if df.isEmpty():
         raise ValueError(f"no row in {path}")
     return df
 
 
-def read_monthly_parts(spark: SparkSession, root: str, extra_columns: int = 4, sep: str = ";",
-                       check_width: bool = True) -> DataFrame:
+def read_monthly_parts(spark: SparkSession, root: str, sep: str = ";") -> DataFrame:
     """All monthly parts landed as ``<root>/<arquivo>/<aba>.csv`` without header.
 
-    One scan covers every file: the schema is as wide as the widest part and
-    shorter rows are padded. Parts whose name is not a month are left out, and
-    a part narrower than the minimum is an error. That check reads the files
-    once more; ``check_width=False`` skips it for parts checked before.
+    One scan covers every file: the schema is as wide as the widest line of any
+    part (separators inside quotes don't count) and shorter rows are padded.
+    Parts whose name is not a month are left out; a part without a line, or
+    narrower than the minimum, is an error.
     """
-    width = len(MONTHLY_COLUMNS) + extra_columns
-    names = positional_names(width)
     scan = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
-    file_path = F.col("_metadata.file_path")
 
-    def lineage(df: DataFrame) -> DataFrame:
-        aba = F.url_decode(F.regexp_extract(file_path, r"([^/]+)\.csv$", 1))
-        arquivo = F.url_decode(F.regexp_extract(file_path, r"([^/]+)/[^/]+$", 1))
+    def lineage(df: DataFrame, path: Column) -> DataFrame:
+        aba = F.url_decode(F.regexp_extract(path, r"([^/]+)\.csv$", 1))
+        arquivo = F.url_decode(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1))
         return df.withColumns({"arquivo": arquivo, "aba": aba}).where(is_month_sheet(F.col("aba")))
 
-    if check_width:
-        lines = lineage(spark.read.options(**scan).text(root))
-        cells = F.size(F.split("value", f"\\Q{sep}\\E"))
-        narrow = lines.groupBy("arquivo", "aba").agg(F.max(cells).alias("w")).where(
-            (F.col("w") < MIN_COLUMNS) | (F.col("w") > width)
-        )
-        bad = narrow.limit(5).collect()
-        if bad:
-            raise ValueError(f"parts with an unexpected number of columns: {bad}")
-    parts = lineage(spark.read.options(**scan).option("sep", sep).schema(string_schema(names)).csv(root))
-    out = parts.na.drop("all", subset=names)
-    if out.isEmpty():
+    file_path = F.col("_metadata.file_path")
+    texts = spark.read.options(**scan).text(root)
+    # the scan itself passes over files without a byte, so the listing is asked (one name per sheet)
+    listed = spark.createDataFrame([(path,) for path in texts.inputFiles()], "path string")
+    landed = lineage(listed, F.col("path")).select(*LINEAGE)
+    lines = lineage(texts, file_path)
+    # a quote left open by a line break is closed on another line
+    outside = F.regexp_replace("value", '"[^"]*("|$)', "")
+    cells = F.length(outside) - F.length(F.replace(outside, F.lit(sep), F.lit(""))) + 1
+    widths = landed.join(lines.groupBy(*LINEAGE).agg(F.max(cells).alias("w")), list(LINEAGE), "left")
+    judged = widths.agg(F.max("w").alias("w"), F.min_by(F.struct(*LINEAGE, "w"), F.coalesce("w", F.lit(0))).alias("least")).first()
+    if judged["least"] is None:
         raise ValueError(f"no monthly part under {root}")
-    return out
+    if (judged["least"]["w"] or 0) < MIN_COLUMNS:
+        raise ValueError(f"a monthly part is empty or has an unexpected number of columns: {judged['least'].asDict()}")
+    names = positional_names(max(judged["w"], len(MONTHLY_COLUMNS)))
+    parts = lineage(_delimited(spark, sep).options(**scan).schema(string_schema(names)).csv(root), file_path)
+    return parts.na.drop("all", subset=names)
 
 
 def load_feature_table(df: DataFrame, required: Sequence[str], at_least: int = 10) -> DataFrame:
@@ -151,8 +157,12 @@ GOLDEN_SET_SCHEMA = "id string, question string, expected_tool string, reference
 
 
 def read_golden_set(spark: SparkSession, path: str, limit: int = 20) -> DataFrame:
-    """Golden questions from JSON lines in id order; ``limit`` <= 0 keeps all."""
-    rows = spark.read.schema(GOLDEN_SET_SCHEMA).json(path).where(F.col("id").isNotNull())
+    """Golden questions from JSON lines in id order; ``limit`` <= 0 keeps all.
+
+    Blank lines are skipped; a malformed line, or one without an id, fails.
+    """
+    rows = spark.read.schema(GOLDEN_SET_SCHEMA).option("mode", "FAILFAST").json(path)
+    rows = rows.withColumn("id", F.coalesce("id", F.raise_error(F.lit("a golden question has no id"))))
     return rows.orderBy("id").limit(limit) if limit > 0 else rows
 
 

@@ -79,18 +79,23 @@ def windowed_quantile(events: DataFrame, value: str, bounds: Sequence[float], ke
     )
 
 
-def rate(events: DataFrame, keys: Sequence[str] = (), ts: str = "ts", width_s: int = 300, slide_s: int = 15) -> DataFrame:
+def rate(events: DataFrame, keys: Sequence[str] = (), ts: str = "ts", width_s: int = 300, slide_s: int = 15,
+         panes: bool | None = None) -> DataFrame:
     """Events per second over a sliding window.
 
-    In batch, events are first counted per slide-long pane (one row per pane
-    and key) and only the panes are spread over the windows they belong to.
+    Events are first counted per slide-long pane (one row per pane and key) and
+    only the panes are spread over the windows they belong to. A stream in
+    ``append`` mode emits a window once the watermark has passed it, and then
+    forgets it; ``panes`` asks for the two steps there too, which the
+    ``complete`` mode does not allow.
     """
     width, slide = f"{width_s} seconds", f"{slide_s} seconds"
-    if events.isStreaming or width_s % slide_s:
+    panes = not events.isStreaming if panes is None else panes
+    if width_s % slide_s or not panes:
         grouped = events.groupBy(F.window(ts, width, slide).alias("window"), *keys).agg(F.count(F.lit(1)).alias("n"))
     else:
-        panes = events.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(F.count(F.lit(1)).alias("n"))
-        grouped = panes.groupBy(F.window(F.col("pane.start"), width, slide).alias("window"), *keys).agg(F.sum("n").alias("n"))
+        counted = events.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(F.count(F.lit(1)).alias("n"))
+        grouped = counted.groupBy(F.window(F.col("pane"), width, slide).alias("window"), *keys).agg(F.sum("n").alias("n"))
     return grouped.select(
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys,
         (F.col("n") / F.lit(float(width_s))).alias("per_second"),
@@ -112,24 +117,21 @@ def mean_value(events: DataFrame, value: str, keys: Sequence[str] = ()) -> DataF
 def absence_alerts(events: DataFrame, source: str, ts: str = "ts", quiet_s: int = 60) -> DataFrame:
     """When each source had been silent for ``quiet_s`` seconds.
 
-    A stream uses session windows, whose end is the alert. In batch a busy
-    source is cut into hours: gaps inside an hour come from a window over
-    that hour, gaps across hours from the hours' first and last events.
+    A stream uses session windows, whose end is the alert. In batch events are
+    first reduced to the first and last of every ``quiet_s`` bucket of a source:
+    two events of one bucket cannot be that far apart, so the silences lie
+    between a bucket's last event and the next bucket's first one. Events
+    without a time say nothing.
     """
     if events.isStreaming:
         sessions = events.groupBy(F.session_window(ts, f"{quiet_s} seconds").alias("s"), source).agg(F.count(F.lit(1)).alias("n"))
         return sessions.select(source, F.col("s.end").alias("alert_at"))
-    hour = F.date_trunc("hour", F.col(ts))
-    rows = events.select(source, F.col(ts).alias("_ts"), hour.alias("_hour"))
-    hours = rows.groupBy(source, "_hour").agg(F.min("_ts").alias("_first"))
-    following = F.lead("_first").over(Window.partitionBy(source).orderBy("_hour"))
-    hours = hours.select(F.col(source).alias("_s"), F.col("_hour").alias("_h"), following.alias("_next_hour"))
-    joined = rows.join(hours, F.col(source).eqNullSafe(F.col("_s")) & (F.col("_hour") == F.col("_h")))
-    next_event = F.coalesce(F.lead("_ts").over(Window.partitionBy(source, "_hour").orderBy("_ts")), F.col("_next_hour"))
-    gaps = joined.select(source, "_ts", next_event.alias("_next"))
-    quiet = F.make_dt_interval(secs=F.lit(quiet_s))
-    silent = F.col("_next").isNull() | (F.col("_next") > F.col("_ts") + quiet)
-    return gaps.where(silent).select(source, (F.col("_ts") + quiet).alias("alert_at"))
+    bucket = F.floor(F.unix_micros(F.col(ts)) / F.lit(quiet_s * 1_000_000))
+    spans = events.where(F.col(ts).isNotNull()).groupBy(source, bucket.alias("_bucket")).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    following = F.lead("_first").over(Window.partitionBy(source).orderBy("_bucket"))
+    alert = F.col("_last") + F.make_dt_interval(secs=F.lit(quiet_s))
+    gaps = spans.withColumn("_next", following).where(F.col("_next").isNull() | (F.col("_next") > alert))
+    return gaps.select(source, alert.alias("alert_at"))
 
 
 def screen_messages(messages: DataFrame, text: str = "message") -> DataFrame:

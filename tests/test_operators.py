@@ -218,3 +218,12 @@ def test_temporal_holdout_refuses_null_periods(spark):
     df = spark.range(10).selectExpr("id", "if(id = 3, null, 2024) ano", "cast(1 + id % 5 as int) mes")
     with pytest.raises(ValueError, match="year and a month"):
         splits.temporal_holdout(df, "id")
+
+
+def test_drift_without_a_current_sample_is_an_alert(spark):
+    from lotledger.operators import drift
+
+    df = spark.range(50).selectExpr("cast(id as double) x", "cast(null as double) z", "cast(id % 3 as string) c", "'reference' sample")
+    report = drift.drift_report(df, ["x", "z"], ["c"])
+    assert {r["column"]: r["drifted"] for r in report.collect()} == {"x": True, "z": True, "c": True}
+    assert drift.dataset_drift(report).first()["dataset_drift"] is True

@@ -92,3 +92,27 @@ def test_sample_is_exact_and_repeatable(spark):
     df = spark.range(1000).withColumn("x", F.col("id") * 2)
     one = raw.sample_rows(df, ["x"], ["id"], 50).collect()
     assert len(one) == 50 and sorted(one) == sorted(raw.sample_rows(df.repartition(7), ["x"], ["id"], 50).collect())
+
+
+def test_monthly_parts_of_any_width(spark, tmp_path):
+    cells = [str(i) for i in range(40)]
+    cells[3] = '"a;b"'
+    write(tmp_path / "f.xlsx" / "JAN-2024.csv", ";".join(cells) + "\n")
+    row = raw.read_monthly_parts(spark, str(tmp_path)).first()
+    assert row["coluna_extra_39"] == "39" and row["complemento"] == "a;b"
+    write(tmp_path / "f.xlsx" / "FEV-2024.csv", "")
+    with pytest.raises(ValueError, match="empty"):
+        raw.read_monthly_parts(spark, str(tmp_path))
+
+
+def test_line_breaks_and_quotes_survive_a_round_trip(spark, tmp_path):
+    rows = [(str(i), s) for i, s in enumerate(["a\nb", 'he said "x"; y', " spaces ", "c"])]
+    sinks.write_delimited(spark.createDataFrame(rows, "id string, text string"), str(tmp_path / "t"))
+    assert sorted(tuple(r) for r in raw.read_delimited(spark, str(tmp_path / "t"), ["id", "text"]).collect()) == rows
+
+
+@pytest.mark.parametrize("line", ['{"id":"q03","question"', '{"question":"no id"}'])
+def test_malformed_golden_lines_fail(spark, tmp_path, line):
+    write(tmp_path / "g.jsonl", '{"id":"q02","question":"b"}\n' + line + "\n")
+    with pytest.raises(Exception):
+        raw.read_golden_set(spark, str(tmp_path), 0).collect()

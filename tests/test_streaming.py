@@ -57,3 +57,15 @@ def test_bucket_quantile(spark):
 
 def test_mean_of_nothing_is_zero(spark):
     assert service.mean_value(spark.createDataFrame([], "v double"), "v").first()[0] == 0.0
+
+
+def test_absence_alerts_match_every_gap(spark):
+    import random
+
+    rng = random.Random(1)
+    seconds = sorted(rng.sample(range(20_000), 300))
+    rows = [(s, "a") for s in seconds] + [(5, "b"), (65, "b"), (126, "b"), (None, "b"), (7, None)]
+    events = spark.createDataFrame(rows, "s long, source string").selectExpr("timestamp_seconds(s) ts", "source")
+    got = sorted((r["source"] or "", int(r["alert_at"].timestamp())) for r in service.absence_alerts(events, "source", quiet_s=60).collect())
+    gaps = [("a", s + 60) for s, t in zip(seconds, [*seconds[1:], 10**9]) if t > s + 60]
+    assert got == sorted(gaps + [("b", 125), ("b", 186), ("", 67)])
