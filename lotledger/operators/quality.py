@@ -135,12 +135,8 @@ def feature_contract(df: DataFrame, target: str = TARGET, min_rows: int = FEATUR
     def when_present(column: str, agg: Column, kind: str) -> Column:
         return (agg if column in has else F.lit(None)).cast(kind)
 
-    # A struct is never NULL, so a (NULL, NULL) period counts as one, as asked.
-    periods = F.count_distinct(F.struct("ano", "mes")) if {"ano", "mes"} <= has else F.lit(0)
     aggs = [
         F.count(F.lit(1)).alias("rows"),
-        (F.count_distinct("cep") if "cep" in has else F.lit(0)).cast("long").alias("unique_ceps"),
-        periods.cast("long").alias("unique_periods"),
         F.create_map(*[x for c in df.columns for x in (F.lit(c), F.count_if(F.col(f"`{c}`").isNull()))]).alias("nulls"),
         when_present(AREA, F.min(AREA) if AREA in has else None, "double").alias("area_min"),
         when_present(AREA, F.max(AREA) if AREA in has else None, "double").alias("area_max"),
@@ -151,6 +147,20 @@ def feature_contract(df: DataFrame, target: str = TARGET, min_rows: int = FEATUR
     facts = group_stats(df, [], aggs, medians, hot_rows)
     if not medians:
         facts = facts.withColumn("target_median", F.lit(None).cast("double"))
+    # distinct counts from one table of combinations, which combines map-side, rather than three copies of every row
+    keys = [c for c in ("cep", "ano", "mes") if c in has]
+    combined = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) if keys else None
+
+    def distinct(columns: Sequence[str], counted: Column, name: str) -> DataFrame:
+        if not set(columns) <= has:
+            return df.sparkSession.range(1).select(F.lit(0).cast("long").alias(name))
+        return combined.groupBy(*columns).agg(F.lit(1)).agg(counted.cast("long").alias(name))
+
+    # a (NULL, NULL) period counts as one, as asked; a NULL code does not
+    ceps = distinct(("cep",), F.count("cep"), "unique_ceps")
+    periods = distinct(("ano", "mes"), F.count(F.lit(1)), "unique_periods")
+    for part in (ceps, periods):  # one row each
+        facts = facts.withColumn("_one", F.lit(1)).join(part.withColumn("_one", F.lit(1)), "_one").drop("_one")
     facts = facts.withColumns({
         "missing_required_columns": _names([c for c in required if c not in has]),
         "forbidden_columns_present": _names(sorted(set(forbidden) & has)),

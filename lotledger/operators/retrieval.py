@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import strip
-from ..session import materialize
-from .retrieval_tasks import BUCKETS, CHUNK_OVERLAP, CHUNK_SIZE, matrix, scorer, split_text, tally
-from .scale import cumulative_sums, sized_join
+from ..session import materialize, scratch_path
+from .retrieval_tasks import BUCKETS, CHUNK_OVERLAP, CHUNK_SIZE, chunker, matrix, scorer, tally
+from .scale import sized_join
 
 TOP_K = 3
 # Fixed value: the marker of this vector scheme.
@@ -18,30 +20,24 @@ INDEX_MARKER = "embedding_backend=md5_hash_256"
 QUERY_BLOCK = 8192
 
 
-def _splitter(size: int, overlap: int):
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t, size, overlap) if t else [])
-
-    return F.pandas_udf(split, "array<string>")
-
-
 def chunk_documents(docs: DataFrame, order: str, content: str = "content", size: int = CHUNK_SIZE,
                     overlap: int = CHUNK_OVERLAP) -> DataFrame:
     """Chunks with a ``chunk_index`` running over the whole corpus in ``order``.
 
-    ``order`` is a unique numeric document key. Documents are split once;
-    the running index comes from per-document counts, so no task orders the
-    corpus.
+    ``order`` is a unique numeric document key. Documents are dealt out once,
+    by ranges of it; a task splits its documents in order and numbers its
+    chunks, and the chunk counts of the tasks before it are added to that.
     """
     keep = [c for c in docs.columns if c != content]
-    pieces = _splitter(size, overlap)(F.col(content))
-    split = materialize(docs.select(*keep, pieces.alias("_pieces")), "chunks")
-    counts = split.select(F.col(order).alias("_key"), F.size("_pieces").cast("long").alias("n"))
-    offsets = cumulative_sums(counts, [], "_key", ["n"]).select("_key", (F.col("cum_n") - F.col("n")).alias("_offset"))
-    joined = split.join(offsets, F.col(order) == F.col("_key"))
-    return joined.select(*keep, "_offset", F.posexplode("_pieces").alias("_pos", "content")).select(
-        *keep, (F.col("_offset") + F.col("_pos")).alias("chunk_index"), "content"
-    )
+    ordered = docs.repartitionByRange(F.col(order)).sortWithinPartitions(order).select(*keep, F.col(content).alias("content"))
+    schema = docs.select(*keep).schema.add("_part", "integer").add("_local", "long").add("content", "string")
+    chunks = materialize(ordered.mapInPandas(chunker(size, overlap), schema), "chunks")
+    # one row per task
+    ends = chunks.groupBy("_part").agg((F.max("_local") + 1).alias("n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = ends.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
+    numbered = chunks.join(F.broadcast(bases), "_part")
+    return numbered.select(*keep, (F.col("_base") + F.col("_local")).alias("chunk_index"), "content")
 
 
 def tokens(text: Column) -> Column:
@@ -87,9 +83,11 @@ def top_k(queries: DataFrame, items: DataFrame, k: int = TOP_K, query: str = "qu
     """(query, item, score, rank): best ``k`` items per query by cosine.
 
     ``query`` and ``item`` are whole-number ids; both sides carry ``vector``.
-    Queries are broadcast in blocks of at most ``block_rows``; each block is
-    one pass over the items in which a task keeps only its best ``k`` per
-    query, so neither pairs nor a query's candidates are ever gathered.
+    Queries are broadcast in blocks of about ``block_rows``, one at a time: a
+    block is one pass over the items in which a task keeps only its best ``k``
+    per query, its result is written, and the block is dropped. Memory does not
+    grow with the number of queries, and neither pairs nor a query's
+    candidates are ever gathered.
     Equal scores rank by item id; items scoring zero remain eligible.
     """
     spark = items.sparkSession
@@ -99,52 +97,63 @@ def top_k(queries: DataFrame, items: DataFrame, k: int = TOP_K, query: str = "qu
     # Blocks by hash may exceed the mean slightly; half-full blocks leave room.
     blocks = blocks if blocks == 1 else blocks * 2
     table = items.select(F.col(item).cast("long").alias(item), "vector")
-    found = None
+    schema = f"query_id long, {item} long, score double"
+    path = scratch_path(spark, "scores")
+    spark.createDataFrame([], schema).write.parquet(path)
     for number in range(blocks):
         rows = prepared if blocks == 1 else prepared.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)
-        local = rows.toPandas()
+        local = rows.toPandas()  # one block
         if local.empty:
             continue
         local["vector"] = local["vector"].map(lambda v: v.asDict() if hasattr(v, "asDict") else v)
         block = spark.sparkContext.broadcast((local["query_id"].to_numpy(dtype=np.int64), matrix(local["vector"])))
-        part = table.mapInPandas(scorer(block, item, k), f"query_id long, {item} long, score double")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return spark.createDataFrame([], f"{query} long, {item} long, score double, rank int")
+        table.mapInPandas(scorer(block, item, k), schema).write.mode("append").parquet(path)
+        block.destroy()
+    found = spark.read.schema(schema).parquet(path)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), item))
     ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return ranked.withColumnRenamed("query_id", query) if query != "query_id" else ranked
 
 
 def build_index(chunks: DataFrame, path: str, signature: str) -> int:
-    """Replace the stored index; returns its chunk count (0 chunks is an error).
+    """Store a new version of the index; returns its chunk count (0 chunks is an error).
 
-    Chunks and the one-row metadata (marker, source signature) are separate
-    tables; metadata is written last, so a half-written index is not fresh.
+    Chunks go to a folder of their own and a pointer row (marker, source
+    signature, folder) is appended last: a failed build leaves the index as it was.
     """
-    with_vector(chunks.select("chunk_index", "source", "content")).write.mode("overwrite").parquet(f"{path}/chunks")
     spark = chunks.sparkSession
-    n = spark.read.parquet(f"{path}/chunks").count()
+    version = f"{path}/version-{uuid.uuid4().hex}"
+    with_vector(chunks.select("chunk_index", "source", "content")).write.mode("errorifexists").parquet(version)
+    n = spark.read.parquet(version).count()
     if n == 0:
         raise ValueError("no document to index")
-    spark.createDataFrame([(INDEX_MARKER, signature, n)], "marker string, signature string, chunks long").coalesce(
-        1).write.mode("overwrite").parquet(f"{path}/metadata")
+    row = [(time.time_ns(), INDEX_MARKER, signature, n, version)]
+    spark.createDataFrame(row, "at long, marker string, signature string, chunks long, version string").coalesce(
+        1).write.mode("append").parquet(f"{path}/pointers")
     return n
 
 
-def index_is_fresh(spark: SparkSession, path: str, signature: str) -> bool:
-    """Whether the stored index was built by this scheme from these sources."""
+def _newest(spark: SparkSession, path: str):
     from pyspark.errors import AnalysisException
 
     try:
-        row = spark.read.parquet(f"{path}/metadata").first()
+        return spark.read.parquet(f"{path}/pointers").orderBy(F.desc("at")).first()
     except AnalysisException:
-        return False
+        return None
+
+
+def index_is_fresh(spark: SparkSession, path: str, signature: str) -> bool:
+    """Whether the newest stored index was built by this scheme from these sources."""
+    row = _newest(spark, path)
     return row is not None and row["marker"] == INDEX_MARKER and row["signature"] == signature
 
 
 def load_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/chunks")
+    """The newest stored index; an error when there is none."""
+    row = _newest(spark, path)
+    if row is None:
+        raise ValueError(f"no index under {path}")
+    return spark.read.parquet(row["version"])
 
 
 def ensure_index(spark: SparkSession, path: str, signature: str, chunks: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 
 CHUNK_SIZE = 500
 CHUNK_OVERLAP = 50
@@ -70,6 +70,22 @@ def _pack(pieces: list[str], size: int, overlap: int) -> list[str]:
     return chunks
 
 
+def chunker(size: int, overlap: int):
+    """Task function: split the documents of a partition in order and number the chunks."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, done = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            pieces = [split_text(t, size, overlap) if t else [] for t in batch["content"]]
+            out = batch.drop(columns="content").loc[np.repeat(batch.index.to_numpy(), [len(p) for p in pieces])].copy()
+            out["_part"] = np.int32(part)
+            out["_local"] = np.arange(done, done + len(out))
+            out["content"] = [c for p in pieces for c in p]
+            done += len(out)
+            yield out
+
+    return run
+
+
 def tally(rows: pd.Series) -> pd.DataFrame:
     """Distinct buckets of each row with their counts, for a whole batch at once."""
     lengths = rows.map(len).to_numpy()

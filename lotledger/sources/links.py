@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import strip
 
@@ -40,32 +40,26 @@ def page_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per ``<a href>`` with its position and surrounding text.
 
     The context is the last ``<strong>`` before the link followed by the text
-    of the enclosing block. A page is folded as an array, so no shuffle.
+    of the enclosing block. Pages are cut into blocks, and those at anchors,
+    into rows; the last strong text is carried over a page's rows in order, so
+    the work is linear in a page.
     """
-    # Each block is cut again at every anchor start: piece 0 precedes the first anchor.
-    blocks = F.split(F.col(html), _BLOCK)
-    link = "struct<href:string,context:string>"
-    start = F.struct(F.lit("").alias("strong"), F.array().cast(f"array<{link}>").alias("links"))
-
-    def last_strong(piece: Column, before: Column) -> Column:
-        found = F.regexp_extract_all(piece, F.lit(_STRONG), 1)
-        return F.when(F.size(found) > 0, _plain(F.element_at(found, -1))).otherwise(before)
-
-    def fold_block(state: Column, block: Column) -> Column:
-        text = _plain(block)
-
-        def fold_piece(inner: Column, piece: Column) -> Column:
-            href = F.regexp_extract(piece, _HREF, 1)
-            entry = F.struct(href.alias("href"), strip(F.concat_ws(" ", inner["strong"], text)).alias("context"))
-            links = F.when(piece.rlike(_HREF), F.concat(inner["links"], F.array(entry))).otherwise(inner["links"])
-            return F.struct(last_strong(piece, inner["strong"]).alias("strong"), links.alias("links"))
-
-        return F.aggregate(F.split(block, _ANCHOR_START), state, fold_piece)
-
-    folded = F.aggregate(blocks, start, fold_block)["links"]
-    return pages.select("*", F.posexplode(folded).alias("pos", "_link")).select(
-        *pages.columns, "pos", F.col("_link.href").alias("href"), F.col("_link.context").alias("context")
-    )
+    numbered = pages.withColumn("_rid", F.monotonically_increasing_id())
+    blocks = numbered.select("*", F.posexplode(F.split(F.col(html), _BLOCK)).alias("_i", "_block"))
+    # piece 0 of a block precedes its first anchor
+    pieces = blocks.select(
+        *pages.columns, "_rid", "_i", _plain(F.col("_block")).alias("_text"),
+        F.posexplode(F.split("_block", _ANCHOR_START)).alias("_j", "_piece"))
+    strong = F.regexp_extract_all("_piece", F.lit(_STRONG), 1)
+    told = pieces.select(
+        *pages.columns, "_rid", "_i", "_j", "_text", F.col("_piece").rlike(_HREF).alias("_is_link"),
+        F.regexp_extract("_piece", _HREF, 1).alias("_href"),
+        F.when(F.size(strong) > 0, _plain(F.element_at(strong, -1))).alias("_strong")).where("_is_link or _strong is not null")
+    order = Window.partitionBy("_rid").orderBy("_i", "_j")
+    before = F.last("_strong", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    place = F.count_if("_is_link").over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1
+    placed = told.withColumn("_before", F.coalesce(before, F.lit(""))).withColumn("pos", place.cast("int")).where("_is_link")
+    return placed.select(*pages.columns, "pos", F.col("_href").alias("href"), strip(F.concat_ws(" ", "_before", "_text")).alias("context"))
 
 
 def keyed_links(pages: DataFrame, page: str = "page_id", base: str = "url", html: str = "html",
