@@ -14,7 +14,7 @@ from ..functions.payload import model_version
 from ..operators.metrics import (
     backtest_summary, prediction_range, regression_metrics, standard_segments, worst_segments,
 )
-from ..operators.splits import backtest_folds, backtest_periods, period_range, temporal_holdout
+from ..operators.splits import backtest_periods, period_range, temporal_holdout
 from ..session import materialize
 
 # The model's columns.
@@ -24,7 +24,7 @@ FEATURES = ("cep", "area_do_terreno_m2", "ano", "mes")
 TARGET = "valor_venal_de_referencia"
 METRICS = ("mae", "median_absolute_error", "p95_absolute_error", "bias", "r2")
 # Steps in which a linear fit must converge.
-MAX_STEPS = 2000
+MAX_STEPS = 500
 
 
 def feature_stages(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC) -> list:
@@ -86,7 +86,7 @@ def fit_linear(df: DataFrame, features: str, target: str, reg_param: float = 0.0
     """
     model = LinearRegression(
         featuresCol=features, labelCol=target, regParam=reg_param, elasticNetParam=0.0, standardization=False,
-        solver="l-bfgs", maxIter=MAX_STEPS, tol=1e-12,
+        solver="l-bfgs", maxIter=MAX_STEPS, tol=1e-9,
     ).fit(df)
     if model.summary.totalIterations >= MAX_STEPS:
         raise ValueError(f"linear fit did not converge in {MAX_STEPS} steps")
@@ -181,13 +181,15 @@ def temporal_backtest(df: DataFrame, candidate: Candidate, target: str = TARGET,
     """Metrics per test period, refitting on everything strictly earlier."""
     needed = [*FEATURES, target]
     folds = backtest_periods(df, windows, min_train_periods)
-    labelled = backtest_folds(df.select(*needed), windows, min_train_periods)
+    if not folds:
+        raise ValueError("not enough periods for a backtest")
+    rows = materialize(df.select(*needed), "backtest-rows")
+    month = F.col("ano") * 100 + F.col("mes")
     out = None
     for fold in folds:  # at most `windows`
         period = f"{fold // 100}-{fold % 100:02d}"
-        side = labelled.where(F.col("fold") == period)
-        model = candidate.fit(side.where("role = 'train'"), target)
-        scored = predict(model, side.where("role = 'test'"))
+        model = candidate.fit(rows.where(month < fold), target)
+        scored = predict(model, rows.where(month == fold))
         row = regression_metrics(scored, target, "prediction").withColumn("period", F.lit(period))
         out = row if out is None else out.unionByName(row)
     return out.select("period", "n", *METRICS)
