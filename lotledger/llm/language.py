@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from .batches import bound
+
 # The network is fitted on at most this many labelled rows per language, and on one
 # window of bytes of each.
 ROWS_PER_LANGUAGE = 400
@@ -20,19 +22,22 @@ def has_letter(text: Column) -> Column:
 def training_rows(labelled: DataFrame, text: str, label: str, per_label: int, key: Column) -> list:
     """(text piece, label) of a bounded sample: the ``per_label`` least hashes of each label.
 
-    A bounded number of labels is kept apart by one top-k each, so no label's
-    rows are gathered in one task.
+    ``key`` is a 64-bit hash. A bounded number of labels is kept apart by one
+    top-k each, so no label's rows are gathered in one task.
     """
     rows = labelled.where(F.col(label).isNotNull() & has_letter(F.col(text)))
-    labels = sorted(r[0] for r in rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(LANGUAGES).select(label).collect())
+    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(LANGUAGES).collect()
     from .language_tasks import WINDOW
 
     # one piece from the middle of each sampled text
     piece = F.substring(F.col(text), F.greatest(F.floor(F.length(text) / 2) - WINDOW, F.lit(1)).cast("int"), F.lit(2 * WINDOW))
     found = []
-    for name in labels:
-        top = rows.where(F.col(label) == name).select(key.alias("_k"), piece.alias("_t")).orderBy("_k", "_t").limit(per_label)
-        found += [(r["_t"], name) for r in top.collect()]
+    for name, count in counts:
+        # about four times as many hashes as wanted pass, so that tasks send little; copies count once
+        share = min(1.0, 4 * per_label / count)
+        cut = int((share - 0.5) * (1 << 64) - 1) if share < 1 else (1 << 63) - 1
+        top = rows.where((F.col(label) == name) & (key <= F.lit(max(cut, -(1 << 63) + 1)))).select(key.alias("_k"), piece.alias("_t"))
+        found += [(r["_t"], name) for r in top.distinct().orderBy("_k", "_t").limit(per_label).collect()]
     return found
 
 
@@ -62,6 +67,7 @@ def identify(docs: DataFrame, network, keep: Sequence[str] = ("doc_id",), text:
     letters = F.when(has_letter(F.col(text)), F.col(text))
     if network is None:
         return docs.select(*keep, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    bound(docs.sparkSession)
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     count = len(keep)
 
@@ -87,6 +93,7 @@ def keep_identified(docs: DataFrame, network, least: float, text: str = "text")
     lettered = docs.where(has_letter(F.col(text)))
     if network is None:
         return lettered
+    bound(docs.sparkSession)
     at = docs.columns.index(text)
 
     def run(batches):
