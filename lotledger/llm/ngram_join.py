@@ -9,6 +9,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
+from .batches import bound
 from .components import components
 from .ngram_tasks import LONGS, Plan, shared, shingle_sets, short_sketch
 
@@ -118,7 +119,11 @@ def _near(left: str, right: str, percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """Links (a, b) among ``pairs`` (of ``_h``) by the exact size of the intersection, as ``_node``."""
+    """Links among ``pairs`` (a, b of ``_h``) by the exact size of the intersection.
+
+    Returns the linked texts as (a, b: ``_node``) with their (ha, hb: ``_h``).
+    The set of ``b`` travels to that of ``a``, so what moves is a set per pair.
+    """
     wanted = materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "_h"), "wanted")
     few = wanted.count() <= BROADCAST_NODES
     texts = _nodes(docs, text).join(F.broadcast(wanted) if few else wanted, "_h", "left_semi")
@@ -145,17 +150,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent:
         import pyarrow as pa
 
         for batch in batches:
-            na, nb, sa, sb = (batch.column(i).to_pylist() for i in range(4))
+            sa, sb = batch.column(4).to_pylist(), batch.column(5).to_pylist()
             good = []
             for i, (x, y) in enumerate(zip(sa, sb, strict=True)):
                 both = shared(x, y)
                 good.append(100 * both >= percent * ((len(x) + len(y)) // 8 - both) > 0)
-            kept = [i for i, g in enumerate(good) if g]
-            yield pa.RecordBatch.from_arrays([pa.array([na[i] for i in kept], pa.string()),
-                                              pa.array([nb[i] for i in kept], pa.string())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(good, pa.bool_())) for i in range(4)], names=["a", "b", "ha", "hb"])
 
-    joined = pairs.join(one, "a").join(two, "b").select("na", "nb", "sa", "sb")
-    return materialize(joined.mapInArrow(verify, "a string, b string"), "links")
+    joined = pairs.join(two, "b").join(one, "a").select("na", "nb", F.col("a").alias("ha"), F.col("b").alias("hb"), "sa", "sb")
+    return materialize(joined.mapInArrow(verify, "a string, b string, ha long, hb long"), "links")
 
 
 def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", size: int = 5, percent: int = 80):
@@ -164,37 +167,65 @@ def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
     Two texts link when 100 * shared >= ``percent`` * united shingles of
     ``size`` words. ``links`` joins all texts that any chain of such links
     joins, though not by every pair: in a large group of near copies each is
-    first compared with one member per key, and only texts that this left apart
-    meet again. Equal texts are one node. Texts without words have no links.
+    compared with the least member of its keys, and then all pairs that share a
+    key and are still apart are compared. Equal texts are
+    one node. Texts without words have no links.
     """
+    bound(docs.sparkSession)
     plan = Plan(percent)
     rows = materialize(_infos(docs, keep, text, size), "sketches")
     members = materialize(_shared_keys(_keys(docs, text, size, plan)), "members")
     infos = rows.where("n_shingles > 0").select("_h", "_node", "n_shingles", *SKETCH).dropDuplicates(["_node"])
 
     side = lambda name: infos.select(F.col("_h").alias(name), "n_shingles", *SKETCH).alias(f"i{name}")
-    pairs = members.where("h <> center").select(F.col("center").alias("a"), F.col("h").alias("b")).distinct()
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(_near("ia", "ib", percent)).select("a", "b").distinct()
-    links = _verified(materialize(pairs, "pairs"), docs, text, size, percent)
+
+    def compared(pairs, known):
+        near = pairs.join(side("b"), "b").join(side("a"), "a").where(_near("ia", "ib", percent)).select("a", "b").distinct()
+        more = _verified(materialize(near, "pairs"), docs, text, size, percent)
+        return more if known is None else known.unionByName(more)
+
+    def placed_in(frame, found, columns):
+        few = found.count() <= BROADCAST_NODES
+        for column, name in columns.items():
+            side = found.select(F.col("node").alias(column), F.col("component").alias(name))
+            frame = frame.join(F.broadcast(side) if few else side, column, "left").withColumn(name, F.coalesce(name, column))
+        return frame
+
+    # first one partner for each text, the center of most of its keys; then its other centers, where it is still apart
+    met = members.where("h <> center").groupBy(F.col("h").alias("b"), F.col("center").alias("a")).agg(F.count(F.lit(1)).alias("_keys"))
+    met = materialize(met, "met")
+    links = compared(met.groupBy("b").agg(F.max(F.struct("_keys", "a"))["a"].alias("a")), None)
+    rest = placed_in(met, _labels(links, infos), {"a": "_ca", "b": "_cb"}).where("_ca <> _cb").select("a", "b")
+    links = compared(rest, links)
 
     # keys whose members are still apart: those outside the center's component meet all others
-    found = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_comp"))
-    labelled = infos.join(found, "_node", "left").withColumn("_comp", F.coalesce("_comp", "_node"))
-    labelled = materialize(labelled, "labelled")
-    of_center = labelled.select(F.col("_h").alias("center"), F.col("_comp").alias("_own"))
-    placed = members.join(labelled.withColumnRenamed("_h", "h"), "h").join(of_center, "center")
-    placed = materialize(placed, "placed")
-    outside = placed.where(F.col("_comp") != F.col("_own")).alias("x")
-    inside = placed.join(outside.select("key").distinct(), "key", "left_semi").alias("y")
-    once = (F.col("y._comp") == F.col("y._own")) | (F.col("x.h") < F.col("y.h"))
+    placed = placed_in(members, _labels(links, infos), {"h": "_comp", "center": "_own"}).select("key", "h", "_comp", "_own").distinct()
+    placed = materialize(placed.withColumn("_out", F.col("_comp") != F.col("_own")), "placed")
+    split = placed.groupBy("key").agg(F.bool_or("_out").alias("_split")).where("_split").select("key")
+    mixed = placed.join(split, "key", "left_semi").join(infos.withColumnRenamed("_h", "h"), "h")
+    mixed = materialize(mixed.select("key", "h", "_comp", "_out", "n_shingles", *SKETCH), "mixed")
+    once = ~F.col("y._out") | (F.col("x.h") < F.col("y.h"))
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x._comp") != F.col("y._comp")) & once
-    more = outside.join(inside, apart & _near("x", "y", percent)).select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
+    more = mixed.where("_out").alias("x").join(mixed.alias("y"), apart & _near("x", "y", percent)).select(
+        F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
     more = materialize(more, "pairs")
     if more.limit(1).count():
         links = links.unionByName(_verified(more, docs, text, size, percent))
     return rows, links
 
 
+def _labels(links: DataFrame, infos: DataFrame) -> DataFrame:
+    """(node, component) by ``_h`` of the linked texts.
+
+    A hash that two different texts share has a component of its own, so that
+    it meets all others of its keys and the sets decide.
+    """
+    shared_hash = infos.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("_h").alias("node"))
+    shared_hash = materialize(shared_hash, "shared-hashes")
+    found = components(links, "ha", "hb").join(shared_hash, "node", "left_anti")
+    return materialize(found.unionByName(shared_hash.withColumn("component", F.xxhash64("node", F.lit("own")))), "labels")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
                     keep: Sequence[str] = ()) -> DataFrame:
     """Set size and component of every row.
