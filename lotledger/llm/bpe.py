@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from .batches import bound
+
 # Bytes of a rank file that may be broadcast.
 MAX_RANK_BYTES = 64 << 20
 RANKS = "byte_bpe_50k.tiktoken"
@@ -32,6 +34,7 @@ def _mapped(df: DataFrame, keep: Sequence[str], column: str, added: Sequence[tup
     """``keep`` plus columns that ``rows(coder, values)`` gives for ``column``, batch by batch."""
     if clash := {name for name, _ in added} & set(keep):
         raise ValueError(f"kept columns clash with results: {sorted(clash)}")
+    bound(df.sparkSession)
     shared, pattern = ranks
     schema = T.StructType([*[df.schema[c] for c in keep], *[T.StructField(n, t) for n, t in added]])
     names = [n for n, _ in added]
@@ -49,6 +52,7 @@ def _mapped(df: DataFrame, keep: Sequence[str], column: str, added: Sequence[tup
             made = list(rows(tool, batch.column(count).to_pylist()))
             columns = [pa.array([m[i] for m in made], type=t) for i, t in enumerate(types)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:count], *columns], names=[*batch.schema.names[:count], *names])
+        tool.forget()
 
     return df.select(*keep, df[column].alias("_in")).mapInArrow(run, schema)
 

@@ -12,8 +12,8 @@ from operator import itemgetter
 import numpy as np
 import regex
 
-# Entries that a worker remembers before it starts anew; affects speed only.
-REMEMBERED = 800_000
+# Entries that a task remembers before it starts anew; affects speed only.
+REMEMBERED = 500_000
 # Characters of a text that are split at a time.
 BLOCK = 1 << 20
 # Bytes of a piece up to which pieces are merged together.
@@ -191,6 +191,10 @@ class Coder:
         self.pieces: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drop what was learned: a worker lives on after its task, its memory should not."""
+        self.chunks, self.pieces = {}, {}
+
     def _learn(self, pieces: set[str]) -> None:
         new = list(pieces.difference(self.pieces))
         self.pieces.update(zip(new, self.merger.merge_all([p.encode() for p in new]), strict=True))
@@ -203,7 +207,7 @@ class Coder:
         space; others go through the pattern whole.
         """
         if len(self.chunks) > REMEMBERED or len(self.pieces) > REMEMBERED:
-            self.chunks, self.pieces = {}, {}
+            self.forget()
         split, new = [], set()
         for block in blocks:
             parts = block.split(" ")
