@@ -19,7 +19,7 @@ _BYTES[65:91] = _BYTES[97:123]
 _BITS = _RNG.integers(1, 1 << 63, 1 << 16, np.uint64)
 BASE = int(_ODD[0]) | 1
 # Bytes that are split into words at a time.
-BLOCK = 1 << 18
+BLOCK = 1 << 20
 # Longs of the short sketch that filters candidate pairs.
 LONGS = 8
 
