@@ -26,21 +26,38 @@ def training_rows(labelled: DataFrame, text: str, label: str, per_label: int, ke
     top-k each, so no label's rows are gathered in one task.
     """
     rows = labelled.where(F.col(label).isNotNull() & has_letter(F.col(text)))
-    counts = rows.groupBy(label).count().orderBy(F.desc("count"), label).limit(LANGUAGES).collect()
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("count"), F.approx_count_distinct(key).alias("distinct"))
+    counts = counts.orderBy(F.desc("count"), label).limit(LANGUAGES).collect()
     from .language_tasks import WINDOW
 
     # one piece from the middle of each sampled text
     piece = F.substring(F.col(text), F.greatest(F.floor(F.length(text) / 2) - WINDOW, F.lit(1)).cast("int"), F.lit(2 * WINDOW))
     found = []
-    for name, count in counts:
-        # about four times as many hashes as wanted pass, so that tasks send little; copies count once
-        share = min(1.0, 4 * per_label / count)
-        cut = int((share - 0.5) * (1 << 64) - 1) if share < 1 else (1 << 63) - 1
-        top = rows.where((F.col(label) == name) & (key <= F.lit(max(cut, -(1 << 63) + 1)))).select(key.alias("_k"), piece.alias("_t"))
-        found += [(r["_t"], name) for r in top.distinct().orderBy("_k", "_t").limit(per_label).collect()]
+    for name, _, distinct in counts:
+        own = rows.where(F.col(label) == name).select(key.alias("_k"), piece.alias("_t"))
+        cut = _cut(distinct, per_label)
+        top = _least(own if cut is None else own.where(F.col("_k") <= cut), per_label)
+        if cut is not None and len(top) < per_label:
+            top = _least(own, per_label)
+        found += [(r["_t"], name) for r in top]
     return found
 
 
+def _cut(distinct: int, per_label: int) -> int | None:
+    """A hash that about four times ``per_label`` of ``distinct`` keys do not exceed, so that tasks send little.
+
+    None: all pass. Copies share a key and pass together, so keys count, not
+    rows. Where fewer than ``per_label`` come back, the cut must go.
+    """
+    if distinct <= 4 * per_label:
+        return None
+    return max((4 * per_label << 64) // distinct - (1 << 63), -(1 << 63) + 1)
+
+
+def _least(own: DataFrame, per_label: int) -> list:
+    return own.distinct().orderBy("_k", "_t").limit(per_label).collect()
+
+
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: Column | None = None,
         per_label: int = ROWS_PER_LANGUAGE):
     """A trained network (``language_tasks.Network``), or None without labelled rows.

@@ -90,6 +90,18 @@ def test_language_of_odd_texts_and_tables(spark, docs, no_docs):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(i) for i in (1, 2, 2, 3, None, 6, 7, 9, 10, 11, 12))
 
 
+def test_copies_do_not_empty_a_label_s_sample(spark):
+    said = ["der Hund läuft", "die Katze schläft", "ein Vogel singt", "das Pferd frisst", "wir gehen heim"]
+    rows = spark.range(5000).select(F.element_at(F.array(*map(F.lit, said)), (F.col("id") % 5 + 1).cast("int")).alias("text"), F.lit("de").alias("lang"))
+    # the last key: the largest hashes, none of which a share of all values lets through
+    for key in (F.xxhash64("text"), F.xxhash64("text") % 1000 + (1 << 62), F.lit(1 << 62) + F.crc32("text")):
+        assert sorted(language.training_rows(rows, "text", "lang", 10, key)) == sorted((t, "de") for t in said)
+    many = spark.range(3000).select(F.concat(F.lit("wort "), F.col("id").cast("string")).alias("text"), F.lit("de").alias("lang"))
+    for key in (F.xxhash64("text"), F.lit(1 << 62) + F.crc32("text")):
+        want = [r["text"] for r in many.orderBy(key).limit(10).collect()]
+        assert language.training_rows(many.union(many), "text", "lang", 10, key) == [(t, "de") for t in want]
+
+
 def test_long_texts_pool_all_windows(spark):
     net = train([("the cat sat on the mat", "en"), ("der Hund über die Straße", "de")] * 30, steps=60)
     short, long_ = "der Hund läuft über die Straße " * 4, "the cat sat " + "der Hund läuft über die Straße " * 60_000
