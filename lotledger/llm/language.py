@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .batches import bound
 
 # The network is fitted on at most this many labelled rows per language, and on one
 # window of bytes of each.
 ROWS_PER_LANGUAGE = 400
-LANGUAGES = 64
 UNDETERMINED = "und"
 
 
@@ -20,26 +20,25 @@ def has_letter(text: Column) -> Column:
 
 
 def training_rows(labelled: DataFrame, text: str, label: str, per_label: int, key: Column) -> list:
-    """(text piece, label) of a bounded sample: the ``per_label`` least hashes of each label.
+    """(text piece, label) of a sample: the ``per_label`` least hashes of every label that is not NULL.
 
-    ``key`` is a 64-bit hash. A bounded number of labels is kept apart by one
-    top-k each, so no label's rows are gathered in one task.
+    ``key`` is a 64-bit hash. Rows per label are bounded, labels are not. Cuts
+    leave about four times ``per_label`` rows of a label to its top-k, so no
+    label's rows are gathered in one task.
     """
-    rows = labelled.where(F.col(label).isNotNull() & has_letter(F.col(text)))
-    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("count"), F.approx_count_distinct(key).alias("distinct"))
-    counts = counts.orderBy(F.desc("count"), label).limit(LANGUAGES).collect()
     from .language_tasks import WINDOW
 
     # one piece from the middle of each sampled text
     piece = F.substring(F.col(text), F.greatest(F.floor(F.length(text) / 2) - WINDOW, F.lit(1)).cast("int"), F.lit(2 * WINDOW))
-    found = []
-    for name, _, distinct in counts:
-        own = rows.where(F.col(label) == name).select(key.alias("_k"), piece.alias("_t"))
-        cut = _cut(distinct, per_label)
-        top = _least(own if cut is None else own.where(F.col("_k") <= cut), per_label)
-        if cut is not None and len(top) < per_label:
-            top = _least(own, per_label)
-        found += [(r["_t"], name) for r in top]
+    rows = labelled.where(F.col(label).isNotNull() & has_letter(F.col(text)))
+    rows = rows.select(F.col(label).alias("_l"), key.alias("_k"), piece.alias("_t"))
+    counts = rows.groupBy("_l").agg(F.approx_count_distinct("_k").alias("distinct")).collect()
+    cuts = {name: _cut(distinct, per_label) for name, distinct in counts}
+    found = _least(rows, cuts, per_label)
+    came = Counter(name for _, name in found)
+    short = {name for name, cut in cuts.items() if cut is not None and came[name] < per_label}
+    if short:
+        found = [r for r in found if r[1] not in short] + _least(rows, dict.fromkeys(short), per_label)
     return found
 
 
@@ -54,15 +53,23 @@ def _cut(distinct: int, per_label: int) -> int | None:
     return max((4 * per_label << 64) // distinct - (1 << 63), -(1 << 63) + 1)
 
 
-def _least(own: DataFrame, per_label: int) -> list:
-    return own.distinct().orderBy("_k", "_t").limit(per_label).collect()
+def _least(rows: DataFrame, cuts: dict, per_label: int) -> list:
+    """(piece, label) of the least hashes of the labels in ``cuts``, none above its label's cut (None: all)."""
+    schema = T.StructType([T.StructField("_l", rows.schema["_l"].dataType), T.StructField("_cut", T.LongType())])
+    side = rows.sparkSession.createDataFrame(list(cuts.items()), schema)
+    passed = rows.join(F.broadcast(side), "_l").where(F.col("_cut").isNull() | (F.col("_k") <= F.col("_cut")))
+    place = F.row_number().over(Window.partitionBy("_l").orderBy("_k", "_t"))
+    top = passed.select("_l", "_k", "_t").distinct().withColumn("_place", place).where(F.col("_place") <= per_label)
+    return [(r["_t"], r["_l"]) for r in top.collect()]
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: Column | None = None,
         per_label: int = ROWS_PER_LANGUAGE):
     """A trained network (``language_tasks.Network``), or None without labelled rows.
 
-    Rows with NULL label or text, or without a letter, teach nothing.
+    Rows with NULL label or text, or without a letter, teach nothing. Every
+    other label is learned, however many there are; the driver holds
+    ``per_label`` pieces of each.
     """
     from .language_tasks import train
 

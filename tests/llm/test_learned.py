@@ -102,6 +102,15 @@ def test_copies_do_not_empty_a_label_s_sample(spark):
         assert language.training_rows(many.union(many), "text", "lang", 10, key) == [(t, "de") for t in want]
 
 
+def test_every_label_is_learned(spark):
+    rows = spark.range(70 * 12 + 1).select(F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"),
+                                           F.when(F.col("id") < 70 * 12, F.format_string("l%02d", F.col("id") % 70)).alias("lang"))
+    lone = spark.createDataFrame([("seldom", "rare"), ("1 2", "none"), (None, "none")], "text string, lang string")
+    got = Counter(name for _, name in language.training_rows(rows.union(lone), "text", "lang", 10, F.xxhash64("text")))
+    assert got == {f"l{i:02d}": 10 for i in range(70)} | {"rare": 1}
+    assert len(language.fit(rows.union(lone), per_label=2).labels) == 71
+
+
 def test_long_texts_pool_all_windows(spark):
     net = train([("the cat sat on the mat", "en"), ("der Hund über die Straße", "de")] * 30, steps=60)
     short, long_ = "der Hund läuft über die Straße " * 4, "the cat sat " + "der Hund läuft über die Straße " * 60_000
