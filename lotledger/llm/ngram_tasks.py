@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -10,6 +11,7 @@ import numpy as np
 
 SPACES = np.zeros(256, bool)
 SPACES[[0x20, *range(0x09, 0x0E)]] = True
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
 _RNG = np.random.default_rng(20240607)
 _ODD = _RNG.integers(1 << 62, 1 << 63, 16, np.uint64) | np.uint64(1)
 # A random number for every byte; A-Z share those of a-z.
@@ -49,14 +51,13 @@ def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of every word of a block that ends with a space."""
     powers, inverses = _powers()
     if len(raw) > len(powers):
-        # one word longer than a block: its parts in turn
-        parts = [np.frombuffer(raw[i:i + BLOCK], np.uint8) for i in range(0, len(raw), BLOCK)]
-        folded = np.uint64(0)
-        with np.errstate(over="ignore"):
-            for part in parts:
-                part = part[~SPACES[part]]
-                folded = folded * np.uint64(BASE) + (_BYTES[part] * powers[:len(part)]).sum(dtype=np.uint64)
-        return np.array([len(raw) - 1 - len(raw.lstrip())]), mix(np.array([folded], np.uint64))
+        # one word longer than a block, without spaces before it: the sum of all its bytes, part by part
+        word, folded, shift, step = np.frombuffer(raw, np.uint8)[:-1], 0, 1, pow(BASE, BLOCK, 1 << 64)
+        for i in range(0, len(word), BLOCK):
+            part = word[i:i + BLOCK]
+            folded += int((_BYTES[part] * powers[:len(part)]).sum(dtype=np.uint64)) * shift
+            shift = shift * step % (1 << 64)
+        return np.array([0]), mix(np.array([folded % (1 << 64)], np.uint64))
     codes = np.frombuffer(raw, np.uint8)
     space = SPACES[codes]
     edges = np.flatnonzero(np.diff(space, prepend=True))
@@ -67,12 +68,17 @@ def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _blocks(raw: bytes) -> Iterator[bytes]:
-    """Blocks of whole words, each ending with a space."""
+    """Blocks of whole words, each ending with a space; a word longer than a block is one alone."""
+    codes = np.frombuffer(raw, np.uint8)
     at = 0
     while at < len(raw):
-        stop = min(len(raw), at + BLOCK)
-        while stop < len(raw) and not SPACES[raw[stop]]:
-            stop += 1
+        stop = len(raw)
+        if stop - at > BLOCK:
+            gaps = np.flatnonzero(SPACES[codes[at:at + BLOCK + 1]])
+            if len(gaps):
+                stop = at + int(gaps[-1]) + 1
+            elif gap := _SPACE.search(raw, at + BLOCK):
+                stop = gap.start()
         yield raw[at:stop] + b" "
         at = stop
 

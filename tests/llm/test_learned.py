@@ -191,6 +191,19 @@ def test_shingle_sets_of_long_and_odd_texts():
             assert len(found[i] & found[j]) == len(sets_of(a, 4) & sets_of(b, 4))
 
 
+def test_long_words_stand_alone_among_words():
+    head, tail = " ".join(f"w{i}" for i in range(240_000)), "tail of it all"
+    runs = ["x" * 2_000_000, "ab" * 1_300_000, "ab" * 1_300_000 + "c", "y" * (1 << 20), "z" * ((1 << 20) + 1)]
+    said = [f"{head} {r} {tail}" for r in runs] + [f"{r}  {head}\t{tail}" for r in runs]
+    said += [f"{' ' * 300_000}one more {said[0]}", f"{head} {runs[0]}\n", f"{runs[0]} {runs[1]}", f"{' ' * 2_500_000}{tail}"]
+    found = [set(s.tolist()) for s in shingle_sets(said, 4)]
+    want = [sets_of(t, 4) for t in said]
+    assert [len(s) for s in found] == [len(s) for s in want]
+    for i, a in enumerate(found):
+        for j in range(i):
+            assert len(a & found[j]) == len(want[i] & want[j])
+
+
 def test_near_duplicates_against_all_pairs(spark, docs, no_docs):
     rng = random.Random(4)
     vocabulary = [f"t{i}" for i in range(300)]
