@@ -56,7 +56,7 @@ def _link(least: float):
                 if (group != least_label).any():
                     label[np.isin(label, group)] = least_label
 
-            hits_a, exact_a = range_search(graph_b, vectors_b, vectors_a, least)
+            hits_a, exact_a = range_search(graph_b, vectors_b, vectors_a, least, same)
             hits_b, exact_b = (hits_a, exact_a) if same else range_search(graph_a, vectors_a, vectors_b, least)
             pairs = []
             for hits, exact, flip in ((hits_a, exact_a, False),) if same else ((hits_a, exact_a, False), (hits_b, exact_b, True)):

@@ -10,8 +10,8 @@ LINKS, GROUND = 12, 24
 BUILD_BEAM, FIRST_BEAM, WIDEST_BEAM = 48, 48, 192
 # Queries that walk the graph together, and nodes that each expands per step.
 TOGETHER, EXPAND = 256, 4
-# Audit: sampled queries per search, and the share of their true links that must be found.
-AUDITED, RECALL = 128, 0.99
+# Audit: queries drawn at a time, true links to be seen, and the share of them that must be found.
+AUDITED, AUDITED_LINKS, RECALL = 128, 512, 0.99
 
 
 def normalized(vectors: np.ndarray) -> np.ndarray:
@@ -172,20 +172,42 @@ class Graph:
         return self._beam(queries, self._descend(queries, 0), min(width, len(self.points)), 0)
 
 
-def range_search(graph: Graph, vectors: np.ndarray, queries: np.ndarray, least: float):
+def _audit(vectors: np.ndarray, queries: np.ndarray, least: float, settled: np.ndarray, hits: list, same: bool) -> bool:
+    """Whether the hits of the ``settled`` queries hold enough of their true links.
+
+    Queries are drawn until AUDITED_LINKS true links are seen or all are; what
+    is drawn gets its exact hits.
+    """
+    drawn = np.random.default_rng(13).permutation(settled)
+    seen = there = 0
+    for at in range(0, len(drawn), AUDITED):
+        part = drawn[at:at + AUDITED]
+        near = queries[part] @ vectors.T >= least
+        if same:
+            near[np.arange(len(part)), part] = False
+        for row, q in enumerate(part):
+            true = np.flatnonzero(near[row])
+            there += len(true)
+            seen += len(np.intersect1d(true, hits[q]))
+            hits[q] = true
+        if there >= AUDITED_LINKS and at + AUDITED < len(drawn):
+            return seen >= RECALL * there
+    return True
+
+
+def range_search(graph: Graph, vectors: np.ndarray, queries: np.ndarray, least: float, same: bool = False):
     """(hits per query, exact): nodes with cosine >= ``least`` in double precision.
 
-    A beam that ends inside the range has not seen its end: those queries
-    search again with a beam twice as wide. Sampled queries are audited against
-    blocked exact products, and all beams widen until the audit passes. What
-    would need more than the widest beam is answered by exact products
+    ``same``: the queries are the graph's own vectors, which do not hit
+    themselves. A beam that ends inside the range has not seen its end: those
+    queries search again with a beam twice as wide. The others are audited
+    against blocked exact products, and all beams widen until the audit passes.
+    What would need more than the widest beam is answered by exact products
     (``exact`` is then true for the query).
     """
     count = len(queries)
     hits: list = [None] * count
     exact = np.zeros(count, bool)
-    audited = np.unique(np.linspace(0, count - 1, min(AUDITED, count)).astype(int))
-    truth = queries[audited] @ vectors.T >= least
     width, todo = FIRST_BEAM, np.arange(count)
     floor = np.float32(least - 1e-5)
     while len(todo):
@@ -200,12 +222,10 @@ def range_search(graph: Graph, vectors: np.ndarray, queries: np.ndarray, least:
             near = sims >= floor
             for row, q in enumerate(part):
                 found = ids[row, near[row]]
-                hits[q] = found[vectors[found] @ queries[q] >= least] if len(found) else found
-        todo = np.concatenate(wider)
+                found = found[vectors[found] @ queries[q] >= least] if len(found) else found
+                hits[q] = found[found != q] if same else found
+        wider = np.concatenate(wider)
         width *= 2
-        settled = np.setdiff1d(audited, todo)
-        there = truth[np.searchsorted(audited, settled)].sum()
-        seen = sum(len(hits[q]) for q in settled)
-        if seen < RECALL * there:
-            todo = np.arange(count)
+        settled = np.setdiff1d(todo, wider)
+        todo = wider if _audit(vectors, queries, least, settled, hits, same) else np.arange(count)
     return hits, exact

@@ -12,7 +12,7 @@ import tiktoken
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lotledger.llm import bpe, embeddings, language, ngram_join, quality
+from lotledger.llm import bpe, embeddings, hnsw, language, ngram_join, quality
 from lotledger.llm.bpe_tasks import Coder, merge, parse_ranks
 from lotledger.llm.components import components
 from lotledger.llm.language_tasks import Network, gradients, train
@@ -267,6 +267,36 @@ def test_vectors_against_all_pairs(spark):
     assert embeddings.link_vectors(df.limit(0)).count() == 0
 
 
+class Blind:
+    """A graph whose search meets only the query's own node, or a node far away."""
+
+    def __init__(self, vectors, own):
+        self.vectors, self.own = vectors, own
+
+    def search(self, queries, width):
+        ids, sims = np.full((len(queries), width), -1), np.full((len(queries), width), -2, np.float32)
+        nearest = queries @ self.vectors.T
+        ids[:, 0] = nearest.argmax(1) if self.own else nearest.argmin(1)
+        sims[:, 0] = nearest.max(1) if self.own else nearest.min(1)
+        return ids, sims
+
+
+@pytest.mark.parametrize("links", [1, 5, 700])
+def test_audit_sees_links_that_a_graph_misses(links):
+    rng = np.random.default_rng(links)
+    one = hnsw.normalized(rng.normal(size=(1500, 16)))
+    near = hnsw.normalized(one[7:7 + links] + 0.01 * rng.normal(size=(links, 16)))
+    inside = np.concatenate([one, near])
+    other = np.concatenate([hnsw.normalized(rng.normal(size=(800, 16))), near])
+    for vectors, queries, same in ((inside, inside, True), (other, one, False)):
+        hits, exact = hnsw.range_search(Blind(vectors, same), vectors, queries, 0.98, same)
+        true = queries @ vectors.T >= 0.98
+        if same:
+            np.fill_diagonal(true, False)
+        assert true.sum() >= links
+        assert all(exact[q] or set(hits[q]) == set(np.flatnonzero(true[q])) for q in range(len(queries)))
+
+
 def test_pipeline_stages_and_brute_force(spark):
     import corpus_pipeline
 
