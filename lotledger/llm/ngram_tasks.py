@@ -168,20 +168,22 @@ class Plan:
             low = self.bands[-1][1] + 1 if self.bands else self.first
             high = max(low, int(low * self.RATIO) - 1)
             least = self.differ(high) + 1
-            spare = 0
-            while spare < least and self._tail(low, least + spare, spare) > 1e-4:
-                spare += 1
+            spare, enough = 0, least
+            while spare < enough:
+                middle = (spare + enough) // 2
+                if self._tail(low, least + middle, middle) > 1e-4:
+                    spare = middle + 1
+                else:
+                    enough = middle
             self.bands.append((low, high, 100 * high // self.percent, least + spare, spare))
 
     @staticmethod
     def _tail(size: int, segments: int, spare: int) -> float:
         """About the share of sets of ``size`` with more than ``spare`` empty segments."""
         mean = segments * math.exp(-size / segments)
-        kept, term = 0.0, math.exp(-mean)
-        for i in range(spare + 1):
-            kept += term
-            term *= mean / (i + 1)
-        return max(0.0, 1 - kept)
+        # logarithms: exp(-mean) is 0 for means above 745
+        terms = np.r_[0.0, np.cumsum(math.log(mean) - np.log(np.arange(1, spare + 1)))] - mean
+        return max(0.0, 1 - float(np.exp(terms).sum()))
 
     def keys(self, tokens: np.ndarray) -> np.ndarray:
         """All keys (int64, distinct) of a sorted set."""

@@ -181,6 +181,16 @@ def test_linked_sets_share_a_key(percent):
     assert tried > 50
 
 
+def test_spare_segments_of_long_texts_stay_few():
+    plan = Plan(80)
+    plan._extend(1_000_000)
+    for low, high, _, segments, spare in plan.bands:
+        least = segments - spare
+        assert least == plan.differ(high) + 1
+        assert low < 5000 or spare < least / 5
+    assert Plan._tail(157_000, 60_000, 60_000) < 1e-6 and Plan._tail(157_000, 60_000, 0) > 0.999
+
+
 def test_shingle_sets_of_long_and_odd_texts():
     long_ = " ".join(f"w{i % 5003}" for i in range(400_000))
     said = [None, "", " \t", "a", "A", "a b", "a b c d", "A\tb  c\nd e", "é É", "x" * 3_000_000, long_, "tail of it all ok"]
