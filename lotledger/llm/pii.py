@@ -30,6 +30,8 @@ CANDIDATE_PATTERNS = {
     "secret": (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+", "[0-9]"),
 }
 BEFORE, AFTER = 32, 8
+# Code points of a block of text, from which spans are cut.
+BLOCK = 1024
 # Context words that features look for just before a span.
 CONTEXT = {
     "phone": r"(?i)(?:phone|tel|call|fax|mobile|cell|dial|whatsapp)[^\n]{0,12}$",
@@ -86,19 +88,21 @@ def proposals(text: Column) -> Column:
     generators = [(k, p, c, True) for k, (p, c) in BASE_PATTERNS.items()] + [(k, p, c, False) for k, (p, c) in CANDIDATE_PATTERNS.items()]
     for g, (kind, pattern, needed, base) in enumerate(generators):
         found, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-        lists.append(F.when(text.rlike(needed), F.transform(found, _proposal(g, kind, base, pieces))))
+        # matches, the pieces before them and the pieces after them side by side, each list made once per text
+        beside = F.arrays_zip(found.alias("m"), pieces.alias("last"), F.slice(pieces, 2, F.size(pieces)).alias("next"))
+        made = F.transform(F.filter(beside, lambda z: z["m"].isNotNull()), _proposal(g, kind, base))
+        lists.append(F.when(text.rlike(needed), made))
     empty = F.array().cast("array<struct<g:int,i:int,kind:string,base:boolean,gap:int,m:string,before:string,after:string>>")
     return F.concat(*[F.coalesce(x, empty) for x in lists])
 
 
-def _proposal(g: int, kind: str, base: bool, pieces: Column):
+def _proposal(g: int, kind: str, base: bool):
     def make(match, i):
-        last = F.get(pieces, i)
-        size = F.length(last)
+        size = F.length(match["last"])
         return F.struct(
-            F.lit(g).alias("g"), i.alias("i"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), size.alias("gap"), match.alias("m"),
-            F.substring(last, F.greatest(size - (BEFORE - 1), F.lit(1)), F.lit(BEFORE)).alias("before"),
-            F.substring(F.get(pieces, i + 1), F.lit(1), F.lit(AFTER)).alias("after"))
+            F.lit(g).alias("g"), i.alias("i"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), size.alias("gap"), match["m"].alias("m"),
+            F.substring(match["last"], F.greatest(size - (BEFORE - 1), F.lit(1)), F.lit(BEFORE)).alias("before"),
+            F.substring(match["next"], F.lit(1), F.lit(AFTER)).alias("after"))
     return make
 
 
@@ -208,6 +212,28 @@ def detect(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text
         F.sha2(text_of("_base"), 256).alias("base_sha256"), text_of("_all").alias("spans"))
 
 
+def _blocks(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` code points, in one pass."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def _between(blocks: Column, start: Column, end: Column) -> Column:
+    """Code points ``start`` to ``end`` of a text in blocks, touching only the blocks that hold them."""
+    first, last = F.floor(start / BLOCK).cast("int"), F.floor(F.greatest(end - 1, start) / BLOCK).cast("int")
+    return F.substring(F.array_join(F.slice(blocks, first + 1, last - first + 1), ""), (start - first * BLOCK + 1).cast("int"), (end - start).cast("int"))
+
+
+def _rebuild(bound: Column) -> Column:
+    """The text with every span replaced by its mark; work is linear in text and spans."""
+    spans, blocks = bound["spans"], bound["blocks"]
+    size = F.when(F.size(blocks) > 0, (F.size(blocks) - 1) * BLOCK + F.length(F.element_at(blocks, -1))).otherwise(0)
+    none = F.struct(*[F.lit(None).cast("long").alias(n) for n in ("start", "end")], F.lit(None).cast("string").alias("kind"))
+    beside = F.arrays_zip(spans.alias("span"), F.concat(F.array(none), spans).alias("last"))
+    parts = F.transform(F.filter(beside, lambda z: z["span"].isNotNull()), lambda z: F.concat(
+        _between(blocks, F.coalesce(z["last"]["end"], F.lit(0).cast("long")), z["span"]["start"]), F.lit("["), z["span"]["kind"], F.lit("]")))
+    return F.concat(F.array_join(parts, ""), _between(blocks, F.element_at(spans, -1)["end"], size))
+
+
 def redact(docs: DataFrame, text: str = "text", selector: Selector | None = None) -> DataFrame:
     """The same rows and columns, every span in ``text`` replaced by ``[KIND]``.
 
@@ -228,12 +254,7 @@ def redact(docs: DataFrame, text: str = "text", selector: Selector | None = None
     lists = merged.groupBy("_rid").agg(F.array_sort(F.collect_list(F.struct(
         F.col("_s.start").alias("start"), F.col("_e").alias("end"), F.upper("_s.kind").alias("kind")))).alias("_list"))
     value = F.col(text)
-
-    def part(span, i):
-        last = F.when(i > 0, F.get("_list", i - 1)["end"]).otherwise(0)
-        return F.concat(F.substring(value, (last + 1).cast("int"), (span["start"] - last).cast("int")), F.lit("["), span["kind"], F.lit("]"))
-
-    tail = F.substring(value, (F.element_at("_list", -1)["end"] + 1).cast("int"), F.length(value))
-    rebuilt = F.concat(F.array_join(F.transform("_list", part), ""), tail)
+    # bound as one element of an array, the blocks of a text are cut once and not per span
+    rebuilt = F.element_at(F.transform(F.array(F.struct(F.col("_list").alias("spans"), _blocks(value).alias("blocks"))), _rebuild), 1)
     changed = held.drop("_p").join(lists, "_rid", "left").withColumn(text, F.when(F.col("_list").isNotNull(), rebuilt).otherwise(value))
     return plain.unionByName(changed.select(*docs.columns))
