@@ -162,3 +162,34 @@ def op3(spark, sf):
     from .pii import detect
 
     return detect(table(spark, sf, "documents"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc_id, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+places AS (SELECT lang, ws, unnest(generate_series(1, len(ws))) AS i FROM w WHERE len(ws) > 0),
+grams AS (SELECT lang, k, array_to_string(ws[i : i + k - 1], ' ') AS phrase FROM places, (VALUES (1), (2), (3)) s(k) WHERE i + k - 1 <= len(ws)),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY ALL HAVING count(*) >= 10),
+c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+cuts AS (SELECT lang, phrase, a, ws, j, array_to_string(ws[1:j], ' ') AS p, array_to_string(ws[j + 1:], ' ') AS q
+  FROM c, (VALUES (1), (2)) t(j) WHERE j < k),
+scored AS (SELECT cuts.lang, cuts.phrase, a, ws, j, x.n AS l, y.n AS r, CAST((1000000::HUGEINT * a * a) // (x.n::HUGEINT * y.n) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = p JOIN f y ON y.lang = cuts.lang AND y.phrase = q),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+parts AS (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM c WHERE k = 3),
+longer AS (SELECT lang, phrase, max(a) AS m FROM parts GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM weakest JOIN total USING (lang) LEFT JOIN longer USING (lang, phrase)
+WHERE m IS NULL OR 100 * m < 50 * a
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
+
+@query("op13_son_phrases", OP13_SQL)
+def op13(spark, sf):
+    from .phrases import collocations
+
+    return collocations(table(spark, sf, "documents"))
