@@ -193,3 +193,64 @@ def op13(spark, sf):
     from .phrases import collocations
 
     return collocations(table(spark, sf, "documents"))
+
+
+OP12_SQL = """
+WITH RECURSIVE d AS (
+  SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+base AS (
+  SELECT doc_id, source, coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-')
+    || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || CAST(n_chars AS VARCHAR), '-') AS head,
+    coalesce(strlen(text) || ':' || text, '-') AS tail, coalesce(strlen(low) || ':' || low, '-') AS low_tail FROM d),
+crc_byte AS (
+  SELECT 0 AS step, v AS b, v AS c FROM range(256) r(v)
+  UNION ALL SELECT step + 1, b, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM crc_byte WHERE step < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS t FROM crc_byte WHERE step = 8),
+crc AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS s, CAST(1 AS BIGINT) AS pos, CAST(4294967295 AS BIGINT) AS c FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL SELECT doc_id, s, pos + 1, xor(c // 256, t[CAST(xor(c % 256, ascii(s[pos])) AS INTEGER) + 1]) FROM crc, crc_table WHERE pos <= length(s)),
+changed AS (SELECT DISTINCT doc_id FROM crc WHERE pos = length(s) + 1 AND xor(c, 4294967295) % 5 = 0),
+leaf AS (
+  SELECT doc_id, source, sha256(head || tail) AS leaf, sha256(head || CASE WHEN doc_id IN (SELECT doc_id FROM changed) THEN low_tail ELSE tail END) AS told
+  FROM base),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n FROM leaf),
+lev AS (
+  SELECT source, 0 AS l, i, leaf AS h, n AS c FROM placed
+  UNION ALL SELECT source, l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), any_value((c + 15) // 16) FROM lev WHERE c > 1 GROUP BY source, l, i // 16),
+sub AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM lev WHERE c = 1),
+top AS (
+  SELECT 0 AS l, i, subroot AS h, n AS c FROM sub
+  UNION ALL SELECT l + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), any_value((c + 15) // 16) FROM top WHERE c > 1 GROUP BY l, i // 16),
+path AS (
+  SELECT p.source, p.i AS leaf_i, v.l, coalesce(string_agg(v.h, '' ORDER BY v.i) FILTER (v.i < p.i // CAST(16 ** v.l AS BIGINT)), '') AS before,
+    coalesce(string_agg(v.h, '' ORDER BY v.i) FILTER (v.i > p.i // CAST(16 ** v.l AS BIGINT)), '') AS after
+  FROM placed p JOIN lev v ON v.source IS NOT DISTINCT FROM p.source AND v.c > 1 AND v.i // 16 = p.i // CAST(16 ** v.l AS BIGINT) // 16
+  GROUP BY p.source, p.i, v.l),
+above AS (
+  SELECT s.source, v.l, coalesce(string_agg(v.h, '' ORDER BY v.i) FILTER (v.i < s.i // CAST(16 ** v.l AS BIGINT)), '') AS before,
+    coalesce(string_agg(v.h, '' ORDER BY v.i) FILTER (v.i > s.i // CAST(16 ** v.l AS BIGINT)), '') AS after
+  FROM sub s JOIN top v ON v.c > 1 AND v.i // 16 = s.i // CAST(16 ** v.l AS BIGINT) // 16 GROUP BY s.source, v.l),
+whole AS (
+  SELECT source, leaf_i, l AS pos, before, after FROM path
+  UNION ALL SELECT p.source, p.i, a.l + 1000, a.before, a.after FROM placed p JOIN above a ON a.source IS NOT DISTINCT FROM p.source),
+steps AS (SELECT source, leaf_i, before, after, row_number() OVER (PARTITION BY source, leaf_i ORDER BY pos) AS k FROM whole),
+proof AS (SELECT source, leaf_i, sha256(string_agg(before || after, '' ORDER BY k)) AS proof_sha256, max(k) AS steps FROM steps GROUP BY source, leaf_i),
+fold AS (
+  SELECT source, i, 0 AS k, told AS h FROM placed
+  UNION ALL SELECT f.source, f.i, f.k + 1, sha256(s.before || f.h || s.after)
+    FROM fold f JOIN steps s ON s.source IS NOT DISTINCT FROM f.source AND s.leaf_i = f.i AND s.k = f.k + 1),
+ends AS (SELECT source, i, arg_max(h, k) AS folded_root FROM fold GROUP BY source, i)
+SELECT p.doc_id, p.leaf, s.subroot, (SELECT h FROM top WHERE c = 1) AS root, coalesce(r.proof_sha256, sha256('')) AS proof_sha256, e.folded_root,
+  e.folded_root = (SELECT h FROM top WHERE c = 1) AS verified
+FROM placed p JOIN sub s ON s.source IS NOT DISTINCT FROM p.source JOIN ends e ON e.source IS NOT DISTINCT FROM p.source AND e.i = p.i
+LEFT JOIN proof r ON r.source IS NOT DISTINCT FROM p.source AND r.leaf_i = p.i
+"""
+
+
+@query("op12_postorder_manifest", OP12_SQL)
+def op12(spark, sf):
+    from .merkle import lowered, manifest
+
+    return manifest(table(spark, sf, "documents"), tampered=(remainder(5) == 0, {"text": lowered(F.col("text"))}))
