@@ -47,52 +47,54 @@ def _numbered(rows: DataFrame, group: str, order: Sequence[str]) -> DataFrame:
     return joined.withColumn("_i", F.col("_place") + F.col("_add")).drop("_g", "_r", "_add", "_range", "_place")
 
 
-def _logs(leaves: DataFrame, group: str, carry: Sequence[str]) -> DataFrame:
+def _logs(leaves: DataFrame, group: str, carry: Sequence[str], height: int) -> DataFrame:
     """One row per builder: its leaves' carried columns in order and its postorder log."""
+    held_leaves = tasks.ARITY ** height
+
     @F.pandas_udf("array<string>")
     def log(found, alone):
-        return found.combine(alone, lambda digests, one: tasks.build(list(digests), bool(one)))
+        return found.combine(alone, lambda digests, one: tasks.build(list(digests), bool(one), height))
 
-    dealt = leaves.withColumn("_b", F.floor(F.col("_i") / tasks.LEAVES).cast("long"))
-    rows = F.array_sort(F.collect_list(F.struct("_i", "_digest", *carry)))  # at most LEAVES of them
+    dealt = leaves.withColumn("_b", F.floor(F.col("_i") / held_leaves).cast("long"))
+    rows = F.array_sort(F.collect_list(F.struct("_i", "_digest", *carry)))  # at most held_leaves of them
     held = dealt.groupBy(group, "_b").agg(F.max("_n").alias("_n"), rows.alias("_rows"))
-    held = held.withColumn("_log", log(F.col("_rows._digest"), F.col("_n") <= tasks.LEAVES))
+    held = held.withColumn("_log", log(F.col("_rows._digest"), F.col("_n") <= held_leaves))
     return materialize(held.withColumn("_top", F.element_at("_log", -1)), "postorder")
 
 
-def _prove(leaves: DataFrame, group: str, carry: Sequence[str] = ()) -> DataFrame:
+def _prove(leaves: DataFrame, group: str, carry: Sequence[str], height: int) -> DataFrame:
     """Adds to every leaf (``group``, ``_i``, ``_n``, ``_digest``) the group's root and the siblings on its path.
 
-    Builders of 4,096 consecutive leaves write their logs; their roots are the
+    Builders of ``16 ** height`` consecutive leaves write their logs; their roots are the
     leaves of the next round, until every group has one. The paths then come
     down: siblings inside a builder are read from its log, those above it are
     shared by all its leaves. Returns one row per builder: ``group``, ``_b``,
     ``_root``, ``_rows``, ``_log``, ``_n`` and ``_above``.
     """
-    logs = _logs(leaves, group, carry)
+    logs = _logs(leaves, group, carry, height)
     if not logs.where(F.col("_b") > 0).limit(1).count():
         return logs.withColumnRenamed("_top", "_root").withColumn("_above", F.array().cast(_PATH))
-    upper = logs.select(group, F.col("_b").alias("_i"), F.ceil(F.col("_n") / tasks.LEAVES).alias("_n"), F.col("_top").alias("_digest"))
-    above = _paths(_prove(upper, group, ()), group, ("_i",))
+    upper = logs.select(group, F.col("_b").alias("_i"), F.ceil(F.col("_n") / tasks.ARITY ** height).alias("_n"), F.col("_top").alias("_digest"))
+    above = _paths(_prove(upper, group, (), height), group, ("_i",), height)
     above = above.select(F.col(group).alias("_g"), F.col("_i").alias("_j"), "_root", F.col("_path").alias("_above"))
     return logs.drop("_top").join(above, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_j"))).drop("_g", "_j")
 
 
-def _paths(proved: DataFrame, group: str, carry: Sequence[str]) -> DataFrame:
+def _paths(proved: DataFrame, group: str, carry: Sequence[str], height: int) -> DataFrame:
     """One row per leaf with its whole path."""
     @F.pandas_udf(f"array<{_PATH}>")
     def inside(log, size, alone):
         import pandas as pd
 
-        return pd.Series([[[{"before": a, "after": b} for a, b in path] for path in tasks.paths(list(x), int(n), bool(one))]
+        return pd.Series([[[{"before": a, "after": b} for a, b in path] for path in tasks.paths(list(x), int(n), bool(one), height)]
                           for x, n, one in zip(log, size, alone, strict=True)])
 
-    within = inside("_log", F.size("_rows"), F.col("_n") <= tasks.LEAVES)
+    within = inside("_log", F.size("_rows"), F.col("_n") <= tasks.ARITY ** height)
     each = proved.select(group, "_root", "_above", F.explode(F.arrays_zip("_rows", within.alias("_within"))).alias("_z"))
     return each.select(group, "_root", *[F.col(f"_z._rows.{c}") for c in carry], F.concat("_z._within", "_above").alias("_path"))
 
 
-def _folds(proved: DataFrame, above: str, carry: Sequence[str]) -> DataFrame:
+def _folds(proved: DataFrame, above: str, carry: Sequence[str], height: int) -> DataFrame:
     """Per leaf: digest of all siblings, and the root folded from ``_told`` (the tampered, else the own digest)."""
     @F.pandas_udf("array<struct<proof:string,fold:string>>")
     def fold(log, told, alone, above):
@@ -103,20 +105,21 @@ def _folds(proved: DataFrame, above: str, carry: Sequence[str]) -> DataFrame:
             shared = [(p["before"], p["after"]) for p in shared]
             tail = "".join(a + b for a, b in shared)
             rows = []
-            for path, leaf in zip(tasks.paths(list(x), len(leaves), bool(one)), leaves, strict=True):
+            for path, leaf in zip(tasks.paths(list(x), len(leaves), bool(one), height), leaves, strict=True):
                 rows.append({"proof": tasks.digest_of("".join(a + b for a, b in path) + tail), "fold": tasks.folded(leaf, path + shared)})
             out.append(rows)
         return pd.Series(out)
 
-    folds = fold("_log", "_rows._told", F.col("_n") <= tasks.LEAVES, above)
+    folds = fold("_log", "_rows._told", F.col("_n") <= tasks.ARITY ** height, above)
     each = proved.withColumn("_z", F.explode(F.arrays_zip("_rows", folds.alias("_fold"))))
     return each.select(*[f"_z._rows.{c}" for c in carry], F.col("_z._rows._digest").alias("leaf"), F.col("_root").alias("subroot"), "root",
                        F.col("_z._fold.proof").alias("proof_sha256"), F.col("_z._fold.fold").alias("folded_root"))
 
 
-def postorder_log(docs: DataFrame, keep: Sequence[str] = ("doc_id",), columns: Sequence[str] = LEAF_COLUMNS, group: str = "source", key: str = "doc_id") -> DataFrame:
+def postorder_log(docs: DataFrame, keep: Sequence[str] = ("doc_id",), columns: Sequence[str] = LEAF_COLUMNS, group: str = "source", key: str = "doc_id",
+                  height: int = tasks.HEIGHT) -> DataFrame:
     """The append log of the lowest builders: ``group``, ``builder``, ``position`` (from 0) and ``digest``."""
-    logs = _logs(_leaves(docs, keep, columns, group, key, None), "_source", ("_row",))
+    logs = _logs(_leaves(docs, keep, columns, group, key, None), "_source", ("_row",), height)
     return logs.select(F.col("_source").alias(group), F.col("_b").alias("builder"), F.posexplode("_log").alias("position", "digest"))
 
 
@@ -134,7 +137,7 @@ def _leaves(docs, keep, columns, group, key, tampered) -> DataFrame:
 
 
 def manifest(docs: DataFrame, keep: Sequence[str] = ("doc_id",), columns: Sequence[str] = LEAF_COLUMNS, group: str = "source",
-             key: str = "doc_id", tampered: tuple[Column, dict[str, Column]] | None = None) -> DataFrame:
+             key: str = "doc_id", tampered: tuple[Column, dict[str, Column]] | None = None, height: int = tasks.HEIGHT) -> DataFrame:
     """Every row's leaf, its group's root, the dataset's root and a checked proof.
 
     A row is the SHA-256 of ``columns``. Per ``group``, leaves in order of
@@ -154,13 +157,13 @@ def manifest(docs: DataFrame, keep: Sequence[str] = ("doc_id",), columns: Sequen
     if clash := set(RESULTS) & set(keep) | {c for c in keep if c.startswith("_")}:
         raise ValueError(f"kept columns clash with results: {sorted(clash)}")
     carry = ("_row", "_told")
-    proved = _prove(_leaves(docs, keep, columns, group, key, tampered), "_source", carry)
+    proved = _prove(_leaves(docs, keep, columns, group, key, tampered), "_source", carry, height)
     subroots = materialize(proved.select("_source", F.col("_root").alias("_digest")).distinct().withColumn("_all", F.lit(0)), "subroots")
     ordered = _numbered(subroots, "_all", ("_source",))
-    top = _paths(_prove(ordered, "_all", ("_source",)), "_all", ("_source",))
+    top = _paths(_prove(ordered, "_all", ("_source",), height), "_all", ("_source",), height)
     top = materialize(top.select(F.col("_source").alias("_g"), F.col("_root").alias("root"), F.col("_path").alias("_on_top")), "top")
     joined = proved.join(top, F.col("_source").eqNullSafe(F.col("_g"))).withColumn("_shared", F.concat("_above", "_on_top"))
-    out = _folds(joined, "_shared", carry)
+    out = _folds(joined, "_shared", carry, height)
     return out.select("_row.*", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 

@@ -6,7 +6,6 @@ import hashlib
 
 # Children of a node, and the height of what one builder holds (16 ** 3 = 4,096 leaves).
 ARITY, HEIGHT = 16, 3
-LEAVES = ARITY ** HEIGHT
 
 
 def digest_of(text: str) -> str:
@@ -103,10 +102,10 @@ def folded(digest: str, path: list[tuple[str, str]]) -> str:
     return digest
 
 
-def build(leaves: list[str], alone: bool) -> list[str]:
+def build(leaves: list[str], alone: bool, height: int = HEIGHT) -> list[str]:
     """A builder's log; one of several builders goes up to their common height."""
-    return build_log(leaves, height_of(len(leaves)) if alone else HEIGHT)
+    return build_log(leaves, height_of(len(leaves)) if alone else height)
 
 
-def paths(log: list[str], leaves: int, alone: bool) -> list[list[tuple[str, str]]]:
-    return run_siblings(log, leaves, height_of(leaves) if alone else HEIGHT)
+def paths(log: list[str], leaves: int, alone: bool, height: int = HEIGHT) -> list[list[tuple[str, str]]]:
+    return run_siblings(log, leaves, height_of(leaves) if alone else height)

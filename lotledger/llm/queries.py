@@ -254,3 +254,10 @@ def op12(spark, sf):
     from .merkle import lowered, manifest
 
     return manifest(table(spark, sf, "documents"), tampered=(remainder(5) == 0, {"text": lowered(F.col("text"))}))
+
+
+@query("op11_kmeans_tree_search")
+def op11(spark, sf):
+    from .neighbours import search
+
+    return search(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0)
