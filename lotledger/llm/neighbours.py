@@ -17,8 +17,8 @@ SAMPLE, SAMPLE_BYTES = 16_384, 64 << 20
 LEAF_ROWS, LEAF_SAMPLE = 64, 4
 # Queries that calibrate the number of leaf visits, and the share of their neighbours to be met.
 CALIBRATION, RECALL = 256, 0.97
-# Vectors of a leaf in one block, queries that meet it together.
-BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
+# Vectors in one block (of one or more neighbouring leaves), queries that meet it together, queries that walk together.
+BLOCK_ROWS, BLOCK_QUERIES, TOGETHER = 2048, 1024, 64
 # Slices of the answers that rows of one query vector are joined with.
 SLICES = 8
 RESULTS = ("query_id", "rank", "vec_id", "score", "leaf_visits", "calibrated_recall")
@@ -81,37 +81,51 @@ def _true_leaves(nodes: DataFrame, queries: list, k: int) -> list[list[int]]:
     return out
 
 
+def _grouped(nodes_of: dict[int, int], most: int) -> dict[int, int]:
+    """Group of every leaf: neighbouring leaves share one while it holds at most ``most`` nodes."""
+    out, group, held = {}, 0, 0
+    for leaf in sorted(nodes_of):
+        if held and held + nodes_of[leaf] > most:
+            group, held = group + 1, 0
+        out[leaf], held = group, held + nodes_of[leaf]
+    return out
+
+
 def _dealt(side: DataFrame, own: dict, opposite: dict, name: str, key: str, other: str) -> DataFrame:
-    """``side`` cut into ``own`` blocks per leaf, repeated for every block that the opposite side has there."""
-    leaves = [(leaf, own[leaf], opposite[leaf]) for leaf in own.keys() & opposite.keys()]
-    # no more leaves than the bounded sample allows
-    blocks = F.broadcast(side.sparkSession.createDataFrame(leaves, "_leaf long, _own long, _opposite long"))
+    """``side`` cut into ``own`` blocks per group, repeated for every block that the opposite side has there."""
+    groups = [(group, own[group], opposite[group]) for group in own.keys() & opposite.keys()]
+    # no more groups than leaves, of which the bounded sample allows few
+    blocks = F.broadcast(side.sparkSession.createDataFrame(groups, "_group long, _own long, _opposite long"))
     block = F.pmod(F.xxhash64(key), F.col("_own"))
     repeated = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_opposite") - 1))
-    return side.join(blocks, "_leaf").withColumn(name, block).withColumn(other, repeated).drop("_own", "_opposite")
+    return side.join(blocks, "_group").withColumn(name, block).withColumn(other, repeated).drop("_own", "_opposite")
 
 
 def _best(k: int):
-    """The ``k`` nearest rows of a block for every query that visits its leaf."""
+    """The ``k`` nearest rows of a block for every query, among the leaves that it visits."""
     def run(key, rows, queries):
         import numpy as np
         import pandas as pd
 
         out = []
         if len(rows) and len(queries):
+            rows = rows.sort_values("_leaf", kind="stable")
+            leaves, starts = np.unique(rows["_leaf"].to_numpy(), return_index=True)
+            places = dict(zip(leaves.tolist(), np.split(np.arange(len(rows)), starts[1:]), strict=True))
             vectors = np.array(rows["_vector"].tolist(), np.float64)
-            asked = np.array(queries["_vector"].tolist(), np.float64)
-            near = trees.unit(asked) @ trees.unit(vectors).T
-            ids, sizes = rows["_ids"].tolist(), rows["_ids"].map(len).to_numpy()
-            place = min(k, near.shape[1]) - 1
-            for q, name in enumerate(queries["_query"]):
+            units, ids, sizes = trees.unit(vectors), rows["_ids"].tolist(), rows["_ids"].map(len).to_numpy()
+            for name, asked, visited in zip(queries["_query"], queries["_vector"], queries["_leaves"], strict=True):
+                asked, chosen = np.array(asked, np.float64), [places[leaf] for leaf in visited if leaf in places]
+                if not chosen:
+                    continue
+                chosen = np.concatenate(chosen)
+                near = units[chosen] @ trees.unit(asked[None])[0]
                 # products of normalized vectors tell who may be among the best; the measure itself ranks them
-                edge = -np.partition(-near[q], place)[place] - 1e-9
-                found = np.flatnonzero(near[q] >= edge)
-                scores = trees.cosines(asked[q], vectors[found])
-                order = np.argsort(-scores, kind="stable")
+                place = min(k, len(near)) - 1
+                found = chosen[near >= -np.partition(-near, place)[place] - 1e-9]
+                scores = trees.cosines(asked, vectors[found])
                 left, last = k, None
-                for i in order:
+                for i in np.argsort(-scores, kind="stable"):
                     if left <= 0 and scores[i] < last:
                         break
                     left, last = left - sizes[found[i]], scores[i]
@@ -141,23 +155,36 @@ def _search(nodes: DataFrame, queries: DataFrame, rows: int, length: int, k: int
     units = trees.unit(np.array([r["_vector"] for r in asked], np.float64))
     least, met = trees.needed_visits(tree, units, truth, held, recall)
 
+    of_rows: dict = {}
+    group_of = _grouped({r["_leaf"]: r["nodes"] for r in counts}, BLOCK_ROWS)
+    for r in counts:
+        of_rows[group_of[r["_leaf"]]] = of_rows.get(group_of[r["_leaf"]], 0) + r["nodes"]
+    of_rows = {group: -(-n // BLOCK_ROWS) for group, n in of_rows.items()}
+
     def visited(batches):
         import pyarrow as pa
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            found = [trees.visits(sent.value, v, held, least, k + 1) for v in trees.unit(_matrix(batch.column(1)))]
-            take = pa.array(np.repeat(np.arange(batch.num_rows), [len(x) for x in found]))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(np.concatenate(found).astype(np.int64))],
-                                             names=["_query", "_vector", "_leaf"])
-
-    visiting = materialize(queries.mapInArrow(visited, "_query string, _vector array<double>, _leaf long"), "visits")
-    of_rows = {r["_leaf"]: -(-r["nodes"] // BLOCK_ROWS) for r in counts}
-    of_queries = {r["_leaf"]: -(-r["count"] // BLOCK_QUERIES) for r in visiting.groupBy("_leaf").count().collect()}
-    left = _dealt(placed.select("_leaf", "_node", "_vector", "_ids"), of_rows, of_queries, "_b", "_node", "_c")
+            for at in range(0, batch.num_rows, TOGETHER):
+                part, take, groups, leaves = batch.slice(at, TOGETHER), [], [], []
+                for i, vector in enumerate(trees.unit(_matrix(part.column(1)))):
+                    by_group: dict = {}
+                    for leaf in trees.visits(sent.value, vector, held, least, k + 1):
+                        by_group.setdefault(group_of[leaf], []).append(leaf)
+                    take += [i] * len(by_group)
+                    groups += by_group.keys()
+                    leaves += by_group.values()
+                take = pa.array(take, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(groups, pa.int64()),
+                                                  pa.array(leaves, pa.list_(pa.int64()))], names=["_query", "_vector", "_group", "_leaves"])
+
+    visiting = materialize(queries.mapInArrow(visited, "_query string, _vector array<double>, _group long, _leaves array<long>"), "visits")
+    of_queries = {r["_group"]: -(-r["count"] // BLOCK_QUERIES) for r in visiting.groupBy("_group").count().collect()}
+    groups = F.broadcast(spark.createDataFrame(list(group_of.items()), "_leaf long, _group long"))
+    rows_of = placed.join(groups, "_leaf").select("_group", "_leaf", "_node", "_vector", "_ids")
+    left = _dealt(rows_of, of_rows, of_queries, "_b", "_node", "_c")
     right = _dealt(visiting, of_queries, of_rows, "_c", "_query", "_b")
-    keys = ("_leaf", "_b", "_c")
+    keys = ("_group", "_b", "_c")
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_best(k + 1), "_query string, id long, rid long, score double")
     order = Window.partitionBy("_query").orderBy(F.desc("score"), "id", "rid")
     best = found.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k + 1)
