@@ -15,7 +15,9 @@ _BREAK = b"\xff"
 _TO_BREAK = bytes.maketrans(_ENDS, _BREAK * len(_ENDS))
 _END = re.compile(rb"[.,;:!?\x0a-\x0d]")
 # Bytes of a text handled at once (a piece is never cut), words counted together, words with a number.
-BLOCK, TOKENS, VOCABULARY = 4 << 20, 2_000_000, 1 << 20
+BLOCK, TOKENS, VOCABULARY = 4 << 20, 4_000_000, 1 << 20
+# Places hashed at once.
+CHUNK = 1 << 18
 _BITS = np.uint64(21)  # three word numbers share one 64-bit code
 _LOW = np.uint64((1 << 21) - 1)
 
@@ -62,9 +64,6 @@ class Grams:
     def __init__(self, size: int, codes: np.ndarray, counts: np.ndarray, hashes: np.ndarray, words: list):
         self.size, self.counts, self.hashes, self._codes, self._words = size, counts, hashes, codes, words
 
-    def keep(self, which: np.ndarray) -> Grams:
-        return Grams(self.size, self._codes[which], self.counts[which], self.hashes[which], self._words)
-
     def phrases(self) -> list[str]:
         ids = _split(self._codes, self.size)
         words = self._words
@@ -75,33 +74,32 @@ def _split(codes: np.ndarray, size: int) -> np.ndarray:
     return np.stack([(codes >> (_BITS * np.uint64(size - 1 - k))) & _LOW for k in range(size)], 1).astype(np.int64)
 
 
-def gram_hashes(word_hashes: np.ndarray, language: int) -> np.ndarray:
-    """64-bit hash of every row of word hashes, one language and one length apart from another."""
-    seed = np.array([language], np.uint64)
-    h = np.repeat(mixed(seed + np.uint64(word_hashes.shape[1])), len(word_hashes))
-    for k in range(word_hashes.shape[1]):
-        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + word_hashes[:, k])
+def gram_hashes(word_hashes: list[np.ndarray], language: int) -> np.ndarray:
+    """64-bit hash of n-grams, given the hashes of their first, second and third words; languages and lengths differ."""
+    h = mixed(np.array([language], np.uint64) + np.uint64(len(word_hashes)))
+    for part in word_hashes:
+        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + part)
     return h
 
 
 class Counter:
     """Counts the n-grams of (language, text) pairs, a bounded stretch of words at a time."""
 
-    def __init__(self, sizes: Iterable[int], joined=None):
-        """``joined`` (a filter over hashes): n-grams of three words count only where both pairs in them pass."""
-        self.sizes, self.joined = tuple(sizes), joined
+    def __init__(self, sizes: Iterable[int], joined: HashFilter | None = None, held: HashFilter | None = None):
+        """``joined``: n-grams of three words count only where both pairs in them pass; ``held``: only what passes counts."""
+        self.sizes, self.joined, self.held = tuple(sizes), joined, held
         self._start()
 
     def _start(self):
-        self.vocabulary, self.ids, self.held = Vocabulary(), {}, 0
+        self.vocabulary, self.ids, self.waiting = Vocabulary(), {}, 0
 
     def add(self, language: str, text: bytes) -> Iterator[tuple[str, int, Grams | int]]:
         for block in blocks(text):
             words = block.lower().translate(_TO_BREAK).replace(_BREAK, b" \xff ").split()
             words.append(_BREAK)
             self.ids.setdefault(language, []).append(np.fromiter(map(self.vocabulary.__getitem__, words), np.uint64, len(words)))
-            self.held += len(words)
-            if self.held >= TOKENS or len(self.vocabulary) >= VOCABULARY:
+            self.waiting += len(words)
+            if self.waiting >= TOKENS or len(self.vocabulary) >= VOCABULARY:
                 yield from self.flush()
 
     def flush(self) -> Iterator[tuple[str, int, Grams | int]]:
@@ -125,15 +123,18 @@ class Counter:
             part = ids[k:k + length]
             codes = (codes << _BITS) | part
             whole &= part > 0
-        if size == 3 and self.joined is not None:
-            pairs = np.unique(np.concatenate([codes[whole] >> _BITS, codes[whole] & np.uint64((1 << 42) - 1)]))
-            frequent = pairs[self.joined.holds(gram_hashes(hashed[_split(pairs, 2)], seed))]
-            codes = codes[whole]
-            codes = codes[np.isin(codes >> _BITS, frequent) & np.isin(codes & np.uint64((1 << 42) - 1), frequent)]
-        else:
-            codes = codes[whole]
-        found, counts = np.unique(codes, return_counts=True)
-        return Grams(size, found, counts, gram_hashes(hashed[_split(found, size)], seed), words)
+        if self.joined is not None and size == 3:
+            pair = np.zeros(max(len(ids) - 1, 0), bool)
+            for at in range(0, len(pair), CHUNK):
+                pair[at:at + CHUNK] = self.joined.holds(gram_hashes([hashed[ids[at:at + CHUNK]][:len(pair) - at], hashed[ids[at + 1:at + CHUNK + 1]]], seed))
+            whole &= pair[:length] & pair[1:length + 1]
+        if self.held is not None:
+            for at in range(0, length, CHUNK):
+                parts = [hashed[ids[at + k:min(at + CHUNK, length) + k]] for k in range(size)]
+                whole[at:at + CHUNK] &= self.held.holds(gram_hashes(parts, seed))
+        found, counts = np.unique(codes[whole], return_counts=True)
+        split = _split(found, size)
+        return Grams(size, found, counts, gram_hashes([hashed[split[:, k]] for k in range(size)], seed), words)
 
 
 class HashFilter:

@@ -84,7 +84,7 @@ def _count(texts: DataFrame, held) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        counter = Counter((1, 2, 3))
+        counter = Counter((1, 2, 3), held=held.value)
 
         def rows(found):
             for language, size, grams in found:
@@ -92,7 +92,6 @@ def _count(texts: DataFrame, held) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([language]), pa.array([0], pa.int32()), pa.array([""]), pa.array([grams], pa.int64())],
                                                      names=["lang", "size", "phrase", "c"])
                     continue
-                grams = grams.keep(held.value.holds(grams.hashes))
                 said = grams.phrases()
                 yield pa.RecordBatch.from_arrays([
                     pa.array([language] * len(said), pa.string()), pa.array([size] * len(said), pa.int32()), pa.array(said, pa.string()),
@@ -126,11 +125,19 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", suppo
     return materialize(_count(texts, held).where((F.col("size") == 0) | (F.col("n") >= support)), "phrases")
 
 
-def _part(phrase: Column, first: int, last: int) -> Column:
+def _part(phrase: Column, first: int, last: int | Column) -> Column:
     """Words ``first`` to ``last`` (from 0) of a phrase."""
     return F.array_join(F.slice(F.split(phrase, " "), first + 1, last - first + 1), " ")
 
 
+def _score(a: Column, left: Column, right: Column) -> Column:
+    """floor(1000000 * a * a / (left * right)) in whole numbers of up to 38 digits."""
+    wide = lambda c: c.cast("decimal(16,0)")
+    above = (wide(a) * wide(a) * F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(38,0)")
+    below = (wide(left) * wide(right)).cast("decimal(38,0)")
+    return F.call_function("div", above, below)
+
+
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", support: int = SUPPORT, absorbed: int = ABSORBED,
                  top: int = TOP, shards: int = SHARDS) -> DataFrame:
     """The best phrases of two or three words per language.
@@ -149,25 +156,24 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", suppor
     names cannot clash. A text is read whole, in blocks that end with a piece.
     """
     counts = phrase_counts(docs, text, lang, support, shards)
-    phrases = counts.where("size >= 2")
-    of = counts.where("size between 1 and 2").select("lang", "phrase", "n")
-
-    def cut(rows: DataFrame, size: int, k: int) -> DataFrame:
-        rows = rows.withColumns({"_f": _part(F.col("phrase"), 0, k - 1), "_s": _part(F.col("phrase"), k, size - 1)})
-        rows = sized_join(rows, of.select("lang", F.col("phrase").alias("_f"), F.col("n").alias("l")), ["lang", "_f"])
-        rows = sized_join(rows, of.select("lang", F.col("phrase").alias("_s"), F.col("n").alias("r")), ["lang", "_s"])
-        wide = lambda c: F.col(c).cast("decimal(16,0)")
-        rows = rows.withColumn("_above", (wide("a") * wide("a") * F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(38,0)"))
-        return rows.withColumn("_below", (wide("l") * wide("r")).cast("decimal(38,0)")).withColumn("score", F.expr("_above div _below")).select(
-            "lang", "phrase", "a", F.struct("score", F.lit(k).alias("k"), "l", "r").alias("_cut"))
-
-    two = phrases.where("size = 2").select("lang", "phrase", F.col("n").alias("a"))
-    three = phrases.where("size = 3").select("lang", "phrase", F.col("n").alias("a"))
-    within = three.select("lang", "a", F.explode(F.array(_part(F.col("phrase"), 0, 1), _part(F.col("phrase"), 1, 2))).alias("phrase"))
-    longer = within.groupBy("lang", "phrase").agg(F.max("a").alias("_longer"))
-    free = two.join(longer, ["lang", "phrase"], "left").where(F.coalesce(F.col("_longer") * 100 < F.col("a") * absorbed, F.lit(True))).drop("_longer")
-    weakest = cut(three, 3, 1).unionByName(cut(three, 3, 2)).groupBy("lang", "phrase", "a").agg(F.min("_cut").alias("_cut"))
-    scored = cut(free, 2, 1).unionByName(weakest).select("lang", "phrase", "a", "_cut.l", "_cut.r", "_cut.score")
+    phrases = counts.where("size >= 2").select("lang", "size", "phrase", F.col("n").alias("a"))
+    pairs_in = F.explode(F.array(_part(F.col("phrase"), 0, 1), _part(F.col("phrase"), 1, 2)))
+    longer = phrases.where("size = 3").select("lang", pairs_in.alias("phrase"), "a").groupBy("lang", "phrase").agg(F.max("a").alias("_longer"))
+    free = phrases.join(longer.withColumn("size", F.lit(2)), ["lang", "size", "phrase"], "left")
+    free = free.where(F.coalesce(F.col("_longer") * 100 < F.col("a") * absorbed, F.lit(True)))
+
+    # both parts of every cut meet their counts in one join; adaptive execution splits the parts that many phrases share
+    cut = lambda k: [F.struct(F.lit(k).alias("k"), F.lit(side).alias("side"), part.alias("part")) for side, part in (
+        ("l", _part(F.col("phrase"), 0, k - 1)), ("r", _part(F.col("phrase"), k, F.col("size") - 1)))]
+    parts = F.explode(F.when(F.col("size") == 2, F.array(*cut(1))).otherwise(F.array(*cut(1), *cut(2))))
+    parts = free.select("lang", "phrase", "a", parts.alias("_c")).select("lang", "phrase", "a", "_c.*")
+    of = counts.where("size between 1 and 2").select("lang", F.col("phrase").alias("part"), "n")
+    at = lambda k, side: F.max(F.when((F.col("k") == k) & (F.col("side") == side), F.col("n"))).alias(f"{side}{k}")
+    sides = parts.join(of, ["lang", "part"]).groupBy("lang", "phrase", "a").agg(*[at(k, side) for k in (1, 2) for side in "lr"])
+    scores = [F.struct(_score(F.col("a"), F.col(f"l{k}"), F.col(f"r{k}")).alias("score"), F.lit(k).alias("k"), F.col(f"l{k}").alias("l"), F.col(f"r{k}").alias("r"))
+              for k in (1, 2)]
+    weakest = F.when(F.col("l2").isNull(), scores[0]).otherwise(F.least(*scores))
+    scored = sides.select("lang", "phrase", "a", weakest.alias("_cut")).select("lang", "phrase", "a", "_cut.l", "_cut.r", "_cut.score")
 
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     scored = scored.withColumn("_slice", F.pmod(F.xxhash64("phrase"), F.lit(RANK_SLICES)))
