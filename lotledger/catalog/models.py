@@ -104,35 +104,201 @@ def _(spark, sf):
                          F.lit(low < unseen < high).alias("unseen_is_between"))
 
 
-# Trees that a query grows; 200 trees of depth 30, the default, take many minutes on one machine.
-_TREES, _DEPTH = 20, 12
+def _line_sql(rows: str, alpha: str, penalized: bool) -> str:
+    """Codes eliminated, then Cramer's rule on three slopes: ``b``, ``c0``..``c2`` per ``fold`` and ``e`` per (fold, cep).
+
+    ``rows`` yields fold, cep, y, x0, x1, x2, all less fixed centres.
+    """
+    pairs = [(0, 0), (0, 1), (0, 2), (1, 1), (1, 2), (2, 2)]
+    at = lambda i, j: f"w{min(i, j)}{max(i, j)}"
+
+    def det(m):
+        return (f"({m[0][0]}*({m[1][1]}*{m[2][2]}-{m[1][2]}*{m[2][1]})-{m[0][1]}*({m[1][0]}*{m[2][2]}-{m[1][2]}*{m[2][0]})"
+                f"+{m[0][2]}*({m[1][0]}*{m[2][1]}-{m[1][1]}*{m[2][0]}))")
+
+    whole = [[at(i, j) for j in range(3)] for i in range(3)]
+    swapped = [[[f"g{i}" if j == k else at(i, j) for j in range(3)] for i in range(3)] for k in range(3)]
+    slopes = ", ".join(f"{det(m)} / {det(whole)} AS c{k}" for k, m in enumerate(swapped))
+    free = "(gb - u0 * c0 - u1 * c1 - u2 * c2) / beta" if penalized else "my - m0 * c0 - m1 * c1 - m2 * c2"
+    drop = lambda i, j: f" - u{i} * u{j} / beta" + (f" + {alpha}" if i == j else "") if penalized else ""
+    lose = lambda i: f" - u{i} * gb / beta" if penalized else ""
+    return f"""
+by_code AS (SELECT fold, cep, CAST(count(*) AS DOUBLE) AS n, sum(y) AS sy, {", ".join(f"sum(x{i}) AS s{i}" for i in range(3))},
+  {", ".join(f"sum(x{i} * x{j}) AS p{i}{j}" for i, j in pairs)}, {", ".join(f"sum(x{i} * y) AS q{i}" for i in range(3))} FROM ({rows}) GROUP BY fold, cep),
+less AS (SELECT fold, sum(n - n * n / (n + {alpha})) AS beta, sum(sy - n * sy / (n + {alpha})) AS gb, avg(sy / n) AS my,
+  {", ".join(f"sum(s{i} - n * s{i} / (n + {alpha})) AS u{i}, avg(s{i} / n) AS m{i}, sum(q{i} - s{i} * sy / (n + {alpha})) AS h{i}" for i in range(3))},
+  {", ".join(f"sum(p{i}{j} - s{i} * s{j} / (n + {alpha})) AS v{i}{j}" for i, j in pairs)} FROM by_code GROUP BY fold),
+dense AS (SELECT *, {", ".join(f"v{i}{j}{drop(i, j)} AS w{i}{j}" for i, j in pairs)}, {", ".join(f"h{i}{lose(i)} AS g{i}" for i in range(3))} FROM less),
+sloped AS (SELECT *, {slopes} FROM dense),
+line AS (SELECT fold, c0, c1, c2, {free} AS b FROM sloped),
+effects AS (SELECT fold, cep, (sy - n * b - s0 * c0 - s1 * c1 - s2 * c2) / (n + {alpha}) AS e FROM by_code JOIN line USING (fold))"""
+
+
+_SHIFTED = f"cep, {TARGET} - 150000e0 AS y, area_do_terreno_m2 - 100e0 AS x0, ano - 1995e0 AS x1, mes - 6e0 AS x2"
+
+
+def _holdout_line_sql(alpha: str, penalized: bool) -> str:
+    return _HOLDOUT_SQL + ", " + _line_sql(f"SELECT 0 AS fold, {_SHIFTED} FROM h WHERE train", alpha, penalized).strip() + f"""
+SELECT id, e IS NOT NULL AS seen, round(b + coalesce(e, 0) + x0 * c0 + x1 * c1 + x2 * c2 + 150000, 2) AS prediction,
+  round(c0, 6) AS per_area, round(c1, 6) AS per_year, round(c2, 6) AS per_month
+FROM (SELECT id, {_SHIFTED} FROM h WHERE NOT train) t CROSS JOIN line LEFT JOIN effects USING (cep)
+"""
+
+
+def _holdout_line(spark, sf, fit):
+    train, test = _sides(spark, sf)
+    model = fit(train)
+    held = model.stages[-1].parts()
+    slopes = [F.lit(round(w, 6)).alias(n) for w, n in zip(held["slopes"], ("per_area", "per_year", "per_month"), strict=True)]
+    seen = F.broadcast(train.select(F.col("cep").alias("_seen")).distinct())
+    return training.predict(model, test).join(seen, F.col("cep") == F.col("_seen"), "left").select(
+        "id", F.col("_seen").isNotNull().alias("seen"), F.round("prediction", 2).alias("prediction"), *slopes)
+
+
+@query("f3_one_hot_least_squares", _holdout_line_sql("0e0", False))
+def _(spark, sf):
+    # Codes and three numbers: slopes, and predictions of seen and unseen codes.
+    return _holdout_line(spark, sf, training.ols_model)
 
 
-@query("f5_random_forest", _HOLDOUT_SQL + "SELECT count(*) AS n, TRUE AS near_mean_model FROM h WHERE NOT train")
+@query("f4_one_hot_ridge", _holdout_line_sql("1e0", True))
+def _(spark, sf):
+    return _holdout_line(spark, sf, training.ridge_model)
+
+
+_FOLDS_SQL = f"""
+WITH d AS (SELECT *, ano * 100 + mes AS p FROM ({DEALS_SQL})),
+f AS (SELECT p AS fold FROM (SELECT DISTINCT p FROM d ORDER BY p OFFSET 3) ORDER BY p DESC LIMIT 3)
+"""
+
+
+def _backtest_sql(alpha: str, penalized: bool) -> str:
+    return _FOLDS_SQL + ", " + _line_sql(f"SELECT fold, {_SHIFTED} FROM d JOIN f ON p < fold", alpha, penalized).strip() + f"""
+, scored AS (SELECT fold, y, b + coalesce(e, 0) + x0 * c0 + x1 * c1 + x2 * c2 AS z
+  FROM (SELECT p AS fold, {_SHIFTED} FROM d) JOIN line USING (fold) LEFT JOIN effects USING (fold, cep))
+SELECT CAST(fold // 100 AS VARCHAR) || '-' || lpad(CAST(fold % 100 AS VARCHAR), 2, '0') AS period, count(*) AS n, round(avg(abs(z - y)), 2) AS mae,
+  round(quantile_cont(abs(z - y), 0.5), 2) AS median_absolute_error, round(quantile_cont(abs(z - y), 0.95), 2) AS p95_absolute_error,
+  round(avg(z - y), 2) AS bias, round(1 - sum((z - y) ** 2) / (var_pop(y) * count(*)), 6) AS r2
+FROM scored GROUP BY fold
+"""
+
+
+def _backtest(spark, sf, at):
+    out = training.temporal_backtest(deals(spark, sf), training.default_candidates()[at])
+    return out.select("period", "n", *[F.round(c, 6 if c == "r2" else 2).alias(c) for c in training.METRICS])
+
+
+@query("f7_least_squares_backtest", _backtest_sql("0e0", False))
+def _(spark, sf):
+    return _backtest(spark, sf, 1)
+
+
+@query("f7_ridge_backtest", _backtest_sql("1e0", True))
+def _(spark, sf):
+    return _backtest(spark, sf, 2)
+
+
+# Prices that follow the features: two steps in area, one in time, one in the codes, and a spread that no feature explains.
+_SIGNAL_SQL = f"""
+SELECT id, cep, area_do_terreno_m2, ano, mes, CAST(50000 + CASE WHEN area_do_terreno_m2 > 150 THEN 100000 ELSE 0 END
+  + CASE WHEN area_do_terreno_m2 <= 40 THEN -20000 ELSE 0 END + CASE WHEN ano >= 1995 THEN 60000 ELSE 0 END
+  + CASE WHEN CAST(cep AS BIGINT) <= 500 THEN 80000 ELSE 0 END + (id * 7919) % 10007 AS DOUBLE) AS {TARGET}
+FROM ({DEALS_SQL})
+"""
+
+
+def _signal(spark, sf):
+    step = lambda condition, value: F.when(condition, value).otherwise(0)
+    area, code = F.col("area_do_terreno_m2"), F.col("cep").cast("long")
+    price = (F.lit(50000) + step(area > 150, 100000) + step(area <= 40, -20000) + step(F.col("ano") >= 1995, 60000) + step(code <= 500, 80000)
+             + (F.col("id") * 7919) % 10007)
+    return materialize(deals(spark, sf).withColumn(TARGET, price.cast("double")), "signal")
+
+
+def _tree_sql(depth: int) -> str:
+    """A tree of ``depth`` cuts by trying every cut of every node: area at given points, years, months and single codes."""
+    sql = f"""WITH s0 AS (SELECT id, cep, 0 AS node, {TARGET} AS y, least(greatest(ceil(area_do_terreno_m2 / 50) - 1, 0), 6) AS v0, ano - 1992 AS v1, mes - 1 AS v2 FROM ({_SIGNAL_SQL}))"""
+    for level in range(depth):
+        sql += f""",
+whole{level} AS (SELECT node, CAST(count(*) AS DOUBLE) AS an, sum(y) AS sa FROM s{level} GROUP BY node),
+cells{level} AS (SELECT node, f, v, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s FROM (SELECT node, y, unnest([0, 1, 2]) AS f, unnest([v0, v1, v2]) AS v FROM s{level}) GROUP BY ALL),
+options{level} AS (
+  SELECT node, f, CAST(v AS VARCHAR) AS cut, v, sum(n) OVER w AS n, sum(s) OVER w AS s FROM cells{level} WINDOW w AS (PARTITION BY node, f ORDER BY v)
+  UNION ALL SELECT node, 3, cep, 0, CAST(count(*) AS DOUBLE), sum(y) FROM s{level} GROUP BY node, cep),
+best{level} AS (SELECT node, f, cut, v FROM options{level} JOIN whole{level} USING (node) WHERE n < an
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY s * s / n + (sa - s) * (sa - s) / (an - n) - sa * sa / an DESC, f, v, cut) = 1),
+s{level + 1} AS (SELECT id, cep, CASE WHEN f IS NULL THEN node * 2 + 1
+    WHEN CASE f WHEN 0 THEN v0 <= v WHEN 1 THEN v1 <= v WHEN 2 THEN v2 <= v ELSE cep = cut END THEN node * 2 + 1 ELSE node * 2 + 2 END AS node, y, v0, v1, v2
+  FROM s{level} LEFT JOIN best{level} USING (node))"""
+    return sql + f"""
+SELECT id, round(avg(y) OVER (PARTITION BY node), 4) AS prediction FROM s{depth}"""
+
+
+@query("f5_single_tree", _tree_sql(4))
+def _(spark, sf):
+    from ..models import forest
+
+    rows, numeric = _signal(spark, sf), ("area_do_terreno_m2", "ano", "mes")
+    cuts = {"area_do_terreno_m2": [50.0 * i for i in range(1, 7)], "ano": [float(y) for y in range(1992, 1999)], "mes": [float(m) for m in range(1, 13)]}
+    trees, _cuts = forest.grow(rows, TARGET, numeric, ["cep"], trees=1, depth=4, bootstrap=False, cuts=cuts)
+    return forest.ForestModel(trees, numeric, ["cep"]).transform(rows).select("id", F.round("prediction", 4).alias("prediction"))
+
+
+# Trees that a query grows; more only smooth a signal of this kind.
+_TREES, _DEPTH = 20, 8
+# A forest must come this near to the fit that knows where the steps are, and be this much better than the mean.
+_NEAR, _BETTER = 1.15, 0.25
+_PLAIN_SQL = f"""
+WITH d AS ({_SIGNAL_SQL}), n AS (SELECT count(*) AS n FROM d),
+h AS (SELECT d.*, row_number() OVER (ORDER BY ano, mes, id) <= n - greatest(1, CAST(floor(n * 0.2e0) AS BIGINT)) AS train,
+  area_do_terreno_m2 > 150 AS k0, area_do_terreno_m2 <= 40 AS k1, ano >= 1995 AS k2, CAST(cep AS BIGINT) <= 500 AS k3 FROM d, n),
+cells AS (SELECT k0, k1, k2, k3, avg({TARGET}) AS m FROM h WHERE train GROUP BY ALL),
+plain AS (SELECT count(*) AS n, avg(abs({TARGET} - m)) AS plain_mae, avg(abs({TARGET} - (SELECT avg({TARGET}) FROM h WHERE train))) AS mean_mae
+  FROM h JOIN cells USING (k0, k1, k2, k3) WHERE NOT train)
+"""
+
+
+def _plain_errors(train, test):
+    """MAE of cell means where the steps are known, and of the overall mean."""
+    cell = [F.col("area_do_terreno_m2") > 150, F.col("area_do_terreno_m2") <= 40, F.col("ano") >= 1995, F.col("cep").cast("long") <= 500]
+    keys = [f"k{i}" for i in range(4)]
+    marked = [df.withColumns(dict(zip(keys, cell, strict=True))) for df in (train, test)]
+    means, mean = marked[0].groupBy(*keys).agg(F.avg(TARGET).alias("m")), train.agg(F.avg(TARGET)).first()[0]
+    return marked[1].join(F.broadcast(means), keys).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col(TARGET) - F.col("m"))).alias("plain_mae"), F.avg(F.abs(F.col(TARGET) - F.lit(mean))).alias("mean_mae")).first()
+
+
+@query("f5_random_forest", _PLAIN_SQL + "SELECT n, round(plain_mae, 3) AS plain_mae, round(mean_mae, 3) AS mean_mae, TRUE AS near_plain_fit, TRUE AS far_from_mean FROM plain")
 def _(spark, sf):
     from ..operators.metrics import regression_metrics
 
-    train, test = _sides(spark, sf)
+    split = materialize(temporal_holdout(_signal(spark, sf), "id"), "split")
+    train, test = split.where("split = 'train'"), split.where("split = 'test'")
+    plain = _plain_errors(train, test)
     model = training.forest_model(train, trees=_TREES, depth=_DEPTH)
-    # prices of the test tables hardly depend on the features: a sound fit is not far off the mean model
-    mean = regression_metrics(training.predict(training.mean_model(train), test), TARGET, "prediction").first()["mae"]
     found = regression_metrics(training.predict(model, test), TARGET, "prediction")
-    return found.select("n", (F.col("mae") < 1.5 * mean).alias("near_mean_model"))
+    return found.select(
+        "n", F.lit(round(plain["plain_mae"], 3)).alias("plain_mae"), F.lit(round(plain["mean_mae"], 3)).alias("mean_mae"),
+        F.col("mae").between(plain["plain_mae"] / _NEAR, plain["plain_mae"] * _NEAR).alias("near_plain_fit"),
+        (F.col("mae") < _BETTER * plain["mean_mae"]).alias("far_from_mean"))
 
 
-@query("f6_leaderboard", _HOLDOUT_SQL + """
-SELECT model_name, (SELECT count(*) FROM h WHERE NOT train) AS n, TRUE AS near_mean_model
-FROM (VALUES ('baseline_media'), ('regressao_linear'), ('ridge'), ('random_forest')) m(model_name)
+@query("f6_leaderboard", _PLAIN_SQL + """
+SELECT model_name, n, place, model_name = 'baseline_media' AND TRUE AS is_mean, model_name = 'random_forest' AS is_near_plain_fit
+FROM plain, (VALUES ('baseline_media', 4), ('regressao_linear', NULL), ('ridge', NULL), ('random_forest', 1)) m(model_name, place)
 """)
 def _(spark, sf):
-    candidates = training.default_candidates(trees=_TREES, depth=_DEPTH)
-    trained = training.train_candidates(deals(spark, sf), "id", candidates)
-    board = trained.leaderboard
-    mean = board.where("model_name = 'baseline_media'").first()["mae"]
-    least = board.agg(F.min("mae")).first()[0]
-    if board.where(F.col("model_name") == trained.best).first()["mae"] != least:
+    # The steps are in reach of trees only: the forest leads, the lines stand between it and the mean.
+    rows = _signal(spark, sf)
+    trained = training.train_candidates(rows, "id", training.default_candidates(trees=_TREES, depth=_DEPTH))
+    plain = _plain_errors(trained.split.where("split = 'train'"), trained.split.where("split = 'test'"))
+    places = [r["model_name"] for r in trained.leaderboard.collect()]
+    if places[0] != trained.best:
         raise ValueError("the best candidate is not the one of least error")
-    return board.select("model_name", "n", (F.col("mae") < 1.5 * mean).alias("near_mean_model"))
+    place = F.array_position(F.array(*[F.lit(p) for p in places]), F.col("model_name")).cast("int")
+    return trained.leaderboard.select(
+        "model_name", "n", F.when(F.col("model_name").isin("random_forest", "baseline_media"), place).alias("place"),
+        (F.abs(F.col("mae") / plain["mean_mae"] - 1) < 1e-9).alias("is_mean"), (F.col("mae") < _NEAR * plain["plain_mae"]).alias("is_near_plain_fit"))
 
 
 @query("f7_fitted_backtest", f"""

@@ -7,15 +7,18 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.payload import model_version
+from ..functions.values import period_label
 from ..operators.metrics import (
     backtest_summary, prediction_range, regression_metrics, standard_segments, worst_segments,
 )
 from ..operators.splits import backtest_periods, period_range, temporal_holdout
 from ..session import materialize
+from .forest import ForestModel, grow
+from .linear import backtest_codes, fit_codes
 
 # The model's columns.
 CATEGORICAL = ("cep",)
@@ -43,18 +46,6 @@ def feature_stages(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[s
     return [index, onehot, VectorAssembler(inputCols=inputs, outputCol="features")]
 
 
-def tree_feature_stages(categorical: Sequence[str] = CATEGORICAL,
-                        numeric: Sequence[str] = NUMERIC) -> list:
-    """Categories as their index (marked as categories), plus numerics as they are.
-
-    A regression tree orders a category's values by the mean target of the
-    node's own training rows; no statistic of the target becomes a feature. An
-    unseen category has an index of its own.
-    """
-    index = feature_stages(categorical, numeric)[0]
-    return [index, VectorAssembler(inputCols=[*[f"{c}_index" for c in categorical], *numeric], outputCol="features")]
-
-
 def unseen_rate(model: PipelineModel, df: DataFrame, column: str = "cep") -> DataFrame:
     """Share of rows whose category the model never saw."""
     indexer = model.stages[0]
@@ -69,13 +60,6 @@ def mean_model(train: DataFrame, target: str = TARGET) -> PipelineModel:
     return PipelineModel([SQLTransformer(statement=f"SELECT *, CAST({mean!r} AS DOUBLE) AS prediction FROM __THIS__")])
 
 
-def _linear(train: DataFrame, target: str, reg_param: float) -> PipelineModel:
-    prepared = Pipeline(stages=feature_stages()).fit(train)
-    vectors = prepared.transform(train)
-    fitted = fit_linear(vectors, "features", target, reg_param)
-    return PipelineModel([*prepared.stages, fitted])
-
-
 def fit_linear(df: DataFrame, features: str, target: str, reg_param: float = 0.0):
     """Least squares with an L2 penalty on unscaled coefficients, by one solver at every width.
 
@@ -103,39 +87,42 @@ def ridge_reg_param(df: DataFrame, target: str, alpha: float) -> float:
 
 
 def ols_model(train: DataFrame, target: str = TARGET) -> PipelineModel:
-    return _linear(train, target, 0.0)
+    """Exact least squares on one-hot codes and numbers; an unseen code is priced at the mean of the codes."""
+    return PipelineModel([fit_codes(train, target, CATEGORICAL[0], NUMERIC)])
 
 
 def ridge_model(train: DataFrame, target: str = TARGET, alpha: float = 1.0) -> PipelineModel:
-    return _linear(train, target, ridge_reg_param(train, target, alpha))
+    """Exact ridge on the same design; the intercept is free."""
+    return PipelineModel([fit_codes(train, target, CATEGORICAL[0], NUMERIC, alpha)])
 
 
-def forest_model(train: DataFrame, target: str = TARGET, trees: int = 200, depth: int = 30, seed: int = 42) -> PipelineModel:
-    prepared = Pipeline(stages=tree_feature_stages()).fit(train)
-    vectors = prepared.transform(train)
-    values = max(len(labels) for labels in prepared.stages[0].labelsArray) + 1
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=target, numTrees=trees, maxDepth=depth, seed=seed,
-        # every category has a bin of its own; numerics get as many cut points
-        maxBins=max(256, values), maxMemoryInMB=1024, featureSubsetStrategy="all", subsamplingRate=1.0,
-    )
-    return PipelineModel([*prepared.stages, forest.fit(vectors)])
+# The code as a number lets trees cut ranges of neighbouring codes besides single ones.
+CODE_NUMBER = "_cep_number"
+
+
+def forest_model(train: DataFrame, target: str = TARGET, trees: int = 200, depth: int = 30, seed: int = 42, **options) -> PipelineModel:
+    """A forest over the numbers, the code as a number and the code as a category."""
+    numbered = SQLTransformer(statement=f"SELECT *, try_cast(cep AS DOUBLE) AS {CODE_NUMBER} FROM __THIS__")
+    numeric = (*NUMERIC, CODE_NUMBER)
+    grown, _ = grow(numbered.transform(train), target, numeric, CATEGORICAL, trees, depth, seed, **options)
+    return PipelineModel([numbered, ForestModel(grown, numeric, CATEGORICAL)])
 
 
 @dataclass(frozen=True)
 class Candidate:
-    """A named way to fit a model and the parameters to log for it."""
+    """A named way to fit a model, the parameters to log for it, and the penalty of a line that one pass can backtest."""
 
     name: str
     fit: Callable[[DataFrame, str], PipelineModel]
     params: dict = field(default_factory=dict)
+    line_penalty: float | None = None
 
 
 def default_candidates(trees: int = 200, depth: int = 30, seed: int = 42, alpha: float = 1.0) -> list[Candidate]:
     return [
         Candidate("baseline_media", mean_model),
-        Candidate("regressao_linear", ols_model),
-        Candidate("ridge", lambda df, t: ridge_model(df, t, alpha), {"alpha": alpha}),
+        Candidate("regressao_linear", ols_model, line_penalty=0.0),
+        Candidate("ridge", lambda df, t: ridge_model(df, t, alpha), {"alpha": alpha}, line_penalty=alpha),
         Candidate("random_forest", lambda df, t: forest_model(df, t, trees, depth, seed),
                   {"n_estimators": trees, "max_depth": depth, "random_state": seed}),
     ]
@@ -178,11 +165,20 @@ def train_candidates(df: DataFrame, key: str, candidates: Sequence[Candidate], t
 
 def temporal_backtest(df: DataFrame, candidate: Candidate, target: str = TARGET, windows: int = 3,
                       min_train_periods: int = 3) -> DataFrame:
-    """Metrics per test period, refitting on everything strictly earlier."""
+    """Metrics per test period, refitting on everything strictly earlier.
+
+    Lines come from one pass over the table for all periods; other models are
+    fitted once per period.
+    """
     needed = [*FEATURES, target]
     folds = backtest_periods(df, windows, min_train_periods)
     if not folds:
         raise ValueError("not enough periods for a backtest")
+    if candidate.line_penalty is not None:
+        scored = materialize(backtest_codes(df.select(*needed), target, CATEGORICAL[0], NUMERIC, folds, candidate.line_penalty), "backtest-scores")
+        by_fold = regression_metrics(scored, target, "prediction", ["fold"])
+        period = period_label(F.floor(F.col("fold") / 100), F.col("fold") % 100)
+        return by_fold.withColumn("period", period).select("period", "n", *METRICS)
     rows = materialize(df.select(*needed), "backtest-rows")
     month = F.col("ano") * 100 + F.col("mes")
     out = None
