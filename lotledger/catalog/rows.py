@@ -20,7 +20,7 @@ def _(spark, sf):
     return cleaning.drop_header_rows(landed_sales(spark, sf))
 
 
-@query("c1_c2_c3_removal_counters", f"""
+_REMOVED_SQL = f"""
 WITH raw AS ({RAW_SQL}),
 kept AS (SELECT * REPLACE (replace(bairro, 'SÃ£o JoÃ£o', 'São João') AS bairro) FROM raw
          WHERE NOT contains(n_do_cadastro, '° do Cadastro') AND data_de_transacao <> 'Data de Transação'),
@@ -28,11 +28,24 @@ uniq AS (SELECT DISTINCT * FROM kept)
 SELECT (SELECT count(*) FROM raw) - (SELECT count(*) FROM kept) AS header_rows,
        (SELECT count(*) FROM kept) - (SELECT count(*) FROM uniq) AS duplicate_rows,
        (SELECT count(*) FROM uniq WHERE valor_venal_de_referencia IN ('0,00', '-10')) AS non_positive_target_rows
-""")
+"""
+
+
+@query("c1_c2_c3_removal_counters", _REMOVED_SQL)
 def _(spark, sf):
     return cleaning.removal_counters(landed_sales(spark, sf))
 
 
+@query("c1_c2_c3_counted_while_cleaning", _REMOVED_SQL)
+def _(spark, sf):
+    # The counters of the cleaning pass itself, which reads the table once.
+    raw = landed_sales(spark, sf)
+    cleaned, counters = cleaning.clean_counted(raw)
+    stored = materialize(cleaned, "clean")
+    found = counters(raw.count(), stored.count())
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{name} long" for name in found))
+
+
 @query("c2_full_row_dedup", """
 SELECT DISTINCT l_partkey % 50 AS grupo, l_linenumber, l_returnflag,
        CASE WHEN l_linestatus = 'F' THEN l_quantity END AS area_do_terreno_m2 FROM lineitem

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.text import normalize_text, repair_all, repair_mojibake, snake_columns
 from ..functions.values import parse_br_number, parse_date
@@ -78,7 +78,35 @@ def drop_non_positive_target(df: DataFrame, target: str = TARGET) -> DataFrame:
 
 def clean(df: DataFrame) -> DataFrame:
     """The cleaning stage: names, mojibake, headers, duplicates, types, labels, target."""
-    out = drop_header_rows(repair_all(snake_columns(df))).dropDuplicates()
+    return _clean(df, lambda rows, *aggs: rows)
+
+
+def clean_counted(df: DataFrame) -> tuple[DataFrame, Callable[[int, int], dict | None]]:
+    """:func:`clean`, and what to ask for its removal counters once it has been written.
+
+    The counters are gathered while the table is cleaned, so it is read once.
+    Spark may count rows of a stage again that it repeats after losing an
+    executor; so the answer is checked against the rows before and after
+    (both plain counts of stored tables) and is None where it does not add up.
+    """
+    read, typed = Observation("read"), Observation("typed")
+    watches = iter((read, typed))
+    out = _clean(df, lambda rows, *aggs: rows.observe(next(watches), *aggs))
+
+    def counters(rows_before: int, rows_after: int) -> dict | None:
+        seen, left = read.get, typed.get
+        if seen["rows"] != rows_before or left["rows"] - left["low"] != rows_after:
+            return None
+        return {"header_rows": seen["headers"], "duplicate_rows": seen["rows"] - seen["headers"] - left["rows"], "non_positive_target_rows": left["low"]}
+
+    return out, counters
+
+
+def _clean(df: DataFrame, watched) -> DataFrame:
+    repaired = repair_all(snake_columns(df))
+    rows = F.count(F.lit(1)).alias("rows")
+    seen = watched(repaired, rows, F.count_if(is_header_row(repaired.columns)).alias("headers"))
+    out = drop_header_rows(seen).dropDuplicates()
     labels = [c for c in LABEL_COLUMNS if c in out.columns]
     # Labels are repaired once more in a projection of their own: the next one
     # refers to each several times, and Catalyst then evaluates them once.
@@ -87,7 +115,9 @@ def clean(df: DataFrame) -> DataFrame:
     typed |= {c: normalize_text(F.col(c), repair=False) for c in labels}
     if DATE_COLUMN in out.columns:
         typed[DATE_COLUMN] = parse_date(F.col(DATE_COLUMN))
-    return drop_non_positive_target(out.withColumns(typed))
+    out = out.withColumns(typed)
+    low = is_non_positive() if TARGET in out.columns else F.lit(False)
+    return drop_non_positive_target(watched(out, rows, F.count_if(low).alias("low")))
 
 
 def removal_counters(df: DataFrame) -> DataFrame:

@@ -5,19 +5,18 @@ from __future__ import annotations
 import time
 import uuid
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import strip
-from ..session import materialize, scratch_path
-from .retrieval_tasks import BUCKETS, CHUNK_OVERLAP, CHUNK_SIZE, chunker, matrix, scorer, tally
+from ..session import materialize
+from .retrieval_tasks import BUCKETS, CHUNK_OVERLAP, CHUNK_SIZE, chunker, scorer, tally
 from .scale import sized_join
 
 TOP_K = 3
 # Fixed value: the marker of this vector scheme.
 INDEX_MARKER = "embedding_backend=md5_hash_256"
-# Queries scored per pass over the index; bounds what is broadcast.
-QUERY_BLOCK = 8192
+# Queries and items that meet in one task; bounds its memory.
+QUERY_BLOCK, ITEM_SLICE = 4096, 16_384
 
 
 def chunk_documents(docs: DataFrame, order: str, content: str = "content", size: int = CHUNK_SIZE,
@@ -79,37 +78,26 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def top_k(queries: DataFrame, items: DataFrame, k: int = TOP_K, query: str = "query_id", item: str = "chunk_index",
-          block_rows: int = QUERY_BLOCK) -> DataFrame:
+          block_rows: int = QUERY_BLOCK, slice_rows: int = ITEM_SLICE) -> DataFrame:
     """(query, item, score, rank): best ``k`` items per query by cosine.
 
     ``query`` and ``item`` are whole-number ids; both sides carry ``vector``.
-    Queries are broadcast in blocks of about ``block_rows``, one at a time: a
-    block is one pass over the items in which a task keeps only its best ``k``
-    per query, its result is written, and the block is dropped. Memory does not
-    grow with the number of queries, and neither pairs nor a query's
-    candidates are ever gathered.
-    Equal scores rank by item id; items scoring zero remain eligible.
+    Queries are dealt into blocks and items into slices by hash, and every
+    block meets every slice under a (block, slice) key: one plan, in which a
+    task holds one block and one slice and hands on ``k`` items per query.
+    Neither pairs nor a query's candidates are gathered, and no row passes
+    through the driver. Equal scores rank by item id; items scoring zero
+    remain eligible.
     """
-    spark = items.sparkSession
-    prepared = materialize(queries.select(F.col(query).cast("long").alias("query_id"), "vector"), "queries")
-    total = prepared.count()
-    blocks = max(1, -(-total // block_rows))
-    # Blocks by hash may exceed the mean slightly; half-full blocks leave room.
-    blocks = blocks if blocks == 1 else blocks * 2
+    asked = materialize(queries.select(F.col(query).cast("long").alias("query_id"), "vector"), "queries")
     table = items.select(F.col(item).cast("long").alias(item), "vector")
-    schema = f"query_id long, {item} long, score double"
-    path = scratch_path(spark, "scores")
-    spark.createDataFrame([], schema).write.parquet(path)
-    for number in range(blocks):
-        rows = prepared if blocks == 1 else prepared.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == number)
-        local = rows.toPandas()  # one block
-        if local.empty:
-            continue
-        local["vector"] = local["vector"].map(lambda v: v.asDict() if hasattr(v, "asDict") else v)
-        block = spark.sparkContext.broadcast((local["query_id"].to_numpy(dtype=np.int64), matrix(local["vector"])))
-        table.mapInPandas(scorer(block, item, k), schema).write.mode("append").parquet(path)
-        block.destroy()
-    found = spark.read.schema(schema).parquet(path)
+    blocks, slices = (max(1, -(-side.count() // rows)) for side, rows in ((asked, block_rows), (table, slice_rows)))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("long")
+    left = table.withColumn("_slice", own(item, slices)).withColumn("_block", every(blocks))
+    right = asked.withColumn("_block", own("query_id", blocks)).withColumn("_slice", every(slices))
+    met = left.groupBy("_block", "_slice").cogroup(right.groupBy("_block", "_slice"))
+    found = met.applyInPandas(scorer(item, k), f"query_id long, {item} long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), item))
     ranked = found.withColumn("rank", rank).where(F.col("rank") <= k)
     return ranked.withColumnRenamed("query_id", query) if query != "query_id" else ranked

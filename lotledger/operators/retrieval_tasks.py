@@ -115,35 +115,23 @@ def _best_per_query(scores: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.nda
     return np.take_along_axis(scores, order, 1), np.take_along_axis(ids, order, 1)
 
 
-def scorer(block, item: str, k: int):
-    """Task function: stream a partition, keep the best ``k`` items per query."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        query_ids, queries = block.value
-        squares = (queries * queries).sum(axis=1)
-        best_scores = np.empty((len(query_ids), 0))
-        best_ids = np.empty((len(query_ids), 0), dtype=np.int64)
-        for batch in batches:
-            if batch.empty:
-                continue
-            items, item_ids = matrix(batch["vector"]), batch[item].to_numpy(dtype=np.int64)
-            item_squares = (items * items).sum(axis=1)
-            step = max(1, _CELLS // len(item_ids))
-            parts = []
+def scorer(item: str, k: int):
+    """Task function: the best ``k`` items of a slice for every query of a block."""
+    def run(key, items: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(items) and len(asked):
+            vectors, ids = matrix(items["vector"]), items[item].to_numpy(dtype=np.int64)
+            queries, query_ids = matrix(asked["vector"]), asked["query_id"].to_numpy(dtype=np.int64)
+            squares, item_squares = (queries * queries).sum(axis=1), (vectors * vectors).sum(axis=1)
+            step = max(1, _CELLS // len(ids))
             for start in range(0, len(query_ids), step):
                 rows = slice(start, start + step)
                 # Counts are whole numbers, so the products are exact in any order.
                 lengths = np.sqrt(squares[rows, None] * item_squares[None, :])
-                dots = queries[rows] @ items.T
+                dots = queries[rows] @ vectors.T
                 scores = np.divide(dots, lengths, out=np.zeros_like(dots), where=lengths > 0)
-                parts.append(_best_per_query(
-                    np.hstack([best_scores[rows], scores]),
-                    np.hstack([best_ids[rows], np.broadcast_to(item_ids, scores.shape)]), k,
-                ))
-            best_scores, best_ids = (np.vstack(p) for p in zip(*parts))
-        width = best_ids.shape[1]
-        if width:
-            yield pd.DataFrame({
-                "query_id": np.repeat(query_ids, width), item: best_ids.ravel(), "score": best_scores.ravel(),
-            })
+                best, best_ids = _best_per_query(scores, np.broadcast_to(ids, scores.shape), k)
+                out.append(pd.DataFrame({"query_id": np.repeat(query_ids[rows], best.shape[1]), item: best_ids.ravel(), "score": best.ravel()}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], item: [], "score": []})
 
     return run

@@ -43,9 +43,14 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
 
 
 def publish_clean(raw: DataFrame, path: str, report_path: str | None = None, **limits) -> DataFrame:
-    """Clean the raw table, gate its quality, publish it as Parquet."""
-    version, staged = _write_version(cleaning.clean(raw), path)
-    removed = cleaning.removal_counters(raw).first()
+    """Clean the raw table, gate its quality, publish it as Parquet.
+
+    One pass over the raw rows cleans and counts; only where a repeated stage
+    spoilt the counts is a pass made for them alone.
+    """
+    cleaned, counters = cleaning.clean_counted(raw)
+    version, staged = _write_version(cleaned, path)
+    removed = counters(raw.count(), staged.count()) or cleaning.removal_counters(raw).first()
     profile = quality.quality_profile(
         staged, removed["header_rows"], removed["duplicate_rows"], removed["non_positive_target_rows"]
     )

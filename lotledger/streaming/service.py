@@ -134,6 +134,54 @@ def absence_alerts(events: DataFrame, source: str, ts: str = "ts", quiet_s: int
     return gaps.select(source, alert.alias("alert_at"))
 
 
+def live_absence_alerts(events: DataFrame, source: str, ts: str = "ts", quiet_s: int = 60) -> DataFrame:
+    """:func:`absence_alerts` of a stream that also speaks when nothing arrives any more.
+
+    Every source keeps its latest event as state and sets a timer. Gaps between
+    events of a batch, and to the latest one before it, give alerts at once;
+    when the timer ends without an event, the silence after the latest one is
+    told, once. An event older than the latest closes no silence already told.
+    Times are read in the session's zone; events without a time say nothing.
+    """
+    from pyspark.sql.streaming.state import GroupStateTimeout
+
+    kind = events.schema[source].dataType.simpleString()
+    named = events.where(F.col(ts).isNotNull()).select(F.col(source).alias("source"), F.unix_micros(F.col(ts)).alias("at"))
+    quiet = quiet_s * 1_000_000
+
+    def watch(key, batches, state):
+        import numpy as np
+        import pandas as pd
+
+        last, told = state.get if state.exists else (None, False)
+        out = []
+        if state.hasTimedOut:
+            if not told:
+                out.append(last + quiet)
+                state.update((last, True))
+        else:
+            # the first and last event of every quiet_s: no silence lies between two events of one
+            spans: dict = {}
+            for batch in batches:
+                for bucket, at in batch["at"].groupby(batch["at"] // quiet):
+                    low, high = spans.get(bucket, (at.min(), at.max()))
+                    spans[bucket] = (min(low, at.min()), max(high, at.max()))
+            for bucket in sorted(spans):
+                for at in map(int, spans[bucket]):
+                    if last is None or at > last:
+                        if last is not None and at > last + quiet and not told:
+                            out.append(last + quiet)
+                        last, told = at, False
+            state.update((last, told))
+            if not told:
+                state.setTimeoutDuration(quiet_s * 1000)
+        yield pd.DataFrame({"source": [key[0]] * len(out), "alert_us": np.array(out, np.int64)})
+
+    found = named.groupBy("source").applyInPandasWithState(
+        watch, f"source {kind}, alert_us long", "last long, told boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return found.select(F.col("source").alias(source), F.timestamp_micros("alert_us").alias("alert_at"))
+
+
 def screen_messages(messages: DataFrame, text: str = "message") -> DataFrame:
     """Policy verdict per chat request."""
     clean = messages.withColumn("_v", input_verdict(sanitize(F.col(text))))

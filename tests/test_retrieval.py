@@ -51,8 +51,10 @@ def test_top_k_blocks_match_brute_force(spark):
     norms = np.sqrt((a * a).sum(1)[:, None] * (b * b).sum(1)[None, :])
     scores = np.divide(a @ b.T, norms, out=np.zeros_like(norms), where=norms > 0)
     wanted = {(q, int(i), n + 1) for q in range(25) for n, i in enumerate(np.lexsort((np.arange(300), -scores[q]))[:4])}
-    for block in (8192, 6):
-        got = retrieval.top_k(queries, items, 4, block_rows=block).collect()
+    for block, part in ((8192, 16_384), (6, 40)):
+        best = retrieval.top_k(queries, items, 4, block_rows=block, slice_rows=part)
+        got = best.collect()
+        assert "Broadcast" not in best._jdf.queryExecution().executedPlan().toString()
         assert {(r["query_id"], r["chunk_index"], r["rank"]) for r in got} == wanted
 
 

@@ -116,3 +116,41 @@ def test_malformed_golden_lines_fail(spark, tmp_path, line):
     write(tmp_path / "g.jsonl", '{"id":"q02","question":"b"}\n' + line + "\n")
     with pytest.raises(Exception):
         raw.read_golden_set(spark, str(tmp_path), 0).collect()
+
+
+def test_links_are_read_as_a_parser_would(spark):
+    from html.parser import HTMLParser
+
+    html = """<p><strong>Ano 2024</strong></p><!-- <a href="/gone.xlsx">x</a> --><ul>
+      <li><a href="/d?a=1&amp;f=itbi.xlsx">um &eacute; dois</a><li><a class=x href=/d/itbi2.xlsx>bare</a>
+      <li><a title="a > b" HREF = '/q/&#39;itbi&#x2F;3.xlsx'>q</a><a data-href="/no" href="/four&copy&unknown;.xlsx">4</a>
+      <li><a name="x">none</a><a href="">empty</a><abbr href="/no">no</abbr><a/href="/slash.xlsx">s</a></ul><!-- open <a href=/never>"""
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag == "a" and "href" in dict(attrs):
+                self.found.append(dict(attrs)["href"])
+
+    reader = Reader()
+    reader.feed(html.split("<!-- open")[0].replace("&copy&", "&amp;copy&"))
+    df = spark.createDataFrame([(1, html)], "page_id long, html string")
+    rows = links.page_links(df).orderBy("pos").collect()
+    assert [r["href"] for r in rows] == reader.found
+    assert rows[0]["href"] == "/d?a=1&f=itbi.xlsx" and rows[1]["href"] == "/d/itbi2.xlsx" and rows[2]["href"] == "/q/'itbi/3.xlsx"
+    assert rows[0]["context"] == "Ano 2024 um é dois"
+
+
+def test_references_are_decoded_in_linear_time(spark):
+    import time
+
+    def seconds(n):
+        df = spark.createDataFrame([("&amp;&#233;&#x1F600;&nope;&#0; " * n,)], "t string")
+        start = time.perf_counter()
+        assert df.select(links.decode_references(F.col("t")).alias("t")).first()["t"] == "&é\U0001f600&nope;&#0; " * n
+        return time.perf_counter() - start
+    seconds(100)
+    assert seconds(40_000) < 8 * seconds(10_000) + 2

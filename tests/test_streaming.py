@@ -69,3 +69,23 @@ def test_absence_alerts_match_every_gap(spark):
     got = sorted((r["source"] or "", int(r["alert_at"].timestamp())) for r in service.absence_alerts(events, "source", quiet_s=60).collect())
     gaps = [("a", s + 60) for s, t in zip(seconds, [*seconds[1:], 10**9]) if t > s + 60]
     assert got == sorted(gaps + [("b", 125), ("b", 186), ("", 67)])
+
+
+def test_a_silent_source_alerts_without_a_later_event(spark, tmp_path):
+    import time
+
+    path = str(tmp_path / "in")
+    rows(spark, [0, 1, 2, 30, 31], path)
+    alerts = service.live_absence_alerts(stream(spark, path), "source", quiet_s=5)
+    running = alerts.writeStream.format("memory").queryName("alerts").outputMode("append").option(
+        "checkpointLocation", str(tmp_path / "checkpoint")).trigger(processingTime="1 second").start()
+    try:
+        end = time.time() + 90
+        while time.time() < end and spark.table("alerts").count() < 2:
+            time.sleep(1)
+        time.sleep(4)  # a silence is told once
+        got = sorted((r.alert_at - START).total_seconds() for r in spark.table("alerts").collect())
+    finally:
+        running.stop()
+    # the gap inside the batch, and the silence after the last event, with no event to follow
+    assert got == [7, 36]
