@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 
-# Probes per interval and round; one aggregated row each reaches the driver.
-PROBES = 2048
+# Probes per interval and round, and counts of a round; one aggregated row each reaches the driver.
+PROBES, ROUND_COUNTS = 2048, 32_768
 # A splitter is settled when the bytes below it are this close to its target.
 TOLERANCE = 1e-4
 # Rows that one task numbers.
@@ -27,30 +28,40 @@ def sort_key(text: Column, *tie: Column) -> Column:
     return high.bitwiseOR(F.shiftrightunsigned(F.xxhash64(*tie), 40))
 
 
-def _lookup(key: Column, splitters: Sequence[int], base: int = 0) -> Column:
-    """Number of splitters at or below ``key``, as a balanced tree of comparisons."""
+def _numbers(values: Sequence[int]) -> Column:
+    """An array constant; as one text it stays one expression, however long."""
+    return F.from_json(F.lit(json.dumps(list(values))), "array<bigint>")
+
+
+def _lookup(key: Column, splitters: Sequence[int]) -> Column:
+    """Number of splitters at or below ``key``, by binary search in one array."""
     if not splitters:
-        return F.lit(base)
-    middle = len(splitters) // 2
-    return F.when(key < F.lit(splitters[middle]), _lookup(key, splitters[:middle], base)).otherwise(
-        _lookup(key, splitters[middle + 1:], base + middle + 1))
+        return F.lit(0)
+    table, ends = _numbers(splitters), (F.lit(0), F.lit(len(splitters)))
+    bounds = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+
+    def halve(at, _):
+        middle = F.floor((at["low"] + at["high"]) / 2).cast("int")
+        open_, right = at["low"] < at["high"], F.get(table, middle) <= key
+        return bounds(F.when(open_ & right, middle + 1).otherwise(at["low"]), F.when(open_ & ~right, middle).otherwise(at["high"]))
+
+    steps = F.array_repeat(F.lit(0), len(splitters).bit_length())
+    return F.aggregate(steps, bounds(*ends), halve)["low"]
 
 
 def _counts(table: DataFrame, intervals: list[tuple[int, int]], probes: int) -> dict:
-    """Exact bytes per probe step inside each of some disjoint intervals."""
-    key = F.col("_key")
-    where, step_of = F.lit(None).cast("int"), F.lit(None).cast("long")
-    for i, (low, high) in enumerate(intervals):
-        step = -(-(high - low) // probes)
-        inside = (key >= F.lit(low)) & (key <= F.lit(high - 1))
-        # a distance may not fit in 64 signed bits
-        place = F.floor((key.cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(step)).cast("long")
-        where = F.when(inside, F.lit(i)).otherwise(where)
-        step_of = F.when(inside, place).otherwise(step_of)
-    rows = (table.select(where.alias("i"), step_of.alias("j"), "size").where(F.col("i").isNotNull())
-            .groupBy("i", "j").agg(F.sum("size").alias("bytes")).collect())
+    """Exact bytes per probe step inside each of some disjoint, ordered intervals."""
+    if not intervals:
+        return {}
+    key, exact = F.col("_key"), lambda c: c.cast("decimal(20,0)")
+    rows = table.select("size", "_key", (_lookup(key, [low for low, _ in intervals]) - 1).alias("i")).where("i >= 0")
+    low, last, step = (_numbers(v) for v in zip(*[(low, high - 1, -(-(high - low) // probes)) for low, high in intervals], strict=True))
+    rows = rows.where(key <= F.get(last, F.col("i")))
+    # a distance may not fit in 64 signed bits
+    place = F.floor((exact(key) - exact(F.get(low, F.col("i")))) / exact(F.get(step, F.col("i")))).cast("long")
+    counted = rows.groupBy("i", place.alias("j")).agg(F.sum("size").alias("bytes")).collect()
     found: dict = {}
-    for r in rows:
+    for r in counted:
         found.setdefault(r["i"], {})[r["j"]] = r["bytes"]
     return found
 
@@ -61,17 +72,20 @@ def find_splitters(table: DataFrame, targets: Sequence[int], slack: int, probes:
     ``table`` has ``_key`` and ``size``. Every round counts exact bytes per
     probe step inside the open intervals (each round narrows one ``probes``
     times), until a step's edge is within ``slack`` bytes of the target or the
-    interval is a single key, which cannot be cut.
+    interval is a single key, which cannot be cut. A round brings at most
+    ``ROUND_COUNTS`` counts to the driver, however many targets are open.
     """
     # target index -> (low, high, bytes below low)
     open_ = {i: (LOW, HIGH, 0) for i in range(len(targets))}
     done: dict[int, int] = {}
     while open_:
         intervals = sorted({(low, high) for low, high, _ in open_.values()})
-        counts = _counts(table, intervals, probes)
+        steps = max(2, min(probes, ROUND_COUNTS // len(intervals)))
+        counts = _counts(table, intervals, steps)
+        number = {interval: i for i, interval in enumerate(intervals)}
         for i, (low, high, below) in list(open_.items()):
-            step = -(-(high - low) // probes)
-            held = counts.get(intervals.index((low, high)), {})
+            step = -(-(high - low) // steps)
+            held = counts.get(number[low, high], {})
             at = low
             for j in sorted(held):
                 edge, after = min(low + (j + 1) * step, high), below + held[j]
@@ -98,9 +112,10 @@ def shard(docs: DataFrame, shards: int = 8, text: str = "text", carry: Sequence[
     Returns ``carry`` plus ``size`` (UTF-8 bytes + 1), ``text_crc32``, ``shard``
     and ``slot``. Rows are in key order: equal texts lie side by side and part
     only where a shard ends. One table without the text is written; the rounds
-    read that. Each shard is cut into slices of about ``slice_rows`` rows at
-    further splitters, so no task numbers a whole shard; one exchange deals
-    rows to slices.
+    read that and find the splitters of the shards, ``shards - 1`` numbers. One
+    exchange then deals rows to ranges of (shard, key) of about ``slice_rows``;
+    a row's slot is its place in its range plus the rows of the shard's earlier
+    ranges, from a table with one row per range and shard.
 
     NULL texts count as empty (size 1). Repeated rows are told apart by their
     position in the scan. An empty table gives no rows. Names starting with
@@ -117,20 +132,15 @@ def shard(docs: DataFrame, shards: int = 8, text: str = "text", carry: Sequence[
     table = table.select(*carry, "size", "text_crc32", "_rid", sort_key(F.col("_text"), F.col("_rid")).alias("_key"))
     table = materialize(table, "shard-keys")
     total, rows = table.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
-    per_shard = max(1, -(-rows // (shards * slice_rows)))
-    cuts = shards * per_shard
     slack = max(1, int(tolerance * total / shards))
-    splitters = find_splitters(table, [total * i // cuts for i in range(1, cuts)], slack) if rows else []
-    sliced = table.withColumn("_slice", _lookup(F.col("_key"), sorted(splitters)))
-    counts = {r["_slice"]: r["count"] for r in sliced.groupBy("_slice").count().collect()}  # one row per slice
-    starts, offset = [], 0
-    for i in range(cuts):
-        offset = 0 if i % per_shard == 0 else offset
-        starts.append(offset)
-        offset += counts.get(i, 0)
-    order = Window.partitionBy("_slice").orderBy("_key", "_rid")
-    start = F.get(F.array(*[F.lit(s).cast("long") for s in starts]), F.col("_slice"))
-    return sliced.select(
-        *carry, "size", "text_crc32", F.floor(F.col("_slice") / per_shard).cast("int").alias("shard"),
-        (start + F.row_number().over(order) - 1).alias("slot"),
-    )
+    splitters = find_splitters(table, [total * i // shards for i in range(1, shards)], slack) if rows else []
+    dealt = table.withColumn("shard", _lookup(F.col("_key"), sorted(splitters)))
+    ranges = max(docs.sparkSession.sparkContext.defaultParallelism, -(-rows // slice_rows))
+    order = ("shard", "_key", "_rid")
+    ordered = dealt.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    ordered = materialize(ordered, "shard-rows").withColumn("_range", F.shiftright("_place", 33))
+    starts = ordered.groupBy("shard", "_range").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.select("shard", "_range", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_add"))
+    return ordered.join(starts, ["shard", "_range"]).select(
+        *carry, "size", "text_crc32", F.col("shard").cast("int").alias("shard"), (F.col("_place") + F.col("_add")).alias("slot"))

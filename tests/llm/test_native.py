@@ -33,6 +33,31 @@ def test_shards_hold_every_row_once_with_near_equal_bytes(spark):
     assert all(r["size"] == len(kept[r["doc_id"]]) + 1 and r["text_crc32"] == zlib.crc32(kept[r["doc_id"]].encode()) for r in out)
 
 
+def test_splitters_equal_a_plain_search(spark):
+    rng = random.Random(4)
+    rows = [(rng.randint(-(1 << 63), (1 << 63) - 1), rng.randint(1, 50)) for _ in range(3000)] + [(7, 9)] * 400 + [(-(1 << 63), 3), ((1 << 63) - 1, 3)]
+    total, held = sum(s for _, s in rows), sorted(rows)
+    targets = [total * i // 40 for i in range(1, 40)]
+    table = spark.createDataFrame(rows, "_key long, size long")
+    found = sharding.find_splitters(table, targets, slack=0, probes=64)
+    below = lambda cut: sum(s for k, s in held if k < cut)
+    edges = sorted({below(k) for k, _ in held} | {total})
+    for target, cut in zip(targets, found, strict=True):
+        assert abs(below(cut) - target) == min(abs(e - target) for e in edges)
+    looked = table.select("_key", sharding._lookup(F.col("_key"), sorted(found)).alias("n")).collect()
+    assert all(r["n"] == sum(c <= r["_key"] for c in found) for r in looked)
+
+
+def test_thousands_of_cuts(spark):
+    rows = spark.range(20_000).selectExpr("id doc_id", "repeat(cast(id as string), cast(id % 7 as int)) text")
+    out = sharding.shard(rows, shards=3000, slice_rows=2000)
+    per = out.groupBy("shard").agg(F.count("*").alias("n"), F.min("slot").alias("a"), F.max("slot").alias("b"), F.countDistinct("slot").alias("d"), F.sum("size").alias("s"))
+    found = per.collect()
+    assert sum(r["n"] for r in found) == 20_000 and all(r["a"] == 0 and r["b"] + 1 == r["d"] == r["n"] for r in found)
+    mean = sum(r["s"] for r in found) / 3000
+    assert len(found) > 2900 and max(r["s"] for r in found) <= mean + 2 * 36
+
+
 def test_shards_of_odd_and_empty_tables(docs, no_docs):
     out = sharding.shard(docs).collect()
     assert len(out) == 14 and {r["size"] for r in out if r["doc_id"] in (4, 5)} == {1}
