@@ -178,7 +178,7 @@ def _backtest_sql(alpha: str, penalized: bool) -> str:
   FROM (SELECT p AS fold, {_SHIFTED} FROM d) JOIN line USING (fold) LEFT JOIN effects USING (fold, cep))
 SELECT CAST(fold // 100 AS VARCHAR) || '-' || lpad(CAST(fold % 100 AS VARCHAR), 2, '0') AS period, count(*) AS n, round(avg(abs(z - y)), 2) AS mae,
   round(quantile_cont(abs(z - y), 0.5), 2) AS median_absolute_error, round(quantile_cont(abs(z - y), 0.95), 2) AS p95_absolute_error,
-  round(avg(z - y), 2) AS bias, round(1 - sum((z - y) ** 2) / (var_pop(y) * count(*)), 6) AS r2
+  round(avg(z - y), 2) AS bias, round(CASE WHEN var_pop(y) = 0 THEN 0 ELSE 1 - sum((z - y) ** 2) / (var_pop(y) * count(*)) END, 6) AS r2
 FROM scored GROUP BY fold
 """
 
