@@ -87,23 +87,28 @@ def proposals(text: Column) -> Column:
     lists = []
     generators = [(k, p, c, True) for k, (p, c) in BASE_PATTERNS.items()] + [(k, p, c, False) for k, (p, c) in CANDIDATE_PATTERNS.items()]
     for g, (kind, pattern, needed, base) in enumerate(generators):
-        found, pieces = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-        # matches, the pieces before them and the pieces after them side by side, each list made once per text
-        beside = F.arrays_zip(found.alias("m"), pieces.alias("last"), F.slice(pieces, 2, F.size(pieces)).alias("next"))
-        made = F.transform(F.filter(beside, lambda z: z["m"].isNotNull()), _proposal(g, kind, base))
+        # bound as one element of an array, matches and pieces are made once per text
+        cut = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("pieces"))
+        made = F.element_at(F.transform(F.array(cut), _proposals(g, kind, base)), 1)
         lists.append(F.when(text.rlike(needed), made))
     empty = F.array().cast("array<struct<g:int,i:int,kind:string,base:boolean,gap:int,m:string,before:string,after:string>>")
     return F.concat(*[F.coalesce(x, empty) for x in lists])
 
 
-def _proposal(g: int, kind: str, base: bool):
+def _proposals(g: int, kind: str, base: bool):
     def make(match, i):
         size = F.length(match["last"])
         return F.struct(
             F.lit(g).alias("g"), i.alias("i"), F.lit(kind).alias("kind"), F.lit(base).alias("base"), size.alias("gap"), match["m"].alias("m"),
             F.substring(match["last"], F.greatest(size - (BEFORE - 1), F.lit(1)), F.lit(BEFORE)).alias("before"),
             F.substring(match["next"], F.lit(1), F.lit(AFTER)).alias("after"))
-    return make
+
+    def each(cut):
+        # matches beside the pieces before and after them
+        pieces = cut["pieces"]
+        beside = F.arrays_zip(cut["found"].alias("m"), pieces.alias("last"), F.slice(pieces, 2, F.size(pieces)).alias("next"))
+        return F.transform(F.filter(beside, lambda z: z["m"].isNotNull()), make)
+    return each
 
 
 def _digits(span: Column) -> Column:
