@@ -10,10 +10,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 from .components import components
-from .ngram_tasks import LONGS, Plan, shared, shingle_sets, short_sketch
+from .ngram_tasks import LONGS, Plan, distance, long_sketch, shared, shingle_sets, short_sketch
 
 # Node ids (8 bytes each) that are broadcast; more are joined by a shuffle.
 BROADCAST_NODES = 500_000
+# A turn with new centers is followed by another if one in so many comparisons found a link.
+PAYING = 8
 # Texts that one partition remembers as already sketched; affects volume only.
 REMEMBERED = 1_000_000
 SKETCH = [f"_s{i}" for i in range(LONGS)]
@@ -117,13 +119,13 @@ def _near(left: str, right: str, percent: int) -> Column:
     return (a * 100 >= b * percent) & (b * 100 >= a * percent) & (distance <= limit)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
-    """Links (a, b) among ``pairs`` (of ``_h``) by the exact size of the intersection, as ``_node``."""
-    wanted = materialize(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "_h"), "wanted")
+def _stored(pairs: DataFrame, node: str, docs: DataFrame, text: str, size: int, kind: str, make) -> DataFrame:
+    """(_h, _node, _size, _made) of every text that ``pairs`` name in a or b by its ``node`` (``_h`` or ``_node``)."""
+    wanted = materialize(pairs.select(F.col("a").alias(node)).union(pairs.select("b")).distinct(), "wanted")
     few = wanted.count() <= BROADCAST_NODES
-    texts = _nodes(docs, text).join(F.broadcast(wanted) if few else wanted, "_h", "left_semi")
+    texts = _nodes(docs, text).join(F.broadcast(wanted) if few else wanted, node, "left_semi").select("_h", "_node", "_text")
 
-    def sets(batches):
+    def run(batches):
         import pyarrow as pa
 
         seen: set = set()
@@ -132,30 +134,59 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent:
             new = [i for i, n in enumerate(nodes) if n not in seen and not seen.add(n)]
             for at in range(0, len(new), 500):
                 part = pa.array(new[at:at + 500], pa.int64())
-                found = [s.tobytes() for s in shingle_sets(batch.column(2).take(part).to_pylist(), size)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(part), batch.column(1).take(part),
-                                                  pa.array(found, pa.binary())], names=["_h", "_node", "_set"])
+                made = [(len(s), make(s)) for s in shingle_sets(batch.column(2).take(part).to_pylist(), size)]
+                sizes, found = zip(*made, strict=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(part), batch.column(1).take(part), pa.array(sizes, pa.int64()),
+                                                  pa.array(found, pa.binary())], names=["_h", "_node", "_size", "_made"])
 
-    stored = texts.mapInArrow(sets, "_h long, _node string, _set binary")
-    stored = materialize(stored.dropDuplicates(["_node"]), "sets")
-    one = stored.select(F.col("_h").alias("a"), F.col("_node").alias("na"), F.col("_set").alias("sa"))
-    two = stored.select(F.col("_h").alias("b"), F.col("_node").alias("nb"), F.col("_set").alias("sb"))
+    return materialize(texts.mapInArrow(run, "_h long, _node string, _size long, _made binary").dropDuplicates(["_node"]), kind)
 
-    def verify(batches):
+
+def _verified(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent: int) -> DataFrame:
+    """Links (a, b) among ``pairs`` (of ``_h``) by the exact size of the intersection, as ``_node``.
+
+    Long sketches, a tenth of the sets' bytes, meet the pairs first; whole
+    sets are made only for pairs that these do not rule out.
+    """
+    limit = Plan(percent).pair_limit
+
+    def kept(batch, good):
         import pyarrow as pa
 
+        rows = pa.array([i for i, g in enumerate(good) if g], pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
+
+    def close(batches):
+        for batch in batches:
+            measures = zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True)
+            yield kept(batch, [x is None or y is None or distance(x, y) <= limit(n, m) for n, m, x, y in measures])
+
+    def verify(batches):
         for batch in batches:
-            na, nb, sa, sb = (batch.column(i).to_pylist() for i in range(4))
             good = []
-            for i, (x, y) in enumerate(zip(sa, sb, strict=True)):
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 both = shared(x, y)
                 good.append(100 * both >= percent * ((len(x) + len(y)) // 8 - both) > 0)
-            kept = [i for i, g in enumerate(good) if g]
-            yield pa.RecordBatch.from_arrays([pa.array([na[i] for i in kept], pa.string()),
-                                              pa.array([nb[i] for i in kept], pa.string())], names=["a", "b"])
+            yield kept(batch, good)
+
+    def side(table: DataFrame, key: str, name: str) -> DataFrame:
+        return table.select(F.col(key).alias(name), F.col("_node").alias(f"n{name}"), F.col("_size").alias(f"s{name}"), F.col("_made").alias(f"m{name}"))
 
-    joined = pairs.join(one, "a").join(two, "b").select("na", "nb", "sa", "sb")
-    return materialize(joined.mapInArrow(verify, "a string, b string"), "links")
+    sketches = _stored(pairs, "_h", docs, text, size, "long-sketches", long_sketch)
+    met = pairs.join(side(sketches, "_h", "a"), "a").join(side(sketches, "_h", "b"), "b")
+    near = materialize(met.select("na", "nb", "sa", "sb", "ma", "mb").mapInArrow(close, "a string, b string"), "near")
+    sets = _stored(near, "_node", docs, text, size, "sets", bytes)
+    met = near.join(side(sets, "_node", "a"), "a").join(side(sets, "_node", "b"), "b")
+    return materialize(met.select("a", "b", "ma", "mb").mapInArrow(verify, "a string, b string"), "links")
+
+
+def _apart(members: DataFrame, infos: DataFrame, links: DataFrame) -> DataFrame:
+    """Members, with sizes, sketches and components, of the keys whose members ``links`` leave in several components."""
+    found = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_comp"))
+    labelled = infos.select(F.col("_h").alias("h"), "_node").join(found, "_node", "left").withColumn("_comp", F.coalesce("_comp", "_node"))
+    placed = materialize(members.select("key", "h").distinct().join(labelled, "h"), "placed")
+    several = placed.groupBy("key").agg(F.min("_comp").alias("_least"), F.max("_comp").alias("_most")).where("_least <> _most")
+    return materialize(placed.join(several.select("key"), "key", "left_semi").join(infos.drop("_h"), "_node"), "apart")
 
 
 def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", size: int = 5, percent: int = 80):
@@ -164,8 +195,9 @@ def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
     Two texts link when 100 * shared >= ``percent`` * united shingles of
     ``size`` words. ``links`` joins all texts that any chain of such links
     joins, though not by every pair: in a large group of near copies each is
-    first compared with one member per key, and only texts that this left apart
-    meet again. Equal texts are one node. Texts without words have no links.
+    first compared with one member per key, then, while that keeps finding
+    links, with others, and only texts that this left apart meet all the rest
+    of their key. Equal texts are one node. Texts without words have no links.
     """
     plan = Plan(percent)
     rows = materialize(_infos(docs, keep, text, size), "sketches")
@@ -177,21 +209,35 @@ def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(_near("ia", "ib", percent)).select("a", "b").distinct()
     links = _verified(materialize(pairs, "pairs"), docs, text, size, percent)
 
-    # keys whose members are still apart: those outside the center's component meet all others
-    found = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_comp"))
-    labelled = infos.join(found, "_node", "left").withColumn("_comp", F.coalesce("_comp", "_node"))
-    labelled = materialize(labelled, "labelled")
-    of_center = labelled.select(F.col("_h").alias("center"), F.col("_comp").alias("_own"))
-    placed = members.join(labelled.withColumnRenamed("_h", "h"), "h").join(of_center, "center")
-    placed = materialize(placed, "placed")
-    outside = placed.where(F.col("_comp") != F.col("_own")).alias("x")
-    inside = placed.join(outside.select("key").distinct(), "key", "left_semi").alias("y")
+    # keys whose members are still apart: another center in every turn, while that joins many
+    apart, turn, pays = _apart(members, infos, links), 0, True
+    crossing = F.col("x._comp") != F.col("y._comp")
+    ends = F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")
+    while pays:
+        turn += 1
+        chosen = F.min_by(F.struct("h", "_comp", "n_shingles", *SKETCH), F.xxhash64("h", F.lit(turn))).alias("c")
+        centers = apart.groupBy("key").agg(chosen).select("key", "c.*")
+        met = apart.alias("x").join(centers.alias("y"), (F.col("x.key") == F.col("y.key")) & crossing & _near("x", "y", percent))
+        pairs = materialize(met.select(*ends).distinct(), "pairs")
+        tried = pairs.count()
+        if not tried:
+            break
+        more = _verified(pairs, docs, text, size, percent)
+        found = more.count()
+        pays = found * PAYING >= tried
+        if found:
+            links = links.unionByName(more)
+            apart = _apart(apart, infos, links)
+
+    # what is apart by now: members outside the component of the key's center meet all others
+    center = apart.groupBy("key").agg(F.min_by("_comp", F.xxhash64("h")).alias("_own"))
+    placed = materialize(apart.join(center, "key"), "placed")
+    outside, inside = placed.where("_comp <> _own").alias("x"), placed.alias("y")
     once = (F.col("y._comp") == F.col("y._own")) | (F.col("x.h") < F.col("y.h"))
-    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x._comp") != F.col("y._comp")) & once
-    more = outside.join(inside, apart & _near("x", "y", percent)).select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
-    more = materialize(more, "pairs")
-    if more.limit(1).count():
-        links = links.unionByName(_verified(more, docs, text, size, percent))
+    met = outside.join(inside, (F.col("x.key") == F.col("y.key")) & crossing & once & _near("x", "y", percent))
+    pairs = materialize(met.select(*ends).distinct(), "pairs")
+    if pairs.limit(1).count():
+        links = links.unionByName(_verified(pairs, docs, text, size, percent))
     return rows, links
 
 

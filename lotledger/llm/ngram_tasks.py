@@ -228,6 +228,25 @@ def short_sketch(tokens: np.ndarray) -> list[int]:
     return np.packbits(parity).view(np.int64).tolist()
 
 
+def long_sketch(tokens: np.ndarray) -> bytes | None:
+    """Parity of the tokens per bit, with 4 to 8 bits a token; None where the short sketch has as many."""
+    if len(tokens) * 4 <= 64 * LONGS:
+        return None
+    bits = 1 << (4 * len(tokens) - 1).bit_length()
+    places = ((tokens >> np.uint64(16)) & np.uint64(bits - 1)).astype(np.intp)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def distance(a: bytes, b: bytes) -> int:
+    """Hamming distance of two long sketches; the longer one is folded, which keeps parities."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if len(x) > len(y):
+        x, y = y, x
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def shared(a: bytes, b: bytes) -> int:
     """Size of the intersection of two sets stored as bytes."""
     both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])

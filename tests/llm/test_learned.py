@@ -16,7 +16,7 @@ from lotledger.llm import bpe, embeddings, hnsw, language, ngram_join, quality
 from lotledger.llm.bpe_tasks import Coder, merge, parse_ranks
 from lotledger.llm.components import components
 from lotledger.llm.language_tasks import Network, gradients, train
-from lotledger.llm.ngram_tasks import Plan, shingle_sets
+from lotledger.llm.ngram_tasks import Plan, distance, long_sketch, shingle_sets
 from lotledger.llm.queries import QUERIES, remainder
 
 from .conftest import LOWER, SF
@@ -181,6 +181,19 @@ def test_linked_sets_share_a_key(percent):
     assert tried > 50
 
 
+def test_long_sketches_bound_the_difference_from_below():
+    rng = np.random.default_rng(5)
+    assert long_sketch(np.arange(128, dtype=np.uint64)) is None
+    for size, dropped, added in [(140, 3, 0), (600, 30, 500), (1000, 0, 1), (5000, 700, 40)]:
+        tokens = np.sort(rng.integers(0, 1 << 63, size + added, np.uint64))
+        one, two = tokens[:size], tokens[dropped:]
+        x, y = long_sketch(one), long_sketch(two)
+        differ = dropped + added
+        assert len(x) * 8 >= 4 * size and distance(x, x) == 0
+        assert differ * 0.6 <= distance(x, y) <= differ
+        assert distance(x, y) == distance(y, x)
+
+
 def test_spare_segments_of_long_texts_stay_few():
     plan = Plan(80)
     plan._extend(1_000_000)
@@ -238,6 +251,21 @@ def test_near_duplicates_against_all_pairs(spark, docs, no_docs):
     assert sorted(str(r["doc_id"]) for r in left.collect()) == sorted(str(i) for i in (1, 4, 5, 6, 8, 9, 10, 11, 12))
 
 
+def test_crowded_keys_take_turns_and_lose_no_link(spark):
+    """Copies of one text, each with its own edits: most pairs are no links, chains join some."""
+    rng = random.Random(11)
+    texts = []
+    for _ in range(120):
+        words = [f"b{i}" for i in range(200)]
+        for place in rng.sample(range(200), rng.randint(1, 5)):
+            words[place] = f"e{rng.randrange(40)}"
+        texts.append(" ".join(words))
+    want = dict(enumerate(linked([sets_of(t, 4) for t in texts], 85)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(df, size=4, percent=85).collect()}
+    assert got == want and 3 < len(set(want.values())) < 110
+
+
 def test_components_of_chains_and_loops(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100), (200, 200)]
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
