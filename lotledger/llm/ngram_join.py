@@ -213,7 +213,7 @@ def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
     apart, turn, pays = _apart(members, infos, links), 0, True
     crossing = F.col("x._comp") != F.col("y._comp")
     ends = F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")
-    while pays:
+    while pays and apart.limit(1).count():
         turn += 1
         chosen = F.min_by(F.struct("h", "_comp", "n_shingles", *SKETCH), F.xxhash64("h", F.lit(turn))).alias("c")
         centers = apart.groupBy("key").agg(chosen).select("key", "c.*")
@@ -229,6 +229,8 @@ def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
             links = links.unionByName(more)
             apart = _apart(apart, infos, links)
 
+    if not apart.limit(1).count():
+        return rows, links
     # what is apart by now: members outside the component of the key's center meet all others
     center = apart.groupBy("key").agg(F.min_by("_comp", F.xxhash64("h")).alias("_own"))
     placed = materialize(apart.join(center, "key"), "placed")
