@@ -45,6 +45,29 @@ def _(spark, sf):
                       "coluna_extra_28", "arquivo", "aba")
 
 
+@query("a1_landed_parts", """
+SELECT lpad(CAST(l_partkey AS VARCHAR), 6, '0') AS n_do_cadastro,
+       'B' || CAST(l_suppkey AS VARCHAR) || chr(10) || 'rua; "' || CAST(l_linenumber AS VARCHAR) || '"' AS bairro,
+       strftime(l_shipdate, '%d/%m/%Y') AS data_de_transacao, CASE WHEN l_returnflag = 'R' THEN l_linestatus END AS coluna_extra_28,
+       'itbi_' || l_returnflag || '.xlsx' AS arquivo, CASE WHEN l_linestatus = 'F' THEN 'JAN-2024' ELSE 'fev-2024' END AS aba
+FROM lineitem WHERE l_quantity < 50
+""")
+def _(spark, sf):
+    # Parts of two widths with line breaks, separators and quotes inside cells; the sheet without a month is passed over.
+    li = table(spark, sf, "lineitem")
+    root = scratch_path(spark, "landed")
+    text = F.concat(F.lit("B"), F.col("l_suppkey").cast("string"), F.lit('\nrua; "'), F.col("l_linenumber").cast("string"), F.lit('"'))
+    cells = {0: F.lpad(F.col("l_partkey").cast("string"), 6, "0"), 4: text, 9: F.date_format("l_shipdate", "dd/MM/yyyy"), 28: F.col("l_linestatus")}
+    for flag, width in (("A", 28), ("N", 28), ("R", 29)):
+        columns = [F.when(F.col("l_quantity") < 50, cells.get(i, F.lit(None).cast("string"))).alias(f"_c{i}") for i in range(width)]
+        for status, aba in (("F", "JAN-2024"), ("O", "fev-2024"), ("O", "Resumo")):
+            part = li.where((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status))
+            if not part.isEmpty():
+                sinks.write_part(part.select(*columns), root, f"itbi_{flag}.xlsx", aba)
+    return raw.read_monthly_parts(spark, root).select(
+        "n_do_cadastro", "bairro", "data_de_transacao", "coluna_extra_28", "arquivo", "aba")
+
+
 _SHEETS = "array('JAN','FEV','MAR','ABR','MAI','JUN','JUL','AGO','SET','OUT','NOV','DEZ')"
 
 

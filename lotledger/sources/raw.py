@@ -10,6 +10,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import strip
 from ..operators.cleaning import drop_incomplete, require_columns
+from ..session import materialize
+from .records import cell_count, delimited_records, parse_cells
 
 # The positional column names of a monthly sheet.
 MONTHLY_COLUMNS = (
@@ -84,47 +86,52 @@ def _delimited(spark: SparkSession, sep: str):
 
 def read_delimited(spark: SparkSession, path: str, names: Sequence[str] | None = None, header: bool = True,
                    sep: str = ";") -> DataFrame:
-    """Delimited files with every column a string; fails when there is no row."""
-    reader = _delimited(spark, sep).option("header", header)
-    df = (reader.schema(string_schema(names)) if names else reader).csv(path)
+    """Delimited files with every column a string; fails when there is no row.
+
+    Without ``names`` the first record names the columns (see :func:`records.delimited_records`).
+    """
+    names = names or _delimited(spark, sep).option("header", header).csv(path).columns
+    records = delimited_records(spark, path, sep)
+    df = parse_cells(records.where(~F.col("first")) if header else records, names, sep).drop("_file")
     if df.isEmpty():
         raise ValueError(f"no row in {path}")
     return df
 
 
 def read_monthly_parts(spark: SparkSession, root: str, sep: str = ";") -> DataFrame:
-    """All monthly parts landed as ``<root>/<arquivo>/<aba>.csv`` without header.
+    """All monthly parts landed without header, as ``<root>/<arquivo>/<aba>.csv``
+    or as the folders of :func:`sinks.write_part`, in files of any number and size.
 
-    One scan covers every file: the schema is as wide as the widest line of any
+    One scan covers every file: the schema is as wide as the widest record of any
     part (separators inside quotes don't count) and shorter rows are padded.
-    Parts whose name is not a month are left out; a part without a line, or
+    Parts whose name is not a month are left out; a part without a record, or
     narrower than the minimum, is an error.
     """
     scan = {"recursiveFileLookup": "true", "pathGlobFilter": "*.csv"}
 
+    def sheet(path: Column) -> Column:
+        folder = F.url_decode(F.regexp_extract(path, r"/aba=([^/]+)/[^/]+$", 1))
+        return F.coalesce(F.nullif(folder, F.lit("")), F.url_decode(F.regexp_extract(path, r"([^/]+)\.csv$", 1)))
+
     def lineage(df: DataFrame, path: Column) -> DataFrame:
-        aba = F.url_decode(F.regexp_extract(path, r"([^/]+)\.csv$", 1))
-        arquivo = F.url_decode(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1))
-        return df.withColumns({"arquivo": arquivo, "aba": aba}).where(is_month_sheet(F.col("aba")))
-
-    file_path = F.col("_metadata.file_path")
-    texts = spark.read.options(**scan).text(root)
-    # the scan itself passes over files without a byte, so the listing is asked (one name per sheet)
-    listed = spark.createDataFrame([(path,) for path in texts.inputFiles()], "path string")
-    landed = lineage(listed, F.col("path")).select(*LINEAGE)
-    lines = lineage(texts, file_path)
-    # a quote left open by a line break is closed on another line
-    outside = F.regexp_replace("value", '"[^"]*("|$)', "")
-    cells = F.length(outside) - F.length(F.replace(outside, F.lit(sep), F.lit(""))) + 1
-    widths = landed.join(lines.groupBy(*LINEAGE).agg(F.max(cells).alias("w")), list(LINEAGE), "left")
+        folder = F.url_decode(F.regexp_extract(path, r"/arquivo=([^/]+)/aba=[^/]+/[^/]+$", 1))
+        arquivo = F.coalesce(F.nullif(folder, F.lit("")), F.url_decode(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)))
+        return df.withColumns({"arquivo": arquivo, "aba": sheet(path)}).where(is_month_sheet(F.col("aba")))
+
+    # the scan itself passes over files without a byte, so the listing is asked
+    listed = spark.createDataFrame([(path,) for path in spark.read.options(**scan).text(root).inputFiles()], "path string")
+    landed = lineage(listed, F.col("path")).select(*LINEAGE).distinct()
+    # read twice below
+    records = materialize(delimited_records(spark, root, sep, scan, is_month_sheet(sheet(F.col("file")))), "records")
+    cells = lineage(records, F.col("file")).groupBy(*LINEAGE).agg(F.max(cell_count(F.col("record"), sep)).alias("w"))
+    widths = landed.join(cells, list(LINEAGE), "left")
     judged = widths.agg(F.max("w").alias("w"), F.min_by(F.struct(*LINEAGE, "w"), F.coalesce("w", F.lit(0))).alias("least")).first()
     if judged["least"] is None:
         raise ValueError(f"no monthly part under {root}")
     if (judged["least"]["w"] or 0) < MIN_COLUMNS:
         raise ValueError(f"a monthly part is empty or has an unexpected number of columns: {judged['least'].asDict()}")
     names = positional_names(max(judged["w"], len(MONTHLY_COLUMNS)))
-    parts = lineage(_delimited(spark, sep).options(**scan).schema(string_schema(names)).csv(root), file_path)
-    return parts.na.drop("all", subset=names)
+    return lineage(parse_cells(records, names, sep), F.col("_file")).drop("_file").na.drop("all", subset=names)
 
 
 def load_feature_table(df: DataFrame, required: Sequence[str], at_least: int = 10) -> DataFrame:

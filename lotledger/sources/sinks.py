@@ -34,6 +34,16 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
     ).csv(path)
 
 
+def write_part(df: DataFrame, root: str, arquivo: str, aba: str, sep: str = ";") -> None:
+    """One monthly part, header-less, in the folder where :func:`raw.read_monthly_parts` looks for it.
+
+    The part may be of any size: every task writes a file of its own.
+    """
+    df.write.mode("errorifexists").options(
+        sep=sep, quote='"', escape='"', ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false", emptyValue="",
+    ).csv(f"{root}/arquivo={arquivo}/aba={aba}")
+
+
 def write_json_report(df: DataFrame, path: str) -> None:
     """Report rows as JSON lines; NULL fields are kept."""
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

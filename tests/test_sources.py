@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from lotledger.sources import fingerprint, links, raw, registry, sinks
+from lotledger.sources import fingerprint, links, raw, records, registry, sinks
 
 
 def write(path, text):
@@ -154,3 +154,82 @@ def test_references_are_decoded_in_linear_time(spark):
         return time.perf_counter() - start
     seconds(100)
     assert seconds(40_000) < 8 * seconds(10_000) + 2
+
+
+def test_cells_of_records(spark):
+    said = ["a;b", "", '";"', '"""";x', 'a;""";x";"y"', 'p"q;"r;s";t', '"z"t;u', '"a;b\n;c"";"', '""', '"open;x']
+    found = spark.createDataFrame([(r,) for r in said], "r string").select(records.cell_count(F.col("r")).alias("n")).collect()
+    assert [r.n for r in found] == [2, 1, 1, 2, 3, 3, 2, 1, 1, 1]
+
+
+def test_landed_folders(spark, tmp_path):
+    cells = [F.lit(f"c{i}").alias(f"c{i}") for i in range(28)]
+    rows = spark.range(300).repartition(3).select(F.concat(F.col("id").cast("string"), F.lit('\n"a";\r\n')).alias("id"), *cells[1:])
+    sinks.write_part(rows, str(tmp_path), "itbi 2024.xlsx", "JAN-2024")
+    sinks.write_part(rows, str(tmp_path), "itbi 2024.xlsx", "Resumo")
+    sinks.write_part(rows.limit(2).select("*", F.lit("more").alias("x")), str(tmp_path), "itbi 2025.xlsx", "FEV-2025")
+    write(tmp_path / "itbi_2023.xlsx" / "MAR-2023.csv", ";".join(map(str, range(20))) + "\n")
+    found = raw.read_monthly_parts(spark, str(tmp_path)).collect()
+    assert sorted({(r.arquivo, r.aba) for r in found}) == [("itbi 2024.xlsx", "JAN-2024"), ("itbi 2025.xlsx", "FEV-2025"), ("itbi_2023.xlsx", "MAR-2023")]
+    assert sorted(r.n_do_cadastro for r in found if r.aba == "JAN-2024") == sorted(f'{i}\n"a";\r\n' for i in range(300))
+    assert [r.coluna_extra_28 for r in found if r.aba == "FEV-2025"] == ["more", "more"] and len(found) == 303
+
+
+def split_into(spark, size):
+    """Small blocks, so that records cross them."""
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    for name, value in zip(("maxPartitionBytes", "openCostInBytes"), (size, 1) if isinstance(size, int) else size, strict=True):
+        spark.conf.set(f"spark.sql.files.{name}", value)
+    return before
+
+
+def rows_of(df):
+    return sorted(map(repr, map(tuple, df.collect())))
+
+
+@pytest.mark.parametrize("block", [40, 64, 301, 5000, 1 << 27])
+def test_records_of_blocks_equal_the_whole_file(spark, tmp_path, block):
+    import random
+
+    rng = random.Random(block)
+    bits = ["a", "b c", ";", '""', "\n", "\r\n", "é", "x" * 30, " ", "\n\n"]
+    lines = ["k;l;m"]
+    for i in range(400):
+        cells = [str(i)]
+        for _ in range(2):
+            kind = rng.random()
+            inner = "".join(rng.choices(bits, k=rng.randint(0, 9)))
+            cells.append('"' + inner + '"' if kind < 0.4 else 'p"q' if kind < 0.5 else '"z"t' if kind < 0.55 else "" if kind < 0.7 else f"v{i}")
+        lines.append(";".join(cells) + (";more" if i % 50 == 0 else ""))
+        if i % 37 == 0:
+            lines.append("")
+    write(tmp_path / "one.csv", "\n".join(lines))
+    write(tmp_path / "two.csv", "k;l;m\n" + "\n".join(lines[200:300]) + "\n")
+    names, options = ["k", "l", "m"], {"sep": ";", "quote": '"', "escape": '"', "multiLine": "true", "header": "true"}
+    want = rows_of(spark.read.options(**options).schema(raw.string_schema(names)).csv(str(tmp_path)))
+    before = split_into(spark, block)
+    try:
+        found = raw.read_delimited(spark, str(tmp_path), names)
+        tasks = records._lines(spark, str(tmp_path), {}).rdd.getNumPartitions()
+        got = rows_of(found)
+    finally:
+        split_into(spark, before)
+    assert got == want and len(want) > 450 and (block > 5000 or tasks > 3)
+
+
+def test_blocks_inside_quotes_without_a_broadcast(spark, tmp_path, monkeypatch):
+    write(tmp_path / "a.csv", "h;i\n" + "".join(f'{n};"{"line" * 5}\nof {n}\n"\n' for n in range(200)) + '200;"open\nto the\nend')
+    monkeypatch.setattr(records, "BROADCAST_BLOCKS", 0)
+    before = split_into(spark, 100)
+    try:
+        got = sorted(map(tuple, raw.read_delimited(spark, str(tmp_path), ["h", "i"]).collect()), key=lambda r: int(r[0]))
+    finally:
+        split_into(spark, before)
+    assert got[:200] == [(str(n), f'{"line" * 5}\nof {n}\n') for n in range(200)] and got[200][0] == "200" and len(got) == 201
+
+
+@pytest.mark.parametrize(("line", "outside", "inside"), [
+    ("a;b", False, True), ('"a;b', True, False), ('a";b', False, False), ('""', False, True), ('x;""";', True, False),
+    ('"a"b";"c', True, True), ("", False, True), ('a"b;"c', True, True), ('";"', False, True)])
+def test_where_a_line_leads(line, outside, inside):
+    assert (records.ends_inside(line, False, ";"), records.ends_inside(line, True, ";")) == (outside, inside)
