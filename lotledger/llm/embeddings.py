@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import materialize
 from .components import components
+from .native import refuse_clashes
 
 # Vectors of one label that share a graph.
 SHARD_ROWS = 16_384
@@ -114,8 +115,10 @@ def link_vectors(vectors: DataFrame, least: float = 0.98, vec_id: str = "vec_id"
 
     NULL labels and ids, and vectors that are NULL, empty, zero or hold NULL or
     non-finite components, link with nothing. Repeated rows are vectors of
-    their own; an empty table gives no rows.
+    their own; an empty table gives no rows. Equal cosines need no order, as all
+    links count. Kept names that start with ``_`` or are a result's are refused.
     """
+    refuse_clashes([vec_id, *keep], ("n_links", "component_id", "kept"))
     spark = vectors.sparkSession
     values = F.col(vector).cast("array<double>")
     finite = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) <= F.lit(1.7976931348623157e308)))

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .native import broadcast_small, positions
+from .native import broadcast_small, positions, refuse_clashes
 
 # Phrases whose exact places are reported, with their labels.
 PHRASES = {
@@ -69,9 +69,10 @@ def scan_licenses(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str
     ``last_word`` (NULL without base places), ``base_labels``, ``labels`` and
     ``score`` (1 with a base place, else the best coverage of a template).
     NULL and empty texts have no words, empty labels and score 0. Repeated
-    rows give repeated results; ``keep`` may hold NULLs. Names starting with
-    ``_`` and the result names must not be in ``keep``.
+    rows give repeated results; ``keep`` may hold NULLs. Names that start
+    with ``_`` or are a result's are refused in ``keep``.
     """
+    refuse_clashes(keep, ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"))
     grams = template_grams(docs.sparkSession, phrases, templates)
     at = F.col("_pos")
     rows = positions(docs, keep, text)

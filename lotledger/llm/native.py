@@ -13,6 +13,13 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SMALL_ROWS = 100_000
 
 
+def refuse_clashes(keep: Sequence[str], results: Sequence[str]) -> None:
+    """Fails where a kept column has a result's name, one that operators use (``_``...), or another's."""
+    names = [c.lower() for c in keep]
+    if clash := sorted({c for c in names if c.startswith("_") or c in results or names.count(c) > 1}):
+        raise ValueError(f"kept columns clash with results: {clash}")
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z (and nothing else) in lower case; NULL becomes empty."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())

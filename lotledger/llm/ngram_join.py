@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 from .components import components
+from .native import refuse_clashes
 from .ngram_tasks import LONGS, Plan, distance, long_sketch, shared, shingle_sets, short_sketch
 
 # Node ids (8 bytes each) that are broadcast; more are joined by a shuffle.
@@ -251,8 +252,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     id reachable by links, itself included). Equal texts share a component
     unless they have no words; those are alone with their own id. Rows with a
     NULL id belong to the component of their text, but name none. Repeated
-    rows give repeated results, an empty table none.
+    rows give repeated results, an empty table none. Kept names that start with
+    ``_`` or are a result's are refused.
     """
+    refuse_clashes([doc_id, *keep], ("n_shingles", "component_id"))
     rows, links = join(docs, [doc_id, *keep], text, size, percent)
     found = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_comp"))
     rows = rows.join(found, "_node", "left").withColumn("_comp", F.coalesce("_comp", "_node"))

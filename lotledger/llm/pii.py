@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..session import materialize
 from .boosting import boost, calibrated_threshold, margin
+from .native import refuse_clashes
 
 # Base kinds in their fixed order, then those that only the trees add.
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -199,8 +200,10 @@ def detect(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text
     span. Returns ``keep`` plus ``n_email``, ``n_ip``, ``n_card``, ``n_phone``
     (base spans), ``base_sha256`` and ``spans`` (``kind:start:end`` in code
     points, by kind, then start). NULL and empty texts have none; repeated rows
-    give repeated results. Names starting with ``_`` must not be in ``keep``.
+    give repeated results. Names that start with ``_`` or are a result's are
+    refused in ``keep``.
     """
+    refuse_clashes(keep, (*[f"n_{k}" for k in BASE_KINDS], "base_sha256", "spans"))
     selector = selector or Selector(docs.sparkSession)
     found = docs.select(*keep, F.monotonically_increasing_id().alias("_rid"), proposals(F.coalesce(F.col(text), F.lit(""))).alias("_p"))
     rows = materialize(found.select(*keep, "_rid", F.posexplode_outer("_p").alias("_at", "_c")), "proposals")

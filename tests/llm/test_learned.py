@@ -118,6 +118,50 @@ def test_long_texts_pool_all_windows(spark):
     assert names[:2] == ["de", "de"] and scores[2] == 0.0
 
 
+def test_predictions_equal_a_plain_run_by_byte():
+    from lotledger.llm.language_tasks import HIDDEN, WINDOW
+
+    net = train([("the cat sat on the mat", "en"), ("der Hund über die Straße", "de"), ("le chat est là", "fr")] * 20, steps=30)
+    rng = random.Random(2)
+    texts = ["a", "Straße 12!", "x" * WINDOW, "the cat " * 40, "".join(rng.choices("abc éß.,1", k=5 * WINDOW + 3))]
+    names, scores = net.predict(texts, "und")
+    for text, name, score in zip(texts, names, scores, strict=True):
+        raw, pooled, letters = text.encode(), np.zeros(len(net.labels)), 0
+        for at in range(0, len(raw), WINDOW):
+            window = raw[at:at + WINDOW].ljust(WINDOW, b"\0")
+            states = np.zeros((2, WINDOW, HIDDEN))
+            for d in range(2):
+                h = np.zeros(HIDDEN)
+                for t in range(WINDOW - 1, -1, -1) if d else range(WINDOW):
+                    both = net.inputs[d][window[t]].astype(float) + h @ net.recurrent[d].astype(float)
+                    gate = (1 + np.tanh(both[:HIDDEN])) / 2
+                    h = states[d, t] = (1 - gate) * h + gate * np.tanh(both[HIDDEN:])
+            for t, byte in enumerate(window):
+                if byte >= 128 or chr(byte).isalpha():
+                    logits = np.concatenate(states[:, t]) @ net.out.astype(float) + net.bias
+                    p = np.exp(logits - logits.max())
+                    pooled, letters = pooled + p / p.sum(), letters + 1
+        assert net.labels[int(np.argmax(pooled))] == name and abs(pooled.max() / letters - score) < 1e-4
+
+
+def test_votes_equal_plain_products(spark, docs):
+    rng = random.Random(3)
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    said = [(100 + i, " ".join(rng.choices(words[:7] if i % 2 else words[4:], k=40))) for i in range(80)]
+    table = docs.select("doc_id", "text").where("doc_id <= 9").unionByName(spark.createDataFrame(said, "doc_id long, text string"))
+    marks = spark.createDataFrame([(i, i % 2) for i, _ in said[:60]] + [(1, 1), (5, 0)], "doc_id long, quality int")
+    voters = quality.fit(table, marks, F.lit(True))
+    out = {r["doc_id"]: r["score"] for r in quality.score(table, voters).collect()}
+    for r in table.collect():
+        vector = (quality.term_weights(quality.term_counts(r["text"])[None]) - voters.center)[0].astype(float) @ voters.projection.astype(float)
+        vector /= max(np.sqrt(vector @ vector), 1e-12)
+        cosines = sorted(((float(vector @ v), float(y)) for v, y in zip(voters.vectors.astype(float), voters.labels, strict=True)), reverse=True)
+        near = cosines[:quality.NEIGHBOURS]
+        weights = [max(c, 1e-3) ** quality.SHARPNESS for c, _ in near]
+        if cosines[quality.NEIGHBOURS - 1][0] - cosines[quality.NEIGHBOURS][0] > 1e-5:  # no tie at the edge
+            assert abs(out[r["doc_id"]] - sum(w * y for w, (_, y) in zip(weights, near, strict=True)) / sum(weights)) < 1e-3
+
+
 def test_language_and_quality_on_held_out_rows(spark):
     data = "/root/testdata/sf0.01"
     told = QUERIES["op7_bidirectional_gru"](spark, data).join(spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang"), "doc_id")

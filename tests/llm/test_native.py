@@ -1,6 +1,7 @@
 """Sharding, licenses, URLs, decontamination and personal data against plain Python."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -10,7 +11,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lotledger.llm import decontaminate, licenses, pii, sharding, urls
+from lotledger.llm import decontaminate, embeddings, licenses, ngram_join, pii, sharding, urls
 
 from .conftest import SF, digest_of, words_of
 
@@ -102,6 +103,71 @@ def test_url_rules_and_model(spark):
     assert urls.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_url_scores_equal_a_plain_model(spark):
+    import xxhash
+
+    held = [*urls.labelled_urls(40, seed=5), ("http://adult-x.example.net/en/4", 1), ("https://free-bets.example.com/", 1), ("http://thonth.example.org/en/1", 0)]
+    rows = [(i, u, y) for i, (u, y) in enumerate(held)]
+    out = urls.judge(spark.createDataFrame(rows, "page_id long, url string, y int"), keep=("page_id", "y"), rules=()).collect()
+    assert sum((r["verdict"] == "block") == bool(r["y"]) for r in out) >= 0.93 * len(out) and all((r["verdict"] == "block") == bool(r["y"]) for r in out if r["page_id"] >= len(held) - 3)
+    weights, bias = urls.train(spark, urls.labelled_urls())
+    for r in out:
+        found = set()
+        for field, value in (("h", f"^{r['host']}$"), ("p", r["path"])):
+            for n in (3, 4):
+                for i in range(len(value) - n + 1):
+                    h = xxhash.xxh64_intdigest(value[i:i + n].encode(), xxhash.xxh64_intdigest(field.encode(), 42))
+                    found.add((h - (1 << 64) if h >> 63 else h) % urls.BUCKETS)
+        margin = bias + sum(weights[b] for b in found) / max(1, len(found)) ** 0.5
+        assert abs(r["score"] - 1 / (1 + math.exp(-margin))) < 1e-6
+
+
+def test_no_test_page_is_labelled():
+    from urllib.parse import urlsplit
+
+    import pyarrow.parquet as pq
+
+    hosts = {urlsplit(u).netloc for u in pq.read_table(f"{SF}/pages.parquet")["url"].to_pylist()}
+    assert not hosts & {urlsplit(u).netloc for u, _ in urls.labelled_urls()}
+
+
+def test_clashing_names_are_refused(docs, spark):
+    bench = spark.createDataFrame([(1, "one")], "item_id long, text string")
+    vectors = spark.createDataFrame([(1, "a", [1.0])], "vec_id long, label string, embedding array<double>")
+    pages = spark.createDataFrame([(1, "http://a.example/")], "page_id long, url string")
+    both = lambda df, name: df.withColumn(name, F.lit(1))
+    for name, run in (
+            ("n_email", lambda k: pii.detect(both(docs, k), ["doc_id", k])), ("N_Shingles", lambda k: ngram_join.near_duplicates(both(docs, k), keep=[k])),
+            ("n_hit", lambda k: decontaminate.scan(both(docs, k), bench, ["doc_id", k])), ("n_base", lambda k: licenses.scan_licenses(both(docs, k), ["doc_id", k])),
+            ("host", lambda k: urls.judge(both(pages, k), keep=["page_id", k])), ("kept", lambda k: embeddings.link_vectors(both(vectors, k), keep=[k]))):
+        for bad in (name, "_rid"):
+            with pytest.raises(ValueError, match="clash"):
+                run(bad)
+    with pytest.raises(ValueError, match="clash"):
+        licenses.scan_licenses(docs, ["doc_id", "doc_id"])
+
+
+@pytest.mark.parametrize("words", [decontaminate.FILTER_WORDS, 8])
+def test_many_windows_travel_without_texts(docs, spark, monkeypatch, words):
+    monkeypatch.setattr(decontaminate, "FILTER_WORDS", words)
+    rng = random.Random(words)
+    said = [(i, " ".join(f"w{rng.randint(0, 996)}" for _ in range(rng.choice((2, 4, 9, 30))))) for i in range(400)]
+    said += [(1000 + i, " ".join(f"w{(start + j) % 997}" for j in range(n))) for i, (start, n) in enumerate([(5, 12), (990, 40), (7, 3), (400, 10), (400, 10)])]
+    bench = spark.createDataFrame(said, "item_id long, text string")
+    want = Counter(map(tuple, decontaminate.scan(docs, bench).collect()))
+    got = decontaminate.scan(docs, bench, small=0)
+    assert Counter(map(tuple, got.collect())) == want and {r["doc_id"]: r["n_items"] for r in got.collect()}[10] >= 5
+
+
+def test_decontamination_of_150_000_windows(spark):
+    said = spark.range(3000).select("id", F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(59)), lambda j: F.hex(F.xxhash64("id", j)))).alias("text"))
+    middle = F.slice(F.split("text", " "), 21, 12)
+    texts = said.select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("before"), F.when(F.col("id") % 3 == 0, F.concat_ws(" ", middle)).otherwise("nothing"), F.lit("after")).alias("text"))
+    found = decontaminate.scan(texts, said.withColumnRenamed("id", "item_id"))
+    sums = found.agg(F.count("*"), F.sum("n_hit"), F.sum("n_items"), F.count_if((F.col("doc_id") % 3 == 0) == F.col("contaminated"))).first()
+    assert tuple(sums) == (3000, 12 * 1000, 1000, 3000)
+
+
 def test_decontamination_against_plain_search(docs, no_docs, spark):
     base = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
     items = [(1, "Beta-gamma delta epsilon zeta eta theta iota kappa lambda mu"), (2, "one"), (2, "one"), (None, "über alles"), (3, None), (4, "..."),
