@@ -352,6 +352,25 @@ def _(spark, sf):
         F.round(F.col("metrics")["mae"], 3).alias("mae"))
 
 
+@query("f8_train_summary", _HOLDOUT_SQL + f"""
+, p AS (SELECT *, strftime(make_date(ano, mes, 1), '%Y-%m') AS period FROM h)
+SELECT 'baseline_media' AS best_model, 'v1' AS version, count(*) AS n_rows, count(*) FILTER (train) AS n_train, count(*) FILTER (NOT train) AS n_test,
+       min(period) FILTER (train) AS train_start, max(period) FILTER (train) AS train_end,
+       min(period) FILTER (NOT train) AS test_start, max(period) FILTER (NOT train) AS test_end, CAST(3 AS INTEGER) AS windows,
+       round(avg(abs({TARGET} - (SELECT avg({TARGET}) FROM h WHERE train))) FILTER (NOT train), 3) AS mae
+FROM p
+""")
+def _(spark, sf):
+    rows, candidates = materialize(deals(spark, sf), "deals"), training.default_candidates()[:1]
+    trained = training.train_candidates(rows, "id", candidates)
+    summary = training.train_summary(rows, trained, candidates[0], "v1", "d1")
+    return summary.select(
+        "best_model", "version", "n_rows", "n_train", "n_test", F.col("train_period_start").alias("train_start"),
+        F.col("train_period_end").alias("train_end"), F.col("test_period_start").alias("test_start"),
+        F.col("test_period_end").alias("test_end"), F.size("backtest_windows").alias("windows"),
+        F.round(F.col("candidates")[0]["mae"], 3).alias("mae"))
+
+
 @query("f9_validation_report", _HOLDOUT_SQL + f"""
 , t AS (SELECT h.*, m FROM h, (SELECT avg({TARGET}) AS m FROM h WHERE train) WHERE NOT train),
 seg AS (SELECT cep FROM t GROUP BY cep HAVING count(*) >= 5),
@@ -400,6 +419,27 @@ def _(spark, sf):
         F.round("valor_estimado", 3).alias("valor_estimado"))
 
 
+@query("f10_fitted_requests", """
+WITH c AS (SELECT DISTINCT o_custkey % 40 AS code FROM orders)
+SELECT o_orderkey AS id, round(20000 + 300 * (o_orderkey % 300 + 0.5e0) + 100 * (year(o_orderdate) - 1990) + 40 * month(o_orderdate)
+       + CASE WHEN o_custkey % 50 IN (SELECT code FROM c) THEN 500e0 * (o_custkey % 50) ELSE (SELECT avg(500e0 * code) FROM c) END, 2) AS valor_estimado
+FROM orders
+""")
+def _(spark, sf):
+    # Prices without noise, so least squares must price every request as its fields say; a fifth of the codes is unseen.
+    orders = table(spark, sf, "orders").withColumns({"ano": F.year("o_orderdate"), "mes": F.month("o_orderdate")})
+    priced = lambda area, code: 20000 + 300 * area + 100 * (F.col("ano") - 1990) + 40 * F.col("mes") + 500 * code
+    code = lambda of: F.lpad(of.cast("string"), 8, "0")
+    known, area = F.col("o_custkey") % 40, (F.col("o_orderkey") % 200 + 50).cast("double")
+    train = orders.select(code(known).alias("cep"), area.alias("area_do_terreno_m2"), "ano", "mes", priced(area, known).cast("double").alias(TARGET))
+    asked = code(F.col("o_custkey") % 50)
+    requests = orders.select(
+        F.col("o_orderkey").alias("id"), F.concat(F.substring(asked, 1, 5), F.lit("-"), F.substring(asked, 6, 3)).alias("cep"),
+        F.concat((F.col("o_orderkey") % 300).cast("string"), F.lit(",5")).alias("area_do_terreno_m2"), "ano", "mes")
+    scored = serving.score_requests(requests, training.ols_model(materialize(train, "train")))
+    return scored.select("id", F.round("valor_estimado", 2).alias("valor_estimado"))
+
+
 @query("f11_promotion", """
 WITH c AS (SELECT o_custkey AS model, CASE o_custkey % 3 WHEN 0 THEN 'dev' WHEN 1 THEN 'test' ELSE 'prod' END AS to_env,
                   CASE WHEN o_custkey % 5 <> 0 THEN min(o_totalprice) * 2 END AS v, CASE WHEN o_custkey % 10 <> 0 THEN max(o_totalprice) END AS t

@@ -38,6 +38,22 @@ def _(spark, sf):
     )
 
 
+@query("d1_profile_columns", """
+SELECT count(*) AS "rows", CAST(least(count(*), 5) AS INTEGER) AS sample_rows, CAST(0 AS BIGINT) AS strange,
+       'bigint' AS key_type, 'double' AS price_type, 'data_de_transacao,bairro,descricao_do_uso_iptu,valor_venal_de_referencia' AS missing
+FROM orders
+""")
+def _(spark, sf):
+    rows = materialize(table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("double").alias("area_do_terreno_m2"), F.col("o_orderstatus").alias("cep")), "rows")
+    profile = materialize(quality.quality_profile(rows), "profile")
+    shown = profile.select(F.explode("sample").alias("s")).select("s.*")
+    strange = shown.join(rows, rows.columns, "left_anti").agg(F.count(F.lit(1)).alias("strange"), F.lit(1).alias("one"))
+    return profile.withColumn("one", F.lit(1)).join(strange, "one").select(
+        "rows", F.size("sample").alias("sample_rows"), "strange", F.col("dtypes")["o_orderkey"].alias("key_type"),
+        F.col("dtypes")["area_do_terreno_m2"].alias("price_type"), F.array_join("missing_required_cols", ",").alias("missing"))
+
+
 @query("d2_quality_gate", f"""
 WITH p AS ({_PROFILE_SQL})
 SELECT concat_ws('; ',

@@ -316,6 +316,32 @@ def _(spark, sf):
     return registry.newest_models(rows)
 
 
+_REGISTRY_SQL = """
+WITH r AS (
+  SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'prod' WHEN '2-HIGH' THEN 'dev' ELSE 'test' END AS env,
+         strftime(o_orderdate, '%Y.%m.%d') || '.' || lpad(CAST(o_orderkey % 2400 AS VARCHAR), 4, '0') AS version FROM orders)
+"""
+
+
+@query("a16_resolve_model", _REGISTRY_SQL + """
+SELECT 'any' AS asked, 'prod' AS env, max(version) AS version FROM r WHERE env = 'prod'
+UNION ALL SELECT 'newest of dev', 'dev', (SELECT max(version) FROM r WHERE env = 'dev' AND version NOT IN (SELECT version FROM r WHERE env = 'prod'))
+UNION ALL SELECT 'not prod', 'dev', max(version) FROM r WHERE env = 'dev'
+""")
+def _(spark, sf):
+    # Production first; a version that only dev has is found there; without production the newest of dev.
+    env = F.when(F.col("o_orderpriority") == "1-URGENT", "prod").when(F.col("o_orderpriority") == "2-HIGH", "dev").otherwise("test")
+    version = F.concat(F.date_format("o_orderdate", "yyyy.MM.dd"), F.lit("."), F.lpad((F.col("o_orderkey") % 2400).cast("string"), 4, "0"))
+    rows = table(spark, sf, "orders").select(env.alias("env"), F.concat(F.lit("models/"), env, F.lit("/model_"), version).alias("path"))
+    made = rows.withColumn("version", model_version(F.col("path")))
+    alone = made.where("env = 'dev'").join(made.where("env = 'prod'").select("version").distinct(), "version", "left_anti")
+    asked = alone.agg(F.max("version")).first()[0]
+    found = [("any", registry.resolve_model(rows)), ("newest of dev", registry.resolve_model(rows, version=asked)),
+             ("not prod", registry.resolve_model(rows.where("env <> 'prod'")))]
+    parts = [one.select(F.lit(name).alias("asked"), "env", "version") for name, one in found]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("b20_model_version", """
 SELECT path, CASE WHEN o_orderstatus = 'P' THEN 'unknown' ELSE strftime(o_orderdate, '%Y.%m.%d') || '.1200' END AS version
 FROM (SELECT o_orderstatus, o_orderdate,

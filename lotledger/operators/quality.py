@@ -45,7 +45,7 @@ def _names(names: Sequence[str]) -> Column:
 
 def quality_profile(df: DataFrame, header_rows: int = 0, duplicate_rows: int = 0,
                     non_positive_rows: int = 0, category: str = "TERRENO") -> DataFrame:
-    """One row describing the clean table.
+    """One row describing the clean table, with a ``sample`` of its rows.
 
     The counts are one aggregation that combines map-side. Duplicates are
     found by grouping two row hashes, so 16 bytes per row are shuffled and
@@ -73,7 +73,8 @@ def quality_profile(df: DataFrame, header_rows: int = 0, duplicate_rows: int = 0
     repeated = copies.agg(
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicated_rows"), F.lit(1).alias("_one")
     )
-    facts = counted.join(repeated, "_one").drop("_one")  # one row each
+    sample = profile_sample(df).agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("sample"), F.lit(1).alias("_one"))
+    facts = counted.join(repeated, "_one").join(sample, "_one").drop("_one")  # one row each
     return facts.withColumns({
         "columns": _names(df.columns),
         "dtypes": F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair]),
