@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import strip
+from ..session import materialize
 from .cleaning import AREA, TARGET
 from .scale import (
     HOT_GROUP_ROWS, group_stats, largest_group, linear_edges, right_closed_bin, scalar_stats, sized_join,
@@ -187,19 +188,25 @@ def deviation_triage(sales: DataFrame, declared: str, region: str = "bairro", ar
     """
     from .metrics import with_residual_ratio
 
-    means = sales.groupBy(region).agg(F.avg(F.try_divide(price, area)).alias("_mean_m2"))
-    scored = with_residual_ratio(
-        sized_join(sales, means, [region]).withColumn("estimativa", F.col("_mean_m2") * F.col(area)), declared
-    ).drop("_mean_m2")
+    # Within a region the deviation is (declared / area) / mean - 1, so its median and spread are those of
+    # declared / area, scaled: mean and median come from one pass, the spread from a second, one join each.
+    per_area = F.try_divide(F.col(declared), F.col(area))
     largest = largest_group(sales, [region])
-    centre = group_stats(scored, [region], [], {"_median": ("desvio", 0.5)}, hot_rows, largest)
-    centred = sized_join(scored, centre, [region]).withColumn("_off", F.abs(F.col("desvio") - F.col("_median")))
-    spread = group_stats(centred, [region], [], {"_mad": ("_off", 0.5)}, hot_rows, largest)
+    centre = group_stats(sales.withColumn("_ratio", per_area), [region], [F.avg(F.try_divide(price, area)).alias("_mean_m2")],
+                         {"_centre": ("_ratio", 0.5)}, hot_rows, largest)
+    centre = materialize(centre, "centre")
+    off = F.abs(per_area - F.col("_centre"))
+    spread = group_stats(sized_join(sales, centre, [region]).select(region, off.alias("_off")), [region], [], {"_spread": ("_off", 0.5)}, hot_rows, largest)
+    facts = centre.withColumnRenamed(region, "_r").join(spread, F.col("_r").eqNullSafe(F.col(region))).select(
+        region, "_mean_m2", (F.try_divide("_centre", "_mean_m2") - 1).alias("_median"),
+        F.abs(F.try_divide("_spread", "_mean_m2")).alias("_mad"))
+    estimated = sized_join(sales, facts, [region]).withColumn("estimativa", F.col("_mean_m2") * F.col(area))
+    judged = with_residual_ratio(estimated, declared)
     z = F.try_divide(F.lit(0.6745) * (F.col("desvio") - F.col("_median")), F.col("_mad"))
-    judged = sized_join(centred, spread, [region]).withColumn("z_robusto", z)
+    judged = judged.withColumn("z_robusto", z)
     far = (F.abs("desvio") > ratio_limit) & (F.abs("z_robusto") > z_limit)
     flag = F.when(far & (F.col("desvio") < 0), "muito_abaixo").when(far, "muito_acima").otherwise("normal")
-    return judged.withColumn("sinal", flag).drop("_median", "_mad", "_off")
+    return judged.withColumn("sinal", flag).drop("_mean_m2", "_median", "_mad")
 
 
 def region_deviation(triaged: DataFrame, region: str = "bairro") -> DataFrame:
