@@ -2,20 +2,4 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-
-# Rows per batch: texts are long, and a batch stands in memory several times.
-ROWS = 1000
-BYTES = 16 << 20
-
-
-def bound(spark: SparkSession) -> None:
-    """Lower the session's batch size to what executors of a few GB hold with long texts.
-
-    The settings are read when a job runs, so they stay; they bound memory and
-    change no result. A session that has smaller batches keeps them.
-    """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= ROWS:
-        spark.conf.set(name, str(ROWS))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BYTES))
+from ..session import BATCH_BYTES as BYTES, BATCH_ROWS as ROWS, bound_batches as bound  # noqa: F401

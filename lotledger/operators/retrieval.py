@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.text import strip
-from ..session import materialize
+from ..session import bound_batches, materialize
 from .retrieval_tasks import BUCKETS, CHUNK_OVERLAP, CHUNK_SIZE, chunker, scorer, tally
 from .scale import sized_join
 
@@ -25,8 +25,10 @@ def chunk_documents(docs: DataFrame, order: str, content: str = "content", size:
 
     ``order`` is a unique numeric document key. Documents are dealt out once,
     by ranges of it; a task splits its documents in order and numbers its
-    chunks, and the chunk counts of the tasks before it are added to that.
+    chunks, and the chunk counts of the tasks before it are added to that. A
+    task holds one bounded batch of documents at a time.
     """
+    bound_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c != content]
     ordered = docs.repartitionByRange(F.col(order)).sortWithinPartitions(order).select(*keep, F.col(content).alias("content"))
     schema = docs.select(*keep).schema.add("_part", "integer").add("_local", "long").add("content", "string")
@@ -53,6 +55,7 @@ VECTOR_TYPE = "struct<buckets:array<int>,counts:array<int>>"
 
 def with_vector(df: DataFrame, text: str = "content") -> DataFrame:
     """Add ``vector``: the sparse word counts over hash buckets (never negative)."""
+    bound_batches(df.sparkSession)
     hashed = F.transform(F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")), lambda t: token_bucket(t))
     return df.withColumn("vector", F.pandas_udf(tally, VECTOR_TYPE)(hashed))
 

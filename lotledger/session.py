@@ -49,6 +49,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Rows and bytes per Arrow batch: texts are long, and a batch stands in memory several times.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to what executors of a few GB hold with long texts.
+
+    The settings are read when a job runs, so they stay; they bound memory and
+    change no result. A session that has smaller batches keeps them.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -26,6 +27,26 @@ def test_chunk_index_runs_over_the_corpus(spark):
     assert [r.chunk_index for r in rows] == list(range(len(wanted)))
 
 
+def test_workers_get_bounded_batches(spark, monkeypatch):
+    def sizes(size, overlap):
+        def run(batches):
+            for batch in batches:
+                yield batch.assign(_part=np.int32(0), _local=range(len(batch)), content=str(len(batch)))
+        return run
+
+    def counted(rows: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"buckets": [[len(rows)]] * len(rows), "counts": [[1]] * len(rows)})
+
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    monkeypatch.setattr(retrieval, "chunker", sizes)
+    monkeypatch.setattr(retrieval, "tally", counted)
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("preco do imovel").alias("content")).coalesce(1)
+    spark.conf.set(name, "10000")
+    assert retrieval.chunk_documents(docs, "doc_id").agg(F.max(F.col("content").cast("int"))).first()[0] <= 1000
+    spark.conf.set(name, "10000")
+    assert retrieval.with_vector(docs).agg(F.max(F.col("vector.buckets")[0])).first()[0] <= 1000
+
+
 def test_dense_top_k(spark):
     items = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 0.0])], "chunk_index long, vector array<double>")
     queries = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, vector array<double>")
