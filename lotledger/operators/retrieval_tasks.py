@@ -18,8 +18,8 @@ CHUNK_OVERLAP = 50
 # Vector width and split points.
 BUCKETS = 256
 SEPARATORS = ("\n\n", "\n", " ", "")
-# Score matrix cells held at once by a task.
-_CELLS = 8_000_000
+# Score matrix cells held at once by a task, several times over.
+_CELLS = 1_000_000
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 

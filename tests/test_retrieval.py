@@ -1,10 +1,12 @@
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from lotledger.operators import retrieval
-from lotledger.operators.retrieval_tasks import split_text
+from lotledger.operators.retrieval_tasks import scorer, split_text
 from lotledger.session import scratch_path
 
 
@@ -47,6 +49,17 @@ def test_workers_get_bounded_batches(spark, monkeypatch):
     assert retrieval.with_vector(docs).agg(F.max(F.col("vector.buckets")[0])).first()[0] <= 1000
 
 
+def test_scoring_holds_few_cells():
+    rng = np.random.default_rng(5)
+    items = pd.DataFrame({"chunk_index": range(3000), "vector": list(rng.random((3000, 8)))})
+    asked = pd.DataFrame({"query_id": range(3000), "vector": list(rng.random((3000, 8)))})
+    tracemalloc.start()
+    found = scorer("chunk_index", 3)(None, items, asked)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 9000 and peak < 100e6
+
+
 def test_dense_top_k(spark):
     items = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 0.0])], "chunk_index long, vector array<double>")
     queries = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, vector array<double>")
