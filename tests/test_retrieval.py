@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from lotledger.catalog import search
 from lotledger.operators import retrieval
 from lotledger.operators.retrieval_tasks import scorer, split_text
 from lotledger.session import scratch_path
@@ -60,6 +61,15 @@ def test_scoring_holds_few_cells():
     assert len(found) == 9000 and peak < 100e6
 
 
+@pytest.mark.parametrize("run", [3, 1024])
+def test_distinct_words_of_long_and_repeated_documents(spark, monkeypatch, run):
+    monkeypatch.setattr(search, "_RUN", run)
+    rows = [(1, 0, "a b\n a"), (1, 1, "a c"), (2, 2, "x"), (3, 3, "u"), (3, 4, "u v"), (3, 5, "w"), (3, 6, "u z"), (None, 7, "q"), (4, 8, " e ")]
+    got = search._distinct_words(spark.createDataFrame(rows, "doc_id long, chunk_index long, content string"))
+    assert "collect_list" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert {(r.doc_id, r.words) for r in got.collect() if r.doc_id} == {(1, 3), (2, 1), (3, 4), (4, 1)}
+
+
 def test_dense_top_k(spark):
     items = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 0.0])], "chunk_index long, vector array<double>")
     queries = spark.createDataFrame([(7, [1.0, 0.0])], "query_id long, vector array<double>")
