@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import strip
 from ..operators.cleaning import drop_incomplete, require_columns
+from ..operators.scale import sized_join
 from ..session import materialize
 from .records import cell_count, delimited_records, parse_cells
 
@@ -121,9 +122,10 @@ def read_monthly_parts(spark: SparkSession, root: str, sep: str = ";") -> DataFr
     # the scan itself passes over files without a byte, so the listing is asked
     listed = spark.createDataFrame([(path,) for path in spark.read.options(**scan).text(root).inputFiles()], "path string")
     landed = lineage(listed, F.col("path")).select(*LINEAGE).distinct()
-    # read twice below
-    records = materialize(delimited_records(spark, root, sep, scan, is_month_sheet(sheet(F.col("file")))), "records")
-    cells = lineage(records, F.col("file")).groupBy(*LINEAGE).agg(F.max(cell_count(F.col("record"), sep)).alias("w"))
+    records = delimited_records(spark, root, sep, scan, is_month_sheet(sheet(F.col("file"))))
+    # one row per file, so that names are taken apart once
+    wide = materialize(records.groupBy("file").agg(F.max(cell_count(F.col("record"), sep)).alias("w")), "widths")
+    cells = lineage(wide, F.col("file")).groupBy(*LINEAGE).agg(F.max("w").alias("w"))
     widths = landed.join(cells, list(LINEAGE), "left")
     judged = widths.agg(F.max("w").alias("w"), F.min_by(F.struct(*LINEAGE, "w"), F.coalesce("w", F.lit(0))).alias("least")).first()
     if judged["least"] is None:
@@ -131,7 +133,8 @@ def read_monthly_parts(spark: SparkSession, root: str, sep: str = ";") -> DataFr
     if (judged["least"]["w"] or 0) < MIN_COLUMNS:
         raise ValueError(f"a monthly part is empty or has an unexpected number of columns: {judged['least'].asDict()}")
     names = positional_names(max(judged["w"], len(MONTHLY_COLUMNS)))
-    return lineage(parse_cells(records, names, sep), F.col("_file")).drop("_file").na.drop("all", subset=names)
+    origin = lineage(wide.select(F.col("file").alias("_file")), F.col("_file"))
+    return sized_join(parse_cells(records, names, sep), origin, ["_file"]).drop("_file").na.drop("all", subset=names)
 
 
 def load_feature_table(df: DataFrame, required: Sequence[str], at_least: int = 10) -> DataFrame:

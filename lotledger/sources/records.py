@@ -57,6 +57,15 @@ def _lines(spark: SparkSession, path: str, options: Mapping[str, str]) -> DataFr
                         F.col("value").alias("line"))
 
 
+def _of_files(spark: SparkSession, lines: DataFrame, path: str, options: Mapping[str, str], only: Column) -> DataFrame:
+    """The lines, in their order, of files that meet ``only``, which is judged once per file."""
+    listed = spark.read.format("binaryFile").options(**options).load(path).select(F.col("_metadata.file_path").alias("file"))
+    chosen = materialize(listed.where(only).distinct(), "files")
+    if chosen.count() > BROADCAST_BLOCKS:
+        return lines.where(only)
+    return lines.join(F.broadcast(chosen), "file", "left_semi")
+
+
 def _steps(lines: DataFrame, sep: str) -> DataFrame:
     """One row per block: where it leads from ``outside`` and from ``inside``."""
     def run(batches):
@@ -141,7 +150,7 @@ def delimited_records(spark: SparkSession, path: str, sep: str = ";", options: M
     before the line break that ends a record is not part of it.
     """
     lines = _lines(spark, path, options or {})
-    lines = lines if only is None else lines.where(only)
+    lines = lines if only is None else _of_files(spark, lines, path, options or {}, only)
     opened = materialize(_opened(_steps(lines, sep)), "opened")
     own = lines.withColumn("key", F.xxhash64("file", "block"))
     side = opened.select(F.xxhash64("file", "block").alias("key"), F.lit(True).alias("open"))
@@ -150,7 +159,8 @@ def delimited_records(spark: SparkSession, path: str, sep: str = ";", options: M
     else:
         placed = own.withColumn("place", F.monotonically_increasing_id())
         marked = placed.join(side, "key", "left").repartition("file", "block").sortWithinPartitions("file", "block", "place")
-    cut = _cut(marked.select("file", "block", "line", F.coalesce("open", F.lit(False)).alias("open")), sep)
+    # read twice below, and by whoever reads the records twice
+    cut = materialize(_cut(marked.select("file", "block", "line", F.coalesce("open", F.lit(False)).alias("open")), sep), "cut")
 
     whole = cut.where(F.col("kind") == WHOLE).select("file", "first", "record")
     # at most two pieces a block; a tail begins a record
@@ -178,4 +188,5 @@ def parse_cells(records: DataFrame, names: Sequence[str], sep: str = ";") -> Dat
     """
     schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
     cells = F.from_csv("record", schema, {"sep": sep, "quote": '"', "escape": '"', "multiLine": "true"})
-    return records.select(cells.alias("c"), F.col("file").alias("_file")).select("c.*", "_file")
+    # a generator's row is made once, where a column would be parsed anew for every cell and condition
+    return records.select(F.inline(F.array(cells)), F.col("file").alias("_file"))

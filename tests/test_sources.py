@@ -233,3 +233,17 @@ def test_blocks_inside_quotes_without_a_broadcast(spark, tmp_path, monkeypatch):
     ('"a"b";"c', True, True), ("", False, True), ('a"b;"c', True, True), ('";"', False, True)])
 def test_where_a_line_leads(line, outside, inside):
     assert (records.ends_inside(line, False, ";"), records.ends_inside(line, True, ";")) == (outside, inside)
+
+
+def test_parts_are_cut_once_and_names_judged_per_file(spark, tmp_path):
+    cells = [F.concat(F.lit('a;\n"'), F.col("id").cast("string")).alias("_c0"), *[F.lit("x").alias(f"_c{i}") for i in range(1, 28)]]
+    for arquivo, aba in (("itbi um.xlsx", "JAN-2024"), ("itbi_b.xlsx", "fev-2024"), ("itbi_b.xlsx", "Resumo")):
+        sinks.write_part(spark.range(50).select(*cells), str(tmp_path), arquivo, aba)
+    got = raw.read_monthly_parts(spark, str(tmp_path))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and "url_decode" not in plan.lower() and "UrlCodec" not in plan
+    rows = got.groupBy("arquivo", "aba").agg(F.count_distinct("n_do_cadastro").alias("n")).collect()
+    assert {tuple(r) for r in rows} == {("itbi um.xlsx", "JAN-2024", 50), ("itbi_b.xlsx", "fev-2024", 50)}
+    lines = records._lines(spark, str(tmp_path), {"recursiveFileLookup": "true"})
+    picked = records._of_files(spark, lines, str(tmp_path), {"recursiveFileLookup": "true"}, F.col("file").contains("Resumo"))
+    assert picked.count() == 100 and "Contains" not in picked._jdf.queryExecution().optimizedPlan().toString()
