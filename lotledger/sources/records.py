@@ -66,6 +66,11 @@ def _of_files(spark: SparkSession, lines: DataFrame, path: str, options: Mapping
     return lines.join(F.broadcast(chosen), "file", "left_semi")
 
 
+def _rows(batch):
+    """Rows of an Arrow batch without nulls, converted by column."""
+    return zip(*(c.to_numpy(zero_copy_only=False).tolist() for c in batch.columns), strict=True)
+
+
 def _steps(lines: DataFrame, sep: str) -> DataFrame:
     """One row per block: where it leads from ``outside`` and from ``inside``."""
     def run(batches):
@@ -76,7 +81,7 @@ def _steps(lines: DataFrame, sep: str) -> DataFrame:
 
         last, states = None, (False, True)
         for batch in batches:
-            for file, block, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for file, block, line in _rows(batch):
                 if (file, block) != last:
                     if last:
                         yield row(last, states)
@@ -117,13 +122,17 @@ def _cut(lines: DataFrame, sep: str) -> DataFrame:
         schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("kind", pa.string()), ("first", pa.bool_()), ("record", pa.string())])
         last, inside, begun, held, first = None, False, False, [], False
 
+        def table(made):
+            columns = list(zip(*made, strict=True)) or [()] * len(schema)
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
+
         def rest():
             # what the block's end leaves open; nothing follows a file's last block
             return [(*last, TAIL if begun else MIDDLE, first, "\n".join(held))] if held else []
 
         for batch in batches:
             made = []
-            for file, block, line, opened in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for file, block, line, opened in _rows(batch):
                 if (file, block) != last:
                     made += rest()
                     last, inside, begun, held, first = (file, block), opened, not opened, [], block == 0
@@ -132,8 +141,8 @@ def _cut(lines: DataFrame, sep: str) -> DataFrame:
                 if not inside:
                     made.append((file, block, WHOLE if begun else HEAD, first, "\n".join(held)))
                     begun, held, first = True, [], False
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in made], schema)
-        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rest()], schema)
+            yield table(made)
+        yield table(rest())
 
     return lines.mapInArrow(run, "file string, block long, kind string, first boolean, record string")
 
