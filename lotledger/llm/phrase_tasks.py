@@ -16,8 +16,10 @@ _TO_BREAK = bytes.maketrans(_ENDS, _BREAK * len(_ENDS))
 _END = re.compile(rb"[.,;:!?\x0a-\x0d]")
 # Bytes of a text handled at once (a piece is never cut), words counted together, words with a number.
 BLOCK, TOKENS, VOCABULARY = 4 << 20, 4_000_000, 1 << 20
-# Places hashed at once.
-CHUNK = 1 << 18
+# Places hashed at once; phrases spelled out at once.
+CHUNK, SLICE = 1 << 18, 1 << 16
+# Bits of a hash that name its bucket, and buckets sent at once.
+BUCKET_BITS, BUCKETS_SENT = 12, 256
 _BITS = np.uint64(21)  # three word numbers share one 64-bit code
 _LOW = np.uint64((1 << 21) - 1)
 
@@ -64,10 +66,19 @@ class Grams:
     def __init__(self, size: int, codes: np.ndarray, counts: np.ndarray, hashes: np.ndarray, words: list):
         self.size, self.counts, self.hashes, self._codes, self._words = size, counts, hashes, codes, words
 
+    def slices(self, rows: int = SLICE) -> Iterator[tuple]:
+        """(phrases, counts) as Arrow arrays, so many at a time."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        words = pa.array(self._words, pa.large_binary())
+        for at in range(0, len(self.counts), rows):
+            ids = _split(self._codes[at:at + rows], self.size)
+            said = pc.binary_join_element_wise(*[words.take(pa.array(ids[:, k])) for k in range(self.size)], pa.scalar(b" ", pa.large_binary()))
+            yield said.cast(pa.large_string()).cast(pa.string()), pa.array(self.counts[at:at + rows], pa.int64())
+
     def phrases(self) -> list[str]:
-        ids = _split(self._codes, self.size)
-        words = self._words
-        return [b" ".join([words[i] for i in row]).decode() for row in ids.tolist()]
+        return [phrase for said, _ in self.slices() for phrase in said.to_pylist()]
 
 
 def _split(codes: np.ndarray, size: int) -> np.ndarray:
@@ -137,6 +148,25 @@ class Counter:
         return Grams(size, found, counts, gram_hashes([hashed[split[:, k]] for k in range(size)], seed), words)
 
 
+def bucketed(hashes: np.ndarray, counts: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """(buckets, the sorted hashes of each as bytes), every hash as often as it counts, at most ``most`` times."""
+    every = np.sort(np.repeat(hashes, np.minimum(counts, most)))
+    edges = np.searchsorted(every >> np.uint64(64 - BUCKET_BITS), np.arange((1 << BUCKET_BITS) + 1, dtype=np.uint64))
+    filled = np.flatnonzero(np.diff(edges))
+    for at in range(0, len(filled), BUCKETS_SENT):
+        some = filled[at:at + BUCKETS_SENT]
+        yield some, [every[edges[b]:edges[b + 1]].tobytes() for b in some.tolist()]
+
+
+def reaching(parts: Iterable[list[bytes]], least: int) -> np.ndarray:
+    """The hashes that stand ``least`` times or more in one of the ``parts`` (pieces as of :func:`bucketed`) of a bucket."""
+    found = []
+    for pieces in parts:
+        every = np.sort(np.frombuffer(b"".join(pieces), np.uint64))
+        found.append(every[:max(len(every) - least + 1, 0)][every[:max(len(every) - least + 1, 0)] == every[least - 1:]])
+    return np.unique(np.concatenate(found))
+
+
 class HashFilter:
     """A Bloom filter in blocks: it holds every hash put in, and few others."""
 
@@ -163,7 +193,10 @@ class HashFilter:
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         block = (hashes % np.uint64(self.count)).astype(np.int64)
-        found = np.ones(len(hashes), bool)
+        left = np.arange(len(hashes))  # what all probes so far found
         for at in self.places(hashes):
-            found &= (self.bits[block, at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+            at = at[left]
+            left = left[(self.bits[block[left], at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0]
+        found = np.zeros(len(hashes), bool)
+        found[left] = True
         return found

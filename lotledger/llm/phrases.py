@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..operators.scale import sized_join
 from ..session import materialize
 from .batches import bound
-from .phrase_tasks import Counter, HashFilter
+from .phrase_tasks import Counter, HashFilter, bucketed, reaching
 
 # A phrase counts from this support on; the corpus is mined in so many shards.
 SUPPORT, SHARDS = 10, 4
@@ -42,25 +42,45 @@ def _mine(texts: DataFrame, sizes: tuple[int, ...], shards: int, local: int, pai
     completely. ``pairs``: filter of pair hashes, for n-grams of three words.
     """
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         shard = TaskContext.get().partitionId() % shards
         counter = Counter(sizes, pairs.value if pairs else None)
 
         def rows(found):
-            for _, size, grams in found:
-                if size:
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(grams.hashes.view("int64")), pa.array(grams.counts, pa.int64()),
-                        pa.array([shard] * len(grams.counts), pa.int8())], names=["h", "c", "shard"])
+            # the phrases of a stretch of texts, a row per bucket of hashes: single phrases would cost a row each
+            made = [grams for _, size, grams in found if size]
+            if not made:
+                return
+            for buckets, packed in bucketed(np.concatenate([g.hashes for g in made]), np.concatenate([g.counts for g in made]), local):
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(buckets, pa.int32()), pa.array([shard] * len(packed), pa.int32()), pa.array(packed, pa.binary())], names=["bucket", "shard", "hashes"])
 
         for batch in batches:
             for language, said in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 yield from rows(counter.add(language, said))
         yield from rows(counter.flush())
 
-    counted = texts.mapInArrow(run, "h long, c long, shard byte")
-    return counted.groupBy("h", "shard").agg(F.sum("c").alias("c")).where(F.col("c") >= local).select("h").distinct()
+    def reach(batches):
+        import pyarrow as pa
+
+        def batch_of(pieces):
+            return pa.RecordBatch.from_arrays([pa.array(reaching(pieces.values(), local).view("int64"))], names=["h"])
+
+        last, pieces = None, {}
+        for batch in batches:
+            for bucket, shard, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != last and pieces:
+                    yield batch_of(pieces)
+                    pieces = {}
+                last = bucket
+                pieces.setdefault(shard, []).append(packed)
+        if pieces:
+            yield batch_of(pieces)
+
+    counted = texts.mapInArrow(run, "bucket int, shard int, hashes binary")
+    return counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(reach, "h long")
 
 
 def _filter(hashes: DataFrame, bits: int = FILTER_BITS, most: int = MOST_BITS):
@@ -92,10 +112,10 @@ def _count(texts: DataFrame, held) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([language]), pa.array([0], pa.int32()), pa.array([""]), pa.array([grams], pa.int64())],
                                                      names=["lang", "size", "phrase", "c"])
                     continue
-                said = grams.phrases()
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([language] * len(said), pa.string()), pa.array([size] * len(said), pa.int32()), pa.array(said, pa.string()),
-                    pa.array(grams.counts, pa.int64())], names=["lang", "size", "phrase", "c"])
+                for said, counts in grams.slices():
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([language] * len(said), pa.string()), pa.array([size] * len(said), pa.int32()), said, counts],
+                        names=["lang", "size", "phrase", "c"])
 
         for batch in batches:
             for language, said in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

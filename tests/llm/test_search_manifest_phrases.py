@@ -251,6 +251,26 @@ def test_stretches_and_blocks_count_alike(monkeypatch):
     assert b"".join(phrase_tasks.blocks(texts[0])) == texts[0]
 
 
+@pytest.mark.parametrize("least", [1, 3])
+def test_packed_hashes_reach_their_support_in_a_part(least):
+    # a task's phrases leave it as a row per bucket at most, however many they are
+    rng = np.random.default_rng(7)
+    parts, want, rows = {}, set(), 0
+    for part in range(2):
+        total = Counter()
+        for _ in range(3):
+            hashes = np.unique(rng.integers(0, 1 << 63, 30_000).astype(np.uint64)[:20_000] // np.uint64(1 << 49) * np.uint64((1 << 50) + 1))
+            counts = rng.integers(1, 4, len(hashes))
+            total.update(dict(zip(hashes.tolist(), counts.tolist(), strict=True)))
+            sent = [(b, packed) for some in phrase_tasks.bucketed(hashes, counts, least) for b, packed in zip(some[0].tolist(), some[1], strict=True)]
+            assert len(sent) == len({b for b, _ in sent}) <= 1 << phrase_tasks.BUCKET_BITS < len(hashes)
+            for b, packed in sent:
+                parts.setdefault(b, {}).setdefault(part, []).append(packed)
+        want |= {h for h, n in total.items() if n >= least}
+    got = [h for b in parts for h in phrase_tasks.reaching(parts[b].values(), least).tolist()]
+    assert len(got) == len(set(got)) and set(got) == want and 0 < len(want)
+
+
 @pytest.mark.parametrize("support,shards", [(10, 4), (10, 1), (10, 9), (10, 30), (1, 4), (7, 3)])
 def test_no_spread_of_occurrences_escapes_the_local_support(support, shards):
     local = phrases.local_support(support, shards)
