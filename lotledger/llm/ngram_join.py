@@ -17,6 +17,10 @@ from .ngram_tasks import LONGS, Plan, distance, long_sketch, shared, shingle_set
 BROADCAST_NODES = 500_000
 # A turn with new centers is followed by another if one in so many comparisons found a link.
 PAYING = 8
+# Centers that every key tries in a turn; a turn's jobs cost more than its pairs where keys are small.
+CENTERS = 4
+# Pairs up to which whole sets are compared at once, without long sketches first.
+FEW_PAIRS = 20_000
 # Texts that one partition remembers as already sketched; affects volume only.
 REMEMBERED = 1_000_000
 SKETCH = [f"_s{i}" for i in range(LONGS)]
@@ -147,7 +151,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent:
     """Links (a, b) among ``pairs`` (of ``_h``) by the exact size of the intersection, as ``_node``.
 
     Long sketches, a tenth of the sets' bytes, meet the pairs first; whole
-    sets are made only for pairs that these do not rule out.
+    sets are made only for pairs that these do not rule out. Up to
+    ``FEW_PAIRS`` go to the sets directly.
     """
     limit = Plan(percent).pair_limit
 
@@ -173,11 +178,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, text: str, size: int, percent:
     def side(table: DataFrame, key: str, name: str) -> DataFrame:
         return table.select(F.col(key).alias(name), F.col("_node").alias(f"n{name}"), F.col("_size").alias(f"s{name}"), F.col("_made").alias(f"m{name}"))
 
-    sketches = _stored(pairs, "_h", docs, text, size, "long-sketches", long_sketch)
-    met = pairs.join(side(sketches, "_h", "a"), "a").join(side(sketches, "_h", "b"), "b")
-    near = materialize(met.select("na", "nb", "sa", "sb", "ma", "mb").mapInArrow(close, "a string, b string"), "near")
-    sets = _stored(near, "_node", docs, text, size, "sets", bytes)
-    met = near.join(side(sets, "_node", "a"), "a").join(side(sets, "_node", "b"), "b")
+    if pairs.count() <= FEW_PAIRS:
+        sets = _stored(pairs, "_h", docs, text, size, "sets", bytes)
+        met = pairs.join(side(sets, "_h", "a"), "a").join(side(sets, "_h", "b"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"), "ma", "mb")
+    else:
+        sketches = _stored(pairs, "_h", docs, text, size, "long-sketches", long_sketch)
+        met = pairs.join(side(sketches, "_h", "a"), "a").join(side(sketches, "_h", "b"), "b")
+        near = materialize(met.select("na", "nb", "sa", "sb", "ma", "mb").mapInArrow(close, "a string, b string"), "near")
+        sets = _stored(near, "_node", docs, text, size, "sets", bytes)
+        met = near.join(side(sets, "_node", "a"), "a").join(side(sets, "_node", "b"), "b")
     return materialize(met.select("a", "b", "ma", "mb").mapInArrow(verify, "a string, b string"), "links")
 
 
@@ -185,9 +194,23 @@ def _apart(members: DataFrame, infos: DataFrame, links: DataFrame) -> DataFrame:
     """Members, with sizes, sketches and components, of the keys whose members ``links`` leave in several components."""
     found = components(links).select(F.col("node").alias("_node"), F.col("component").alias("_comp"))
     labelled = infos.select(F.col("_h").alias("h"), "_node").join(found, "_node", "left").withColumn("_comp", F.coalesce("_comp", "_node"))
-    placed = materialize(members.select("key", "h").distinct().join(labelled, "h"), "placed")
+    placed = _several(materialize(members.select("key", "h").distinct().join(labelled, "h"), "placed"))
+    return materialize(placed.join(infos.drop("_h"), "_node"), "apart")
+
+
+def _several(placed: DataFrame) -> DataFrame:
+    """The members of keys that have several components."""
     several = placed.groupBy("key").agg(F.min("_comp").alias("_least"), F.max("_comp").alias("_most")).where("_least <> _most")
-    return materialize(placed.join(several.select("key"), "key", "left_semi").join(infos.drop("_h"), "_node"), "apart")
+    return placed.join(several.select("key"), "key", "left_semi")
+
+
+def _still_apart(apart: DataFrame, more: DataFrame) -> DataFrame:
+    """What :func:`_apart` would leave with the links ``more`` added; only the components that these join are found anew."""
+    of = apart.select("_node", "_comp").distinct()
+    end = lambda name: of.select(F.col("_node").alias(name), F.col("_comp").alias(f"_c{name}"))
+    moved = components(more.join(end("a"), "a").join(end("b"), "b"), "_ca", "_cb").select(F.col("node").alias("_comp"), "component")
+    joined = apart.join(moved, "_comp", "left").withColumn("_comp", F.coalesce("component", "_comp")).drop("component")
+    return materialize(_several(materialize(joined, "placed")), "apart")
 
 
 def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text", size: int = 5, percent: int = 80):
@@ -210,14 +233,15 @@ def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
     pairs = pairs.join(side("a"), "a").join(side("b"), "b").where(_near("ia", "ib", percent)).select("a", "b").distinct()
     links = _verified(materialize(pairs, "pairs"), docs, text, size, percent)
 
-    # keys whose members are still apart: another center in every turn, while that joins many
+    # keys whose members are still apart: other centers in every turn, while that joins many
     apart, turn, pays = _apart(members, infos, links), 0, True
     crossing = F.col("x._comp") != F.col("y._comp")
     ends = F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")
     while pays and apart.limit(1).count():
         turn += 1
-        chosen = F.min_by(F.struct("h", "_comp", "n_shingles", *SKETCH), F.xxhash64("h", F.lit(turn))).alias("c")
-        centers = apart.groupBy("key").agg(chosen).select("key", "c.*")
+        member = F.struct("h", "_comp", "n_shingles", *SKETCH)
+        chosen = F.array_distinct(F.array(*[F.min_by(member, F.xxhash64("h", F.lit(turn * CENTERS + i))) for i in range(CENTERS)])).alias("c")
+        centers = apart.groupBy("key").agg(chosen).select("key", F.explode("c").alias("c")).select("key", "c.*")
         met = apart.alias("x").join(centers.alias("y"), (F.col("x.key") == F.col("y.key")) & crossing & _near("x", "y", percent))
         pairs = materialize(met.select(*ends).distinct(), "pairs")
         tried = pairs.count()
@@ -228,7 +252,7 @@ def join(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text: str = "text",
         pays = found * PAYING >= tried
         if found:
             links = links.unionByName(more)
-            apart = _apart(apart, infos, links)
+            apart = _still_apart(apart, more)
 
     if not apart.limit(1).count():
         return rows, links

@@ -310,6 +310,20 @@ def test_crowded_keys_take_turns_and_lose_no_link(spark):
     assert got == want and 3 < len(set(want.values())) < 110
 
 
+@pytest.mark.parametrize("few", [-1, 20_000])
+def test_turns_try_several_centers(spark, monkeypatch, few):
+    """Chains in one key: turns compare few pairs with whole sets at once, and every turn tries several centers."""
+    labels, plain = [], ngram_join.materialize
+    monkeypatch.setattr(ngram_join, "materialize", lambda df, label: labels.append(label) or plain(df, label))
+    monkeypatch.setattr(ngram_join, "FEW_PAIRS", few)
+    texts = [" ".join([f"e{k}_{i}" if i % 40 < min(k, 4) else f"b{i}" for i in range(120)]) for k in range(8)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = dict(enumerate(linked([sets_of(t, 4) for t in texts], 85)))
+    got = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(df, size=4, percent=85).collect()}
+    assert got == want
+    assert ("long-sketches" in labels) == (few < 0) and labels.count("pairs") <= 3
+
+
 def test_components_of_chains_and_loops(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 102), (102, 100), (200, 200)]
     out = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
