@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.payload import model_version
@@ -67,11 +69,25 @@ def fit_linear(df: DataFrame, features: str, target: str, reg_param: float = 0.0
     never leaves the span of the centred features, so of all least-squares
     solutions it finds the one of least norm (of standardized coefficients);
     an unseen category is then priced near the mean of the seen ones.
+
+    Rows of one design enter as one, with their mean and their number as its
+    weight: the sums of squares differ by a constant, and a step of the
+    iteration passes over the designs instead of all rows.
     """
+    # a missing target in any row stays missing, so the fit refuses it
+    mean = F.when(F.count(target) == F.count(F.lit(1)), F.avg(target))
+    designs = df.groupBy(features).agg(mean.alias("_mean"), F.count(F.lit(1)).cast("double").alias("_rows"))
+    if reg_param:
+        # the penalty scales with the label's deviation, which means have less of
+        designs = materialize(designs, "designs")
+        label = array_to_vector(F.array(F.coalesce("_mean", F.lit(0.0))))
+        kept = designs.agg(Summarizer.std(label, F.col("_rows")).alias("s")).first()["s"]
+        whole = df.agg(F.stddev_samp(target)).first()[0]
+        reg_param *= kept[0] / whole if kept is not None and kept[0] and whole else 1.0
     model = LinearRegression(
-        featuresCol=features, labelCol=target, regParam=reg_param, elasticNetParam=0.0, standardization=False,
+        featuresCol=features, labelCol="_mean", weightCol="_rows", regParam=reg_param, elasticNetParam=0.0, standardization=False,
         solver="l-bfgs", maxIter=MAX_STEPS, tol=1e-9,
-    ).fit(df)
+    ).fit(designs)
     if model.summary.totalIterations >= MAX_STEPS:
         raise ValueError(f"linear fit did not converge in {MAX_STEPS} steps")
     return model

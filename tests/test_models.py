@@ -72,3 +72,19 @@ def test_promotion(spark, mae, max_mae, active, pct, approved, reason):
     current = spark.createDataFrame(rows, "env string, validation_mae double, train_mae double")
     row = serving.promotion_decisions(candidates, current, max_mae, pct).first()
     assert (row["approved"], row["reason"]) == (approved, reason)
+
+
+def test_linear_fit_passes_over_designs_and_not_over_rows(spark, monkeypatch):
+    from pyspark.ml.regression import LinearRegression
+
+    fitted, plain = [], LinearRegression.fit
+    monkeypatch.setattr(LinearRegression, "fit", lambda self, df: fitted.append(df.count()) or plain(self, df))
+    rows = [(float(i % 5), 3.0 * (i % 5) + 7 + (i // 5) % 2) for i in range(200)]
+    df = VectorAssembler(inputCols=["x"], outputCol="features").transform(spark.createDataFrame(rows, "x double, y double"))
+    model = training.fit_linear(df, "features", "y")
+    assert fitted == [5] and abs(model.coefficients[0] - 3) < 1e-6 and abs(model.intercept - 7.5) < 1e-6
+    alpha = 100.0  # beside sums of squares: 400 in x and 1200 in x and y
+    ridge = training.fit_linear(df, "features", "y", training.ridge_reg_param(df, "y", alpha))
+    assert abs(ridge.coefficients[0] - 1200 / (400 + alpha)) < 1e-6
+    with pytest.raises(Exception, match="(?i)null"):
+        training.fit_linear(df.unionByName(df.limit(1).withColumn("y", F.lit(None).cast("double"))), "features", "y")
