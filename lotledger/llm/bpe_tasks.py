@@ -12,10 +12,11 @@ from operator import itemgetter
 import numpy as np
 import regex
 
-# Entries that a task remembers before it starts anew; affects speed only.
-REMEMBERED = 500_000
+# Words and pieces that a task remembers before it starts anew; affects speed only. A piece is
+# needed again only by words not met before, so fewer of them are kept.
+REMEMBERED, PIECES = 150_000, 20_000
 # Characters of a text that are split at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 # Bytes of a piece up to which pieces are merged together.
 LOCKSTEP = 65
 NONE = (1 << 31) - 1
@@ -206,8 +207,10 @@ class Coder:
         block in which every space is of that kind is taken from space to
         space; others go through the pattern whole.
         """
-        if len(self.chunks) > REMEMBERED or len(self.pieces) > REMEMBERED:
+        if len(self.chunks) > REMEMBERED:
             self.forget()
+        elif len(self.pieces) > PIECES:
+            self.pieces = {}
         split, new = [], set()
         for block in blocks:
             parts = block.split(" ")

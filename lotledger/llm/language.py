@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..session import local_table
 from .batches import bound
 
 # The network is fitted on at most this many labelled rows per language, and on one
@@ -56,7 +57,7 @@ def _cut(distinct: int, per_label: int) -> int | None:
 def _least(rows: DataFrame, cuts: dict, per_label: int) -> list:
     """(piece, label) of the least hashes of the labels in ``cuts``, none above its label's cut (None: all)."""
     schema = T.StructType([T.StructField("_l", rows.schema["_l"].dataType), T.StructField("_cut", T.LongType())])
-    side = rows.sparkSession.createDataFrame(list(cuts.items()), schema)
+    side = local_table(rows.sparkSession, list(cuts.items()), schema)
     passed = rows.join(F.broadcast(side), "_l").where(F.col("_cut").isNull() | (F.col("_k") <= F.col("_cut")))
     place = F.row_number().over(Window.partitionBy("_l").orderBy("_k", "_t"))
     top = passed.select("_l", "_k", "_t").distinct().withColumn("_place", place).where(F.col("_place") <= per_label)

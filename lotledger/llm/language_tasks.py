@@ -14,8 +14,8 @@ import numpy as np
 HIDDEN = 8
 # Bytes per window; a text's windows follow one another, the last one is padded.
 WINDOW = 128
-# Windows that go through the network together.
-TOGETHER = 4096
+# Windows that go through the network together; their states take 8 KB each.
+TOGETHER = 1024
 STEPS, BATCH, RATE = 240, 128, 0.02
 # Bytes of letters: ASCII letters and all parts of non-ASCII characters.
 LETTER = np.array([65 <= b <= 90 or 97 <= b <= 122 or b >= 128 for b in range(256)])

@@ -20,8 +20,8 @@ _BYTES[65:91] = _BYTES[97:123]
 # A random number for every bit of a segment of a sketch.
 _BITS = _RNG.integers(1, 1 << 63, 1 << 16, np.uint64)
 BASE = int(_ODD[0]) | 1
-# Bytes that are split into words at a time.
-BLOCK = 1 << 20
+# Bytes that are split into words at a time; a pass holds some 70 bytes for each.
+BLOCK = 1 << 18
 # Longs of the short sketch that filters candidate pairs.
 LONGS = 8
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..session import materialize
+from ..session import local_table, materialize
 from .boosting import boost, calibrated_threshold, margin
 from .native import refuse_clashes
 
@@ -75,6 +75,7 @@ LABELLED_SPANS = (
     ("secret", "", "aaaaaaaaaaaaaaaaaaaa1", "", 0), ("secret", "----", "================1", "", 0),
     ("secret", "sum ", "12345678901234567890", " of", 0), ("secret", "the ", "thinblerethationing7", " x", 0),
 )
+LABELLED_SCHEMA = T.StructType([*[T.StructField(c, T.StringType()) for c in ("kind", "before", "m", "after")], T.StructField("label", T.IntegerType())])
 PRECISION = 0.95
 
 
@@ -159,7 +160,7 @@ class Selector:
     """Boosted trees over span features with a calibrated threshold."""
 
     def __init__(self, spark: SparkSession, labelled: Sequence[tuple] = LABELLED_SPANS, precision: float = PRECISION):
-        table = spark.createDataFrame(list(labelled), "kind string, before string, m string, after string, label int")
+        table = local_table(spark, list(labelled), LABELLED_SCHEMA)
         named = [F.col(c) for c in ("kind", "m", "before", "after")]
         rows = table.select(F.array(*features(*named)).alias("x"), "label").collect()  # the labelled table is small
         x, y = [list(r["x"]) for r in rows], [r["label"] for r in rows]

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 # Settings the operators are written for. Adaptive execution coalesces small
 # shuffle partitions, turns a join whose measured side is small into a
@@ -65,6 +65,20 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """The driver's few rows as a table of its plan.
+
+    They go through Arrow: a list given to ``createDataFrame`` is turned into
+    rows by Python workers, which then stand on the executors beside others.
+    """
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    kinds = to_arrow_schema(schema)
+    columns = [pa.array([row[i] for row in rows], kind.type) for i, kind in enumerate(kinds)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=kinds), schema)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

@@ -12,7 +12,7 @@ import tiktoken
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from lotledger.llm import bpe, embeddings, hnsw, language, ngram_join, quality
+from lotledger.llm import bpe, embeddings, hnsw, language, ngram_join, pii, quality
 from lotledger.llm.bpe_tasks import Coder, merge, parse_ranks
 from lotledger.llm.components import components
 from lotledger.llm.language_tasks import Network, gradients, train
@@ -46,6 +46,46 @@ def test_tree_of_one_piece_equals_trees_together(known):
     assert [np.frombuffer(t, "<u4").tolist() for t in together] == [merge(p, ranks) for p in pieces]
 
 
+def test_tables_of_the_coder_stay_small():
+    coder, rng = Coder(RAW, public_tokenizers.PATTERN), random.Random(5)
+    texts = [" ".join("".join(rng.choices("thernoaisdlu", k=9)) for _ in range(10_000)) for _ in range(40)]
+    held = 0
+    for blocks in coder.each(texts):
+        assert sum(map(len, blocks))
+        held = max(held, len(coder.chunks) + len(coder.pieces))
+    assert held < 300_000
+
+
+def test_passes_of_a_worker_stay_small():
+    import tracemalloc
+
+    from lotledger.llm import ngram_tasks
+
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("thernoaisdlu", k=5)) for _ in range(1000)) for _ in range(300)]
+    net = Network(["de", "en", "fr", "es", "it"])
+    ngram_tasks._powers.cache_clear()
+    for run in (lambda: net.predict(texts, "und"), lambda: sum(map(len, shingle_sets(texts, 5)))):
+        tracemalloc.start()
+        run()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 36 << 20
+
+
+def test_small_tables_start_no_python_workers(spark, monkeypatch):
+    rows = spark.createDataFrame([(f"sehr gut {i}", "de") for i in range(60)] + [("bien", None), ("1", "fr")], "text string, lang string")
+    rows, none = rows.localCheckpoint(), rows.where("false").localCheckpoint()
+
+    def refuse(*_, **__):
+        raise AssertionError("Python workers for rows of the driver")
+
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    assert len(language.training_rows(rows, "text", "lang", 10, F.xxhash64("text"))) == 10
+    assert language.training_rows(none, "text", "lang", 10, F.xxhash64("text")) == []
+    assert len(pii.Selector(spark).trees)
+
+
 def test_token_digests_and_round_trip(docs, no_docs, known):
     kept = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     for r in bpe.digest(docs).collect():
