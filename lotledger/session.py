@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
@@ -65,6 +67,18 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+@contextmanager
+def byte_bound_batches(spark: SparkSession, held: int) -> Iterator[None]:
+    """Arrow batches of at most ``held`` bytes (and one row at least) in the jobs that run inside."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(held))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
     """The driver's few rows as a table of its plan.
 
@@ -79,13 +93,13 @@ def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) ->
     return spark.createDataFrame(pa.Table.from_arrays(columns, schema=kinds), schema)
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+def materialize(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage in a way that survives lost executors, and makes a result
-    that two branches read identical for both.
+    that two branches read identical for both. ``options`` are the writer's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -86,3 +86,44 @@ def test_many_values_are_cut_at_quantiles(spark):
     assert got < 50  # quantiles are approximate
     with pytest.raises(ValueError):
         forest.grow(df.limit(0), "y", ["a"], trees=1)
+
+
+def test_weights_are_drawn_as_spark_hashes(spark):
+    for seed in (42, -7, 2 ** 40):
+        u = (F.xxhash64("id", F.col("t").cast("int"), F.lit(seed)) / F.lit(2.0 ** 64)) + 0.5
+        drawn = F.size(F.filter(F.lit(forest._POISSON), lambda p: p < u))
+        df = spark.range(-3, 60).unionByName(spark.range(2 ** 33, 2 ** 33 + 5)).crossJoin(spark.range(1, 4).withColumnRenamed("id", "t"))
+        rows = sorted(map(tuple, df.select("t", "id", drawn).collect()))
+        ids = np.array([i for t, i, _ in rows if t == 1])
+        assert forest.draw_weights(ids, 3, seed).ravel().tolist() == [w for _, _, w in rows]
+
+
+@pytest.mark.parametrize("dense", [0, 10 ** 6])
+def test_blocks_spread_codes_and_two_categories_give_the_plain_tree(spark, rows, monkeypatch, dense):
+    df, x, code, y = rows
+    monkeypatch.setattr(forest, "BLOCK_ROWS", 30)
+    monkeypatch.setattr(forest, "SPREAD", 20)  # a code of more than 30 rows is spread
+    monkeypatch.setattr(forest, "DENSE_CELLS", dense)
+    two = df.withColumn("other", F.lit("same"))
+    want = forest.grow(df, "y", ["a", "b"], ["cep"], trees=1, depth=3, bootstrap=False)[0][0]
+    got = forest.grow(two, "y", ["a", "b"], ["cep", "other"], trees=1, depth=3, bootstrap=False)[0][0]
+    assert (got.column, got.cut, got.child, got.rows) == (want.column, want.cut, want.child, want.rows)
+    model = forest.ForestModel([got], ["a", "b"], ["cep", "other"])
+    found = {r["id"]: r["prediction"] for r in model.transform(two).collect()}
+    codes = {r["id"]: r["c"] for r in df.select("id", F.xxhash64("cep").alias("c")).collect()}
+    cuts = [sorted(set(x[:, c]))[:-1] for c in range(2)]
+    assert np.allclose([found[i] for i in range(600)], plain_tree(x, np.array([codes[i] for i in range(600)]), y, cuts, 3))
+
+
+def test_a_level_hands_on_no_sum_per_category(spark, monkeypatch):
+    sums, stored = [], forest.materialize
+
+    def kept(df, label, **options):
+        out = stored(df, label, **options)
+        sums.extend([out.count()] if label == "sums" else [])
+        return out
+
+    monkeypatch.setattr(forest, "materialize", kept)
+    df = spark.range(2000).selectExpr("cast(id % 3 as double) a", "concat('c', id % 1000) cep", "cast(id % 3 * 10 + id % 1000 % 2 as double) y")
+    forest.grow(df.coalesce(1), "y", ["a"], ["cep"], trees=1, depth=2, bootstrap=False)
+    assert max(sums) < 100
