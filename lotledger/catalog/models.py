@@ -20,7 +20,8 @@ h AS (SELECT d.*, row_number() OVER (ORDER BY ano, mes, id) <= n - greatest(1, C
 
 
 def _sides(spark, sf):
-    split = materialize(temporal_holdout(deals(spark, sf), "id"), "split")
+    rows = materialize(deals(spark, sf), "deals")  # read by every pass of the split
+    split = materialize(temporal_holdout(rows, "id"), "split")
     return split.where("split = 'train'"), split.where("split = 'test'")
 
 
@@ -32,7 +33,7 @@ def _(spark, sf):
 
     train, test = _sides(spark, sf)
     prepared = Pipeline(stages=training.feature_stages()).fit(train)
-    labels = len(prepared.stages[0].labelsArray[0])
+    labels = prepared.stages[0].sizes()[0]
     return prepared.stages[0].transform(test).select("id", (F.col("cep_index") < labels).alias("known"))
 
 

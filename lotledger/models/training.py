@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.stat import Summarizer
@@ -21,6 +21,7 @@ from ..operators.splits import backtest_periods, period_range, temporal_holdout
 from ..session import materialize
 from .forest import ForestModel, grow
 from .linear import backtest_codes, fit_codes
+from .vectors import CodeAssembler, CodeIndexer, CodeOneHot, fit_wide, width
 
 # The model's columns.
 CATEGORICAL = ("cep",)
@@ -30,28 +31,25 @@ TARGET = "valor_venal_de_referencia"
 METRICS = ("mae", "median_absolute_error", "p95_absolute_error", "bias", "r2")
 # Steps in which a linear fit must converge.
 MAX_STEPS = 500
+# Columns up to which the coefficients of a linear fit are the driver's.
+HELD_COLUMNS = 100_000
 
 
 def feature_stages(categorical: Sequence[str] = CATEGORICAL, numeric: Sequence[str] = NUMERIC) -> list:
     """One-hot categories plus numerics as they are.
 
     The indexer's extra slot for unseen categories is the one the encoder
-    drops, so an unseen category is the zero vector.
+    drops, so an unseen category is the zero vector. Labels are a table.
     """
-    index = StringIndexer(
-        inputCols=list(categorical), outputCols=[f"{c}_index" for c in categorical], handleInvalid="keep"
-    )
-    onehot = OneHotEncoder(
-        inputCols=[f"{c}_index" for c in categorical], outputCols=[f"{c}_onehot" for c in categorical], dropLast=True
-    )
-    inputs = [f"{c}_onehot" for c in categorical] + list(numeric)
-    return [index, onehot, VectorAssembler(inputCols=inputs, outputCol="features")]
+    index = CodeIndexer(list(categorical), [f"{c}_index" for c in categorical])
+    onehot = CodeOneHot([f"{c}_index" for c in categorical], [f"{c}_onehot" for c in categorical])
+    return [index, onehot, CodeAssembler([f"{c}_onehot" for c in categorical] + list(numeric), "features")]
 
 
 def unseen_rate(model: PipelineModel, df: DataFrame, column: str = "cep") -> DataFrame:
     """Share of rows whose category the model never saw."""
     indexer = model.stages[0]
-    known = len(indexer.labelsArray[indexer.getInputCols().index(column)])
+    known = indexer.sizes()[indexer.getInputCols().index(column)]
     indexed = indexer.transform(df)
     return indexed.agg(F.avg((F.col(f"{column}_index") >= known).cast("int")).alias("unseen_rate"))
 
@@ -63,9 +61,10 @@ def mean_model(train: DataFrame, target: str = TARGET) -> PipelineModel:
 
 
 def fit_linear(df: DataFrame, features: str, target: str, reg_param: float = 0.0):
-    """Least squares with an L2 penalty on unscaled coefficients, by one solver at every width.
+    """Least squares with an L2 penalty on unscaled coefficients.
 
-    One-hot columns add up to the intercept. The iteration starts at zero and
+    Beyond ``HELD_COLUMNS`` columns the solver's vectors are tables
+    (:func:`.vectors.fit_wide`); the solution is the same. One-hot columns add up to the intercept. The iteration starts at zero and
     never leaves the span of the centred features, so of all least-squares
     solutions it finds the one of least norm (of standardized coefficients);
     an unseen category is then priced near the mean of the seen ones.
@@ -77,6 +76,9 @@ def fit_linear(df: DataFrame, features: str, target: str, reg_param: float = 0.0
     # a missing target in any row stays missing, so the fit refuses it
     mean = F.when(F.count(target) == F.count(F.lit(1)), F.avg(target))
     designs = df.groupBy(features).agg(mean.alias("_mean"), F.count(F.lit(1)).cast("double").alias("_rows"))
+    if (width(df, features) or 0) > HELD_COLUMNS:
+        whole = df.agg(F.stddev_samp(target).alias("s"), F.count(F.lit(1)).alias("n")).first() if reg_param else None
+        return fit_wide(designs, features, reg_param * whole["n"] / whole["s"] if whole and whole["s"] else 0.0, MAX_STEPS)
     if reg_param:
         # the penalty scales with the label's deviation, which means have less of
         designs = materialize(designs, "designs")
