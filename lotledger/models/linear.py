@@ -15,16 +15,15 @@ from functools import reduce
 from operator import add
 
 import numpy as np
-from pyspark.ml import Model
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.values import period_key
 from ..session import materialize
+from .stored import StoredModel
 
-# Codes whose effects are broadcast when scoring.
-BROADCAST_CODES = 500_000
+# Codes whose effects are held in the model itself; more are a table beside it.
+HELD_CODES = 100_000
 
 
 def _pairs(k: int) -> list[tuple[int, int]]:
@@ -107,23 +106,27 @@ def solve(row, k: int, alpha: float) -> tuple[float, np.ndarray]:
     return float(found[0]), slopes + loose @ found[1:]
 
 
-class CodeLinearModel(Model, DefaultParamsReadable, DefaultParamsWritable):
+class CodeLinearModel(StoredModel):
     """Intercept, slopes and one effect per code as a pipeline stage; an unseen or NULL code adds nothing."""
 
-    fitted = Param(Params._dummy(), "fitted", "columns, slopes and effects as JSON", TypeConverters.toString)
+    fitted = Param(Params._dummy(), "fitted", "columns, slopes and held effects as JSON", TypeConverters.toString)
 
-    def __init__(self, code: str = "", numeric: Sequence[str] = (), intercept: float = 0.0, slopes: Sequence[float] = (), effects: dict | None = None):
-        super().__init__()
+    def __init__(self, code: str = "", numeric: Sequence[str] = (), intercept: float = 0.0, slopes: Sequence[float] = (), effects: dict | DataFrame | None = None):
+        super().__init__(effects if isinstance(effects, DataFrame) else None, "effects")
         if effects is not None:
-            self._set(fitted=json.dumps({"code": code, "numeric": list(numeric), "intercept": intercept, "slopes": list(map(float, slopes)), "effects": effects}))
+            held = {} if isinstance(effects, DataFrame) else {"effects": effects}
+            self._set(fitted=json.dumps({"code": code, "numeric": list(numeric), "intercept": intercept, "slopes": list(map(float, slopes)), **held}))
 
     def parts(self) -> dict:
+        """Columns, slopes, intercept and, where the model holds them itself, ``effects``."""
         return json.loads(self.getOrDefault(self.fitted))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        held = self.parts()
-        effects = dataset.sparkSession.createDataFrame(list(held["effects"].items()), "_code string, _effect double")
-        effects = F.broadcast(effects) if len(held["effects"]) <= BROADCAST_CODES else effects
+        held, spark = self.parts(), dataset.sparkSession
+        if "effects" in held:
+            effects = F.broadcast(spark.createDataFrame(list(held["effects"].items()), "_code string, _effect double"))
+        else:
+            effects = self.stored(spark).select(F.col("code").alias("_code"), F.col("effect").alias("_effect"))
         joined = dataset.join(effects, F.col(held["code"]).cast("string") == F.col("_code"), "left")
         terms = [F.lit(held["intercept"]), F.coalesce("_effect", F.lit(0.0)), *[F.col(c).cast("double") * F.lit(w) for c, w in zip(held["numeric"], held["slopes"], strict=True)]]
         return joined.withColumn("prediction", reduce(add, terms)).drop("_code", "_effect")
@@ -137,17 +140,20 @@ def _effect(k: int, alpha: float, intercept: Column, slopes: Sequence[Column]) -
 def fit_codes(train: DataFrame, target: str, code: str, numeric: Sequence[str], alpha: float = 0.0) -> CodeLinearModel:
     """Least squares (``alpha`` = 0) or ridge on one-hot ``code`` plus ``numeric``, with a free intercept.
 
-    Two passes: centres, then sums per code. Effects per code come to the
-    driver with the model, as an indexer's labels would. Rows with a NULL
-    number or target are left out.
+    Two passes: centres, then sums per code. Effects of up to ``HELD_CODES``
+    codes come to the driver with the model; more are a table beside it. Rows
+    with a NULL number or target are left out.
     """
     k = len(numeric)
     rows = train.select(F.coalesce(F.col(code).cast("string"), F.lit("\0null")).alias("code"), *numeric, target).na.drop(subset=[*numeric, target])
     centre = find_centre(rows, numeric, target)
     sums = materialize(_centred(rows, numeric, target, centre).groupBy("code").agg(*_sums(k)), "code-sums")
-    intercept, slopes = solve(sums.agg(*_reduced(k, alpha)).first(), k, alpha)
+    reduced = sums.agg(*_reduced(k, alpha)).first()
+    intercept, slopes = solve(reduced, k, alpha)
     effect = _effect(k, alpha, F.lit(intercept), [F.lit(float(w)) for w in slopes])
-    effects = {r["code"]: r["e"] for r in sums.select("code", effect.alias("e")).collect()}
+    effects = sums.select("code", effect.alias("effect"))
+    if reduced["codes"] <= HELD_CODES:
+        effects = {r["code"]: r["effect"] for r in effects.collect()}
     whole = intercept + centre[-1] - float(np.dot(slopes, centre[:-1]))
     return CodeLinearModel(code, numeric, whole, slopes, effects)
 

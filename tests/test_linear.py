@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotledger.models import linear, training
+from lotledger.session import scratch_path
+from lotledger.sources import registry
 
 
 def dense(codes, x, y, alpha):
@@ -71,3 +73,23 @@ def test_candidates_use_one_pass_where_they_can(spark):
         looped = training.Candidate("loop", candidate.fit)
         one, many = (sorted(map(tuple, training.temporal_backtest(df, c).collect())) for c in (candidate, looped))
         assert [r[:2] for r in one] == [r[:2] for r in many] and np.allclose([r[2:] for r in one], [r[2:] for r in many], rtol=1e-6, atol=1e-6)
+
+
+@pytest.mark.parametrize("alpha", [0.0, 5.0])
+def test_effects_beyond_the_held_codes_are_a_table_of_the_stored_model(spark, monkeypatch, alpha):
+    rng = np.random.default_rng(4)
+    codes = [f"{i % 40:03d}" for i in range(400)]
+    x = rng.normal(size=(400, 3)) * [50, 2, 1] + [300, 5, 1]
+    df = table(spark, codes, x, x @ [3.0, 40.0, -5.0] + rng.normal(size=400))
+    held = training.PipelineModel([linear.fit_codes(df, "y", "cep", ["a", "b", "c"], alpha)])
+    monkeypatch.setattr(linear, "HELD_CODES", 39)
+    model = linear.fit_codes(df, "y", "cep", ["a", "b", "c"], alpha)
+    assert "effects" not in model.parts()
+    path = registry.save_model(training.PipelineModel([model]), scratch_path(spark, "lines") + "/model_2026.01.01.0000")
+    loaded = registry.load_model(path)
+    assert loaded.stages[0].stored_at().startswith(path)
+    odd = df.unionByName(df.limit(1).withColumns({"id": F.lit(-1).cast("long"), "cep": F.lit(None).cast("string")}))
+    one, two = ({r["id"]: r["prediction"] for r in m.transform(odd).collect()} for m in (held, loaded))
+    assert one.keys() == two.keys() and len(one) == 401 and all(one[i] == pytest.approx(two[i], rel=1e-12) for i in one)
+    with pytest.raises(ValueError, match="cannot replace"):
+        registry.save_model(loaded, path)
