@@ -240,7 +240,8 @@ def _(spark, sf):
     from ..models import forest
 
     rows, numeric = _signal(spark, sf), ("area_do_terreno_m2", "ano", "mes")
-    cuts = {"area_do_terreno_m2": [50.0 * i for i in range(1, 7)], "ano": [float(y) for y in range(1992, 1999)], "mes": [float(m) for m in range(1, 13)]}
+    low, high = rows.agg(F.coalesce(F.min("ano"), F.lit(1992)), F.coalesce(F.max("ano"), F.lit(1999))).first()  # every year is a cut
+    cuts = {"area_do_terreno_m2": [50.0 * i for i in range(1, 7)], "ano": [float(y) for y in range(min(low, 1992), max(high, 1999))], "mes": [float(m) for m in range(1, 13)]}
     trees, _cuts = forest.grow(rows, TARGET, numeric, ["cep"], trees=1, depth=4, bootstrap=False, cuts=cuts)
     return forest.ForestModel(trees, numeric, ["cep"]).transform(rows).select("id", F.round("prediction", 4).alias("prediction"))
 
